@@ -15,6 +15,7 @@ from .registry import (
     instant,
     lat,
     lon,
+    spread,
     sql_borough,
     sql_haversine,
     sql_lat,
@@ -29,7 +30,7 @@ from .registry import (
 def vehicle_messages(spark, sf_dir):
     """One message per event that is no view: a vehicle on a trip and one on none.
     Errors become broken text."""
-    e, k = table(spark, sf_dir, "events"), F.col("event_id")
+    e, k = spread(table(spark, sf_dir, "events")), F.col("event_id")
     epoch = F.unix_seconds(instant("ts")).cast("string")
 
     def entity(name, trip):
@@ -102,7 +103,7 @@ def trip_update_messages(spark, sf_dir):
             F.struct(F.col("l_linestatus").alias("id"), update.alias("tripUpdate"))
         ).alias("entity"),
     )
-    return table(spark, sf_dir, "lineitem").select(
+    return spread(table(spark, sf_dir, "lineitem")).select(
         F.to_json(message).alias("value"), F.lit("gtfs-trip-updates").alias("topic")
     )
 
@@ -166,7 +167,7 @@ def alert_messages(spark, sf_dir):
             F.struct(F.col("o_orderkey").cast("string").alias("id"), alert.alias("alert"))
         ).alias("entity"),
     )
-    return table(spark, sf_dir, "orders").select(
+    return spread(table(spark, sf_dir, "orders")).select(
         F.to_json(message).alias("value"), F.lit("gtfs-alerts").alias("topic")
     )
 

@@ -25,6 +25,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Costly work per row on an input of fewer splits than cores: use them all.
+
+    A large table has more splits than that and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def wall(c: Column | str) -> Column:
     """Instant back to a clock time without zone, as the tables have it."""
     return (F.col(c) if isinstance(c, str) else c).cast("timestamp_ntz")

@@ -2,8 +2,9 @@
 
 Two shapes:
 
-* ``asof_join`` for two large sides on any time axis: union, then ``last``
-  over a window per (key, time bucket). Linear, no pairs.
+* ``asof_join`` for two large sides on any time axis. The instants of both
+  sides are merged per key, answered by a running ``last``, and joined back to
+  the left rows. Linear, no pairs.
 * ``interval_index`` + ``asof_lookup`` for a large or streaming left side and
   a right side on a bounded axis, such as offsets within a service day: every
   right row becomes the interval it is the answer for, and the lookup is an
@@ -15,6 +16,8 @@ Two shapes:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +35,7 @@ def asof_join(
     left_at: str,
     right_at: str,
     tiebreak: Sequence[str] = (),
-    bucket_width: int | None = 3600,
+    bucket_width: int = 3600,
     how: str = "inner",
 ) -> DataFrame:
     """Join each left row to the right row of the same key with the greatest
@@ -40,52 +43,56 @@ def asof_join(
 
     Ties on ``right_at`` go to the greatest ``tiebreak``, then to the greatest
     of the other right columns. Both time columns must have one type. Right
-    columns must not clash with left ones, except for ``by``. With
-    ``bucket_width=None`` each key is one window group, which saves the pass
-    for carried rows when no key is hot.
+    columns must not clash with left ones, except for ``by``.
+
+    Copies cannot pile up: rows of one key and instant become one row before
+    the shuffle, on either side. A hot key is cut into time buckets of
+    ``bucket_width`` seconds (or units of a numeric axis). The left rows
+    themselves only meet an equality join.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unknown join type {how!r}")
     payload = [c for c in right.columns if c not in by]
     rest = [c for c in payload if c != right_at and c not in tiebreak]
-    rank = F.struct(*as_columns([right_at, *tiebreak, *rest]))
-
-    lefts = left.select(
-        *by, F.col(left_at).alias("__at"), F.struct(*left.columns).alias("__l")
-    ).withColumn("__side", F.lit(2))
-    rights = right.filter(F.col(right_at).isNotNull()).select(
+    asked = left.select(*by, F.col(left_at).alias("__at"), F.lit(True).alias("__asked"))
+    known = right.select(
         *by,
         F.col(right_at).alias("__at"),
+        F.lit(False).alias("__asked"),
         F.struct(*as_columns(payload)).alias("__r"),
-        rank.alias("__rank"),
-        F.lit(1).alias("__side"),
+        F.struct(*as_columns([*tiebreak, *rest])).alias("__rank"),
     )
-    rows = lefts.unionByName(rights, allowMissingColumns=True)
-    group = list(by)
-    if bucket_width is not None:
-        rows = rows.withColumn("__bucket", axis_bucket(rows, "__at", bucket_width))
-        carry = carried(rows, by, "__bucket", F.col("__r"), F.col("__rank")).select(
-            *by, "__bucket", F.col("carry").alias("__r"), F.lit(0).alias("__side")
-        )
-        rows = rows.unionByName(carry, allowMissingColumns=True)
-        group.append("__bucket")
-    # A carried row has no time and sorts first; right rows come before left
-    # rows of the same instant, because equal times match.
-    w = (
-        Window.partitionBy(*as_columns(group))
-        .orderBy(F.col("__at").asc_nulls_first(), "__side", F.col("__rank").asc())
+    usable = reduce(and_, (F.col(c).isNotNull() for c in [*by, "__at"]))
+    instants = (
+        asked.unionByName(known, allowMissingColumns=True)
+        .filter(usable)
+        .groupBy(*by, "__at")
+        .agg(F.max_by("__r", "__rank").alias("__r"), F.max("__asked").alias("__asked"))
+    )
+    instants = instants.withColumn("__bucket", axis_bucket(instants, "__at", bucket_width))
+    # Ordering by both columns changes nothing, an instant is there once; it
+    # makes this branch need the same columns as the other, so that Spark
+    # computes the instants once for both.
+    order = F.when(F.col("__r").isNotNull(), F.struct("__at", "__asked"))
+    before = carried(instants, by, "__bucket", F.col("__r"), order).select(
+        *by, "__bucket", F.col("carry").alias("__r"), F.lit(False).alias("__asked")
+    )
+    # A carried row has no instant and sorts in front of its bucket.
+    running = (
+        Window.partitionBy(*as_columns([*by, "__bucket"]))
+        .orderBy(F.col("__at").asc_nulls_first())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    match = F.last("__r", ignorenulls=True).over(w)
-    out = rows.select("__l", "__at", "__side", match.alias("__m")).filter("__side = 2")
-    # A key or time that is NULL equals nothing.
-    known = F.col("__at").isNotNull()
-    for k in by:
-        known = known & F.col(f"__l.{k}").isNotNull()
-    out = out.withColumn("__m", F.when(known, F.col("__m")))
-    if how == "inner":
-        out = out.filter(F.col("__m").isNotNull())
-    return out.select("__l.*", *[F.col(f"__m.{c}").alias(c) for c in payload])
+    answers = (
+        instants.unionByName(before, allowMissingColumns=True)
+        .withColumn("__m", F.last("__r", ignorenulls=True).over(running))
+        .filter(F.col("__asked") & F.col("__m").isNotNull())
+        .select(*[F.col(k).alias(f"__k_{k}") for k in by], "__at", "__m")
+    )
+    on = reduce(and_, (F.col(k) == F.col(f"__k_{k}") for k in by), F.col(left_at) == F.col("__at"))
+    return left.join(answers, on, how).select(
+        *left.columns, *[F.col(f"__m.{c}").alias(c) for c in payload]
+    )
 
 
 def _clamped(value: Column, width: int, horizon: int) -> Column:

@@ -59,8 +59,8 @@ def new_rows(
     return stage.join(kept, list(keys), "left_anti").select(*stage.columns)
 
 
-def scd2_merge(
-    dim: DataFrame,
+def scd2_open_and_closed(
+    opened: DataFrame,
     stage: DataFrame,
     keys: Sequence[str],
     tracked: Sequence[str],
@@ -68,34 +68,42 @@ def scd2_merge(
     close_missing: bool = False,
     run_ts: Column | None = None,
     dedup_stage: bool = False,
-) -> DataFrame:
-    """OP-C2: the whole table after a merge.
+) -> tuple[DataFrame, DataFrame]:
+    """A merge on the open rows: those open afterwards, and those it closes.
 
-    Changed open rows are closed at the staged start, new and changed rows are
-    added, everything else stays. ``close_missing`` also closes open rows whose
-    key is not staged, at ``run_ts``. ``dedup_stage`` keeps one staged row per
-    key; without it repeated staged keys give several open rows.
+    Rows already closed play no part, so a store can leave them alone.
     """
     if close_missing and run_ts is None:
         raise ValueError("close_missing needs run_ts")
     if dedup_stage:
         stage = latest_per_key(stage, keys, ["start_dt_scd"])
-    judged = _judged(dim, stage, keys, tracked)
+    judged = _judged(opened, stage, keys, tracked)
     closes, end = F.col("__changed"), F.col("__start")
     if close_missing:
         closes = closes | ~F.col("__seen")
         end = F.coalesce(end, run_ts.cast("timestamp"))
-    opened = judged.withColumns(
-        {
-            "end_dt_scd": F.when(closes, end).otherwise(F.col("end_dt_scd")),
-            "is_current": ~closes,
-        }
-    ).select(*dim.columns)
-    history = dim.filter(~F.coalesce(F.col("is_current"), F.lit(False)))
-    added = new_rows(dim, stage, keys, tracked).withColumns(
+    closed = judged.filter(closes).withColumns({"end_dt_scd": end, "is_current": F.lit(False)})
+    added = new_rows(opened, stage, keys, tracked).withColumns(
         {"end_dt_scd": F.lit(None).cast("timestamp"), "is_current": F.lit(True)}
     )
-    return history.unionByName(opened).unionByName(added.select(*dim.columns))
+    columns = opened.columns
+    after = judged.filter(~closes).select(*columns).unionByName(added.select(*columns))
+    return after, closed.select(*columns)
+
+
+def scd2_merge(
+    dim: DataFrame, stage: DataFrame, keys: Sequence[str], tracked: Sequence[str], **options
+) -> DataFrame:
+    """OP-C2: the whole table after a merge.
+
+    Changed open rows are closed at the staged start, new and changed rows are
+    added, everything else stays. ``close_missing`` also closes open rows whose
+    key is not staged, at ``run_ts``. ``dedup_stage`` keeps one staged row per
+    key; without it repeated staged keys give several open rows.
+    """
+    history = dim.filter(~F.coalesce(F.col("is_current"), F.lit(False)))
+    after, closed = scd2_open_and_closed(current(dim), stage, keys, tracked, **options)
+    return history.unionByName(closed).unionByName(after)
 
 
 def as_of(dim: DataFrame, ts: Column) -> DataFrame:

@@ -7,15 +7,14 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from headway.operators.feeds import changed_feeds
-from headway.operators.scd2 import scd2_merge
 from headway.operators.staging import prepare_staging
 from headway.schemas import TABLES
-from headway.sinks.tables import VersionedTable, write_staging
+from headway.sinks.tables import ScdTable, write_staging
 from headway.sources.feed_files import read_feed_table
 
 
-def warehouse_table(spark: SparkSession, warehouse: str, name: str) -> VersionedTable:
-    return VersionedTable(spark, f"{warehouse.rstrip('/')}/{name}")
+def warehouse_table(spark: SparkSession, warehouse: str, name: str) -> ScdTable:
+    return ScdTable(spark, f"{warehouse.rstrip('/')}/{name}")
 
 
 def load_table(
@@ -25,13 +24,9 @@ def load_table(
     spec = TABLES[name]
     staged_at = f"{staging.rstrip('/')}/{name}"
     write_staging(prepare_staging(read_feed_table(spark, landing, spec), spec, run_ts), staged_at)
-    stage = spark.read.parquet(staged_at)
-    table = warehouse_table(spark, warehouse, name)
-    if table.version() is None:
-        merged = stage
-    else:
-        merged = scd2_merge(table.read(), stage, spec.key, spec.tracked)
-    table.replace(merged, spec.sort_key)
+    warehouse_table(spark, warehouse, name).merge(
+        spark.read.parquet(staged_at), spec.key, spec.tracked, spec.sort_key
+    )
 
 
 def load_feeds(

@@ -7,7 +7,6 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.functions.cleaning import current
 from headway.operators.latest import latest_per_key
 from headway.operators.snapshot import (
     calendar_dates_on_date,
@@ -23,7 +22,7 @@ from .daily_load import warehouse_table
 
 
 def open_tables(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
-    return {name: current(warehouse_table(spark, warehouse, name).read()) for name in TABLES}
+    return {name: warehouse_table(spark, warehouse, name).read_open() for name in TABLES}
 
 
 def write_snapshot(
@@ -53,9 +52,13 @@ def write_snapshot(
     write("calendar_dates", calendar_dates_on_date(exceptions, service_date))
 
 
-def compact_serving(spark: SparkSession, serving: str, published: str) -> None:
-    """Newest version of every key over all dates, one published table per name."""
+def compact_serving(
+    spark: SparkSession, serving: str, published: str, service_date: dt.date
+) -> None:
+    """OP-W2 in steps: what is published and the rows of one more date, cut to
+    the newest version of every key. Dates already published are not read."""
     for name, spec in TABLES.items():
-        rows = spark.read.parquet(f"{serving.rstrip('/')}/{name}").drop("service_date")
+        day = spark.read.parquet(service_day(f"{serving.rstrip('/')}/{name}", service_date))
         target = VersionedTable(spark, f"{published.rstrip('/')}/{name}")
+        rows = day if target.version() is None else target.read().unionByName(day)
         target.replace(latest_per_key(rows, spec.key, ["start_dt_scd"]), spec.sort_key)

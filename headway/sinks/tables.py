@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from headway.operators.scd2 import scd2_open_and_closed
 from headway.session import scratch_path
 from headway.sources.jdbc import JdbcConf
 
@@ -77,48 +78,92 @@ def preview(df: DataFrame, n: int = 3) -> DataFrame:
     return df.limit(n)
 
 
-class VersionedTable:
-    """OP-K8: a table that is rebuilt and swapped while others read it.
-
-    Each version has its own folder, and a small pointer table says which one
-    counts. A reader sees the old version or the new one, never a mix, and a
-    failed rebuild changes nothing.
-    """
+class Pointer:
+    """Which version of a table counts: a small append-only table of numbers."""
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
         self.base = base.rstrip("/")
 
-    def _pointers(self) -> DataFrame | None:
+    def version(self) -> int | None:
         try:
-            return self.spark.read.schema("seq bigint, path string").parquet(f"{self.base}/pointer")
+            seen = self.spark.read.schema("seq bigint").parquet(f"{self.base}/pointer")
         except AnalysisException:
             return None
+        return seen.agg(F.max("seq")).first()[0]
 
-    def version(self) -> tuple[int, str] | None:
-        """Number and folder of the current version."""
-        pointers = self._pointers()
-        if pointers is None:
-            return None
-        row = pointers.agg(F.max("seq").alias("seq"), F.max_by("path", "seq").alias("path")).first()
-        return None if row.seq is None else (row.seq, row.path)
+    def _next(self) -> int:
+        found = self.version()
+        return 0 if found is None else found + 1
 
-    def read(self) -> DataFrame:
+    def _switch(self, seq: int) -> None:
+        row = self.spark.createDataFrame([(seq,)], "seq bigint")
+        row.coalesce(1).write.mode("append").parquet(f"{self.base}/pointer")
+
+    def _current(self) -> int:
         found = self.version()
         if found is None:
             raise FileNotFoundError(f"no version of {self.base}")
-        return self.spark.read.parquet(found[1])
+        return found
+
+
+class VersionedTable(Pointer):
+    """OP-K8: a table that is rebuilt and swapped while others read it.
+
+    Each version has its own folder. A reader sees the old version or the new
+    one, never a mix, and a rebuild that fails changes nothing.
+    """
+
+    def read(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.base}/version-{self._current()}")
 
     def replace(self, df: DataFrame, sort_key: Sequence[str] = ()) -> DataFrame:
         """Write ``df``, which may read the current version, then switch to it."""
-        found = self.version()
-        seq = 0 if found is None else found[0] + 1
+        seq = self._next()
         path = f"{self.base}/version-{seq}"
         rows = sorted_layout(df, sort_key) if sort_key else df.hint("rebalance")
         rows.write.mode("overwrite").parquet(path)
-        pointer = self.spark.createDataFrame([(seq, path)], "seq bigint, path string")
-        pointer.coalesce(1).write.mode("append").parquet(f"{self.base}/pointer")
-        return self.spark.read.parquet(path)
+        self._switch(seq)
+        return self.read()
+
+
+class ScdTable(Pointer):
+    """A type 2 dimension whose history is written once.
+
+    ``open/run=n`` holds the open rows after run n, ``closed/run=n`` those run n
+    closed. A merge reads and writes open rows only, so its cost does not grow
+    with the age of the table. Folders past the pointer are leftovers of a
+    failed run: readers skip them and the next run overwrites them.
+    """
+
+    def read_open(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.base}/open/run={self._current()}")
+
+    def read(self) -> DataFrame:
+        seq = self._current()
+        rows = self.read_open()
+        closed = self.spark.read.schema(rows.schema.add("run", "long")).parquet(
+            f"{self.base}/closed"
+        )
+        return rows.unionByName(closed.filter(F.col("run") <= seq).drop("run"))
+
+    def merge(
+        self,
+        stage: DataFrame,
+        keys: Sequence[str],
+        tracked: Sequence[str],
+        sort_key: Sequence[str],
+        **options,
+    ) -> None:
+        """Merge staged rows; the first run takes them as they are."""
+        seq = self._next()
+        if seq == 0:
+            rows, closed = stage, stage.limit(0)
+        else:
+            rows, closed = scd2_open_and_closed(self.read_open(), stage, keys, tracked, **options)
+        closed.hint("rebalance").write.mode("overwrite").parquet(f"{self.base}/closed/run={seq}")
+        sorted_layout(rows, sort_key).write.mode("overwrite").parquet(f"{self.base}/open/run={seq}")
+        self._switch(seq)
 
 
 def written(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
