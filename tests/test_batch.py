@@ -1,0 +1,211 @@
+"""Staging, latest per key, snapshot, spatial."""
+
+from __future__ import annotations
+
+import datetime as dt
+import math
+import random
+
+import pytest
+from conftest import plan_of, tuples
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from headway.operators.latest import latest_per_key
+from headway.operators.snapshot import service_snapshot, services_on_date
+from headway.operators.spatial import point_in_polygon, stop_boroughs
+from headway.operators.staging import prepare_staging
+from headway.schemas import CALENDAR, STOP_TIMES, STOPS
+
+RUN = dt.datetime(2024, 1, 1)
+
+
+# --- OP-C1 ---
+def test_prepare_staging(spark):
+    raw = spark.createDataFrame(
+        [
+            (" s1 ", "1", "20250701", "20251231"),
+            ("s1", "1.0", "20250701", "20251231"),
+            ("s2", "NaN", "2025071", "20251231"),
+            (None, "x", None, "20251231"),
+            ("NaN", "0", "20250701", "20251231"),
+        ],
+        "service_id string, monday string, start_date string, end_date string",
+    )
+    out = prepare_staging(raw, CALENDAR, F.lit(RUN))
+    assert out.schema.names == CALENDAR.warehouse_schema.names
+    assert [f.dataType for f in out.schema] == [f.dataType for f in CALENDAR.warehouse_schema]
+    rows = tuples(out.select("service_id", "monday", "tuesday", "start_date"))
+    july = dt.date(2025, 7, 1)
+    want = [("s1", 1, None, july), ("s2", None, None, None), (None, None, None, None), (None, 0, None, july)]
+    assert rows == sorted(want, key=repr)
+
+
+def test_prepare_staging_of_an_empty_table(spark):
+    raw = spark.createDataFrame([], "stop_id string")
+    assert prepare_staging(raw, STOPS, F.lit(RUN)).isEmpty()
+
+
+def test_nan_doubles_stay_unless_asked(spark):
+    raw = spark.createDataFrame([("1", "NaN")], "stop_id string, stop_lat string")
+    assert math.isnan(prepare_staging(raw, STOPS, F.lit(RUN)).first().stop_lat)
+    assert prepare_staging(raw, STOPS, F.lit(RUN), nan_to_null=True).first().stop_lat is None
+
+
+# --- OP-W2/W3 ---
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 4), st.integers(0, 2), st.integers(0, 3), st.integers(0, 9)), max_size=80))
+def test_latest_per_key(spark, data):
+    df = spark.createDataFrame(data, "k int, s int, at int, v int")
+    want = {}
+    for k, s, at, v in data:
+        want[k, s] = max(want.get((k, s), (-1, -1)), (at, v))
+    got = {(r.k, r.s): (r.at, r.v) for r in latest_per_key(df, ["k", "s"], ["at"]).collect()}
+    assert got == want
+
+
+def test_latest_limits_before_the_shuffle(spark, tmp_path):
+    spark.range(1000).selectExpr("id % 7 AS k", "id AS v").write.parquet(str(tmp_path / "t"))
+    plan = plan_of(latest_per_key(spark.read.parquet(str(tmp_path / "t")), ["k"], ["v"]))
+    assert plan.count("WindowGroupLimit") == 2
+
+
+# --- OP-U1, OP-C4 ---
+def calendars(spark):
+    days = ", ".join(f"{d} int" for d in ("monday", "tuesday"))
+    calendar = spark.createDataFrame(
+        [
+            ("runs", 1, 0, dt.date(2024, 1, 1), dt.date(2024, 1, 8)),
+            ("other_day", 0, 1, dt.date(2024, 1, 1), dt.date(2024, 1, 8)),
+            ("over", 1, 0, dt.date(2023, 1, 1), dt.date(2023, 12, 31)),
+            ("removed", 1, 0, dt.date(2024, 1, 1), dt.date(2024, 1, 8)),
+        ],
+        f"service_id string, {days}, start_date date, end_date date",
+    )
+    exceptions = spark.createDataFrame(
+        [
+            ("added", dt.date(2024, 1, 8), 1),
+            ("removed", dt.date(2024, 1, 8), 2),
+            ("other_day", dt.date(2024, 1, 8), 2),
+            ("later", dt.date(2024, 1, 9), 1),
+        ],
+        "service_id string, date date, exception_type int",
+    )
+    return calendar, exceptions
+
+
+@pytest.mark.parametrize(
+    "mode,want",
+    [
+        ("reference", ["added", "other_day", "removed", "runs"]),
+        ("gtfs", ["added", "runs"]),
+    ],
+)
+def test_services_on_date(spark, mode, want):
+    out = services_on_date(*calendars(spark), dt.date(2024, 1, 8), mode)
+    assert sorted(r[0] for r in out.collect()) == want
+
+
+def test_services_bad_mode(spark):
+    with pytest.raises(ValueError):
+        services_on_date(*calendars(spark), dt.date(2024, 1, 8), "guess")
+
+
+def feed(spark):
+    calendar, exceptions = calendars(spark)
+    make = spark.createDataFrame
+    return {
+        "calendar": calendar,
+        "calendar_dates": exceptions,
+        "trips": make(
+            [("t1", "r1", "runs", "sh1"), ("t1", "r1", "runs", "sh1"), ("t2", "r2", "over", "sh2"), ("t3", None, "added", None)],
+            "trip_id string, route_id string, service_id string, shape_id string",
+        ),
+        "stop_times": make(
+            [("t1", 1, 10), ("t1", 1, 10), ("t2", 1, 20), ("t3", 1, 30)], "trip_id string, stop_sequence int, stop_id int"
+        ),
+        "stops": make([(10, "a"), (10, "a"), (20, "b"), (30, "c"), (40, "d")], "stop_id int, stop_name string"),
+        "routes": make([("r1", "ag"), ("r2", "ag2"), (None, "ag3")], "route_id string, agency_id string"),
+        "shapes": make([("sh1", 1), ("sh1", 2), ("sh2", 1)], "shape_id string, shape_pt_sequence int"),
+        "agency": make([("ag",), ("ag2",), ("ag3",)], "agency_id string"),
+    }
+
+
+def test_snapshot(spark):
+    out = {k: tuples(v) for k, v in service_snapshot(feed(spark), dt.date(2024, 1, 8)).items()}
+    assert [t[0] for t in out["trips"]] == ["t1", "t1", "t3"]  # trips are not made distinct
+    assert out["stop_times"] == [("t1", 1, 10), ("t3", 1, 30)]
+    assert out["stops"] == [(10, "a"), (30, "c")]
+    assert out["routes"] == [("r1", "ag")]
+    assert out["shapes"] == [("sh1", 1), ("sh1", 2)]
+    assert out["agency"] == [("ag",)]
+    assert len(out) == 8
+
+
+def test_cascade_is_semi_joins(spark):
+    plan = plan_of(service_snapshot(feed(spark), dt.date(2024, 1, 8))["stops"])
+    assert plan.count("LeftSemi") == 3 and "Inner" not in plan
+
+
+# --- OP-N7 ---
+HOLED = [[(0, 0), (4, 0), (4, 4), (0, 4)], [(1, 1), (3, 1), (3, 3), (1, 3)]]
+CONCAVE = [[(10, 0), (14, 0), (14, 4), (12, 1), (10, 4)]]
+
+
+def polygons(spark, shapes):
+    rows = [(n, [[(float(x), float(y)) for x, y in r] for r in rings]) for n, rings in shapes.items()]
+    return spark.createDataFrame(rows, "name string, rings array<array<struct<x double, y double>>>")
+
+
+def inside(x, y, rings):
+    n, edge = 0, False
+    for ring in rings:
+        for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1]):
+            turn = (x2 - x1) * (y - y1) - (y2 - y1) * (x - x1)
+            edge |= turn == 0 and min(x1, x2) <= x <= max(x1, x2) and min(y1, y2) <= y <= max(y1, y2)
+            n += (y1 > y) != (y2 > y) and x < x1 + (y - y1) * (x2 - x1) / (y2 - y1)
+    return n % 2 == 1 and not edge
+
+
+@pytest.mark.parametrize("cell", [0.3, 1.0, 2.5, 100.0])
+def test_point_in_polygon(spark, cell):
+    shapes = {"holed": HOLED, "concave": CONCAVE, "over": [[(2, 2), (9, 2), (9, 9)]]}
+    rng = random.Random(5)
+    points = [(i, rng.uniform(-1, 15), rng.uniform(-1, 10)) for i in range(400)]
+    points += [(1000 + i, float(x), float(y)) for i, (x, y) in enumerate((a / 2, b / 2) for a in range(30) for b in range(12))]
+    df = point_in_polygon(
+        spark.createDataFrame(points, "id int, x double, y double"), polygons(spark, shapes), "x", "y", cell=cell
+    )
+    want = []
+    for i, x, y in points:
+        hits = [n for n, rings in shapes.items() if inside(x, y, rings)]
+        want += [(i, x, y, n) for n in hits or [None]]
+    assert tuples(df) == sorted(want, key=repr)
+    assert "NestedLoop" not in plan_of(df)
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.integers(0, 4), st.booleans())
+def test_ring_start_and_direction_do_not_matter(spark, turn, reverse):
+    ring = CONCAVE[0][turn:] + CONCAVE[0][:turn]
+    shape = {"s": [ring[::-1] if reverse else ring]}
+    points = spark.createDataFrame([(10.5, 0.5), (12.0, 3.0), (13.5, 2.0), (12.0, 0.5)], "x double, y double")
+    out = point_in_polygon(points, polygons(spark, shape), "x", "y", cell=1.0)
+    assert [r[2] for r in sorted(tuple(r) for r in out.collect())] == ["s", "s", None, "s"]
+
+
+def test_closed_rings_and_missing_points(spark):
+    closed = {"s": [[(0, 0), (1, 0), (1, 1), (0, 1), (0, 0)]]}
+    stops = spark.createDataFrame([(1, 0.5, 0.5), (2, 5.0, 5.0), (3, None, 0.5)], "stop_id int, stop_lon double, stop_lat double")
+    out = stop_boroughs(stops, polygons(spark, closed), cell=0.25)
+    assert tuples(out) == [("1", "s"), ("2", "Unknown"), ("3", "Unknown")]
+
+
+def test_text_and_number_stop_ids_join(spark):
+    from headway.operators.monitor import schedule_with_stops
+
+    times = spark.createDataFrame([("t", "08:00:00", 1, "10"), ("t", "08:00:00", 2, "x")], "trip_id string, arrival_time string, stop_sequence int, stop_id string")
+    stops = spark.createDataFrame([(10, "a", 1.0, 2.0)], "stop_id int, stop_name string, stop_lat double, stop_lon double")
+    assert schedule_with_stops(times, stops).count() == 1
+    assert STOP_TIMES.sort_key == ("trip_id", "stop_sequence", "start_dt_scd")
