@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -12,6 +13,8 @@ from headway.schemas import TABLES
 from headway.sinks.tables import ScdTable, write_staging
 from headway.sources.feed_files import read_feed_table
 
+from . import side_by_side
+
 
 def warehouse_table(spark: SparkSession, warehouse: str, name: str) -> ScdTable:
     return ScdTable(spark, f"{warehouse.rstrip('/')}/{name}")
@@ -37,8 +40,9 @@ def load_feeds(
     run_ts: Column,
     names: Iterable[str] = tuple(TABLES),
 ) -> None:
-    for name in names:
-        load_table(spark, landing, staging, warehouse, name, run_ts)
+    side_by_side(
+        partial(load_table, spark, landing, staging, warehouse, name, run_ts) for name in names
+    )
 
 
 def needs_load(incoming: DataFrame, stored: DataFrame) -> bool:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +19,7 @@ from headway.operators.snapshot import (
 from headway.schemas import TABLES
 from headway.sinks.tables import VersionedTable, append_serving, service_day
 
+from . import side_by_side
 from .daily_load import warehouse_table
 
 
@@ -44,12 +46,14 @@ def write_snapshot(
     services = services_on_date(calendar, exceptions, service_date, mode)
     trips = write("trips", semi(tables["trips"], services, "service_id"))
     stop_times = write("stop_times", cascade(tables, trips)["stop_times"])
-    rest = cascade({**tables, "stop_times": stop_times}, trips)
-    for name in ("routes", "shapes", "agency"):
-        write(name, rest[name])
-    write("stops", semi(tables["stops"], stop_times, "stop_id").distinct())
-    write("calendar", calendar_on_date(calendar, service_date))
-    write("calendar_dates", calendar_dates_on_date(exceptions, service_date))
+    rest = {
+        **cascade(tables, trips),
+        "stops": semi(tables["stops"], stop_times, "stop_id").distinct(),
+        "calendar": calendar_on_date(calendar, service_date),
+        "calendar_dates": calendar_dates_on_date(exceptions, service_date),
+    }
+    names = ("routes", "shapes", "agency", "stops", "calendar", "calendar_dates")
+    side_by_side(partial(write, name, rest[name]) for name in names)
 
 
 def compact_serving(
@@ -57,8 +61,12 @@ def compact_serving(
 ) -> None:
     """OP-W2 in steps: what is published and the rows of one more date, cut to
     the newest version of every key. Dates already published are not read."""
-    for name, spec in TABLES.items():
+
+    def compact(name: str) -> None:
+        spec = TABLES[name]
         day = spark.read.parquet(service_day(f"{serving.rstrip('/')}/{name}", service_date))
         target = VersionedTable(spark, f"{published.rstrip('/')}/{name}")
         rows = day if target.version() is None else target.read().unionByName(day)
         target.replace(latest_per_key(rows, spec.key, ["start_dt_scd"]), spec.sort_key)
+
+    side_by_side(partial(compact, name) for name in TABLES)
