@@ -19,6 +19,17 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+TYPES = {
+    "VARCHAR": "string",
+    "INTEGER": "int",
+    "BIGINT": "bigint",
+    "DOUBLE": "double",
+    "BOOLEAN": "boolean",
+    "DATE": "date",
+    "TIMESTAMP": "timestamp_ntz",
+}
+
+
 def _plain(v):
     if isinstance(v, float):
         return "nan" if math.isnan(v) else float(f"{v:.9g}")
@@ -38,6 +49,9 @@ def differences(df, con, sql: str) -> str | None:
     names = [d[0] for d in cur.description]
     if sorted(names) != sorted(df.columns):
         return f"columns {sorted(df.columns)} vs {sorted(names)}"
+    types = {d[0]: TYPES.get(str(d[1]), str(d[1])) for d in cur.description}
+    if types != dict(df.dtypes):
+        return f"types {set(df.dtypes) ^ set(types.items())}"
     got = rows_of(df.columns, df.collect())
     want = rows_of(names, cur.fetchall())
     if got == want:
