@@ -54,12 +54,15 @@ def new_rows(
 ) -> DataFrame:
     """OP-N5: staged rows to insert: no open row is left for their key once the
     changed ones are closed. A NULL key equals nothing, so it is always new."""
-    judged = _judged(dim, stage, keys, tracked)
-    kept = judged.filter("__seen AND NOT __changed").select(*keys).distinct()
+    # An aggregate, not a filter and distinct: pushed into the join, the filter
+    # would make the tracked columns join keys and cost another shuffle.
+    stays = F.bool_or(F.col("__seen") & ~F.col("__changed")).alias("__stays")
+    kept = _judged(dim, stage, keys, tracked).groupBy(*as_columns(keys)).agg(stays)
+    kept = kept.filter("__stays").select(*keys)
     return stage.join(kept, list(keys), "left_anti").select(*stage.columns)
 
 
-def scd2_open_and_closed(
+def scd2_merge_open(
     opened: DataFrame,
     stage: DataFrame,
     keys: Sequence[str],
@@ -68,27 +71,25 @@ def scd2_open_and_closed(
     close_missing: bool = False,
     run_ts: Column | None = None,
     dedup_stage: bool = False,
-) -> tuple[DataFrame, DataFrame]:
-    """A merge on the open rows: those open afterwards, and those it closes.
-
-    Rows already closed play no part, so a store can leave them alone.
-    """
+) -> DataFrame:
+    """A merge on the open rows alone: those that stay, those it closes, and the
+    new ones. Rows closed before play no part, so a store can leave them be."""
     if close_missing and run_ts is None:
         raise ValueError("close_missing needs run_ts")
     if dedup_stage:
         stage = latest_per_key(stage, keys, ["start_dt_scd"])
-    judged = _judged(opened, stage, keys, tracked)
     closes, end = F.col("__changed"), F.col("__start")
     if close_missing:
         closes = closes | ~F.col("__seen")
         end = F.coalesce(end, run_ts.cast("timestamp"))
-    closed = judged.filter(closes).withColumns({"end_dt_scd": end, "is_current": F.lit(False)})
+    judged = _judged(opened, stage, keys, tracked).withColumns(
+        {"end_dt_scd": F.when(closes, end), "is_current": ~closes}
+    )
     added = new_rows(opened, stage, keys, tracked).withColumns(
         {"end_dt_scd": F.lit(None).cast("timestamp"), "is_current": F.lit(True)}
     )
     columns = opened.columns
-    after = judged.filter(~closes).select(*columns).unionByName(added.select(*columns))
-    return after, closed.select(*columns)
+    return judged.select(*columns).unionByName(added.select(*columns))
 
 
 def scd2_merge(
@@ -102,8 +103,7 @@ def scd2_merge(
     key; without it repeated staged keys give several open rows.
     """
     history = dim.filter(~F.coalesce(F.col("is_current"), F.lit(False)))
-    after, closed = scd2_open_and_closed(current(dim), stage, keys, tracked, **options)
-    return history.unionByName(closed).unionByName(after)
+    return history.unionByName(scd2_merge_open(current(dim), stage, keys, tracked, **options))
 
 
 def as_of(dim: DataFrame, ts: Column) -> DataFrame:

@@ -17,7 +17,7 @@ from . import side_by_side
 
 
 def warehouse_table(spark: SparkSession, warehouse: str, name: str) -> ScdTable:
-    return ScdTable(spark, f"{warehouse.rstrip('/')}/{name}")
+    return ScdTable(spark, f"{warehouse.rstrip('/')}/{name}", TABLES[name].warehouse_schema)
 
 
 def load_table(

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from headway.operators.scd2 import scd2_open_and_closed
+from headway.operators.scd2 import scd2_merge_open
 from headway.session import scratch_path
 from headway.sources.jdbc import JdbcConf
 
@@ -46,13 +47,17 @@ def append_serving(df: DataFrame, path: str, service_date: dt.date) -> None:
     df.hint("rebalance").write.mode("overwrite").parquet(service_day(path, service_date))
 
 
-def sorted_layout(df: DataFrame, sort_key: Sequence[str]) -> DataFrame:
+def sorted_layout(
+    df: DataFrame, sort_key: Sequence[str], partition: str | None = None
+) -> DataFrame:
     """OP-K11: rows of a key together and sorted, so that scans can skip row groups.
 
     A rebalance rather than a hash partitioning: a key with too many rows for
-    one file is split over several.
+    one file is split over several. ``partition`` is the column the write is
+    partitioned by, if it is.
     """
-    return df.hint("rebalance", sort_key[0]).sortWithinPartitions(*sort_key)
+    by = [partition] if partition else []
+    return df.hint("rebalance", *by, sort_key[0]).sortWithinPartitions(*by, *sort_key)
 
 
 def append_metrics(df: DataFrame, path: str) -> None:
@@ -130,22 +135,31 @@ class VersionedTable(Pointer):
 class ScdTable(Pointer):
     """A type 2 dimension whose history is written once.
 
-    ``open/run=n`` holds the open rows after run n, ``closed/run=n`` those run n
-    closed. A merge reads and writes open rows only, so its cost does not grow
-    with the age of the table. Folders past the pointer are leftovers of a
-    failed run: readers skip them and the next run overwrites them.
+    ``run=n/is_current=true`` holds the open rows after run n, and
+    ``run=n/is_current=false`` those run n closed. A merge reads and writes open
+    rows only, so its cost does not grow with the age of the table. Runs past
+    the pointer are leftovers of a failure: readers skip them by partition and
+    the next run overwrites them.
     """
 
+    def __init__(self, spark: SparkSession, base: str, schema: T.StructType):
+        super().__init__(spark, base)
+        self.schema = schema
+
+    def _rows(self, which: Callable[[int], Column]) -> DataFrame:
+        seq = self._current()
+        stored = T.StructType(self.schema.fields).add("run", "long")
+        rows = self.spark.read.schema(stored).parquet(f"{self.base}/rows")
+        return rows.filter(which(seq)).select(*self.schema.names)
+
     def read_open(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.base}/open/run={self._current()}")
+        return self._rows(lambda seq: (F.col("run") == seq) & F.col("is_current"))
 
     def read(self) -> DataFrame:
-        seq = self._current()
-        rows = self.read_open()
-        closed = self.spark.read.schema(rows.schema.add("run", "long")).parquet(
-            f"{self.base}/closed"
+        return self._rows(
+            lambda seq: ((F.col("run") == seq) & F.col("is_current"))
+            | ((F.col("run") <= seq) & ~F.col("is_current"))
         )
-        return rows.unionByName(closed.filter(F.col("run") <= seq).drop("run"))
 
     def merge(
         self,
@@ -157,12 +171,12 @@ class ScdTable(Pointer):
     ) -> None:
         """Merge staged rows; the first run takes them as they are."""
         seq = self._next()
-        if seq == 0:
-            rows, closed = stage, stage.limit(0)
-        else:
-            rows, closed = scd2_open_and_closed(self.read_open(), stage, keys, tracked, **options)
-        closed.hint("rebalance").write.mode("overwrite").parquet(f"{self.base}/closed/run={seq}")
-        sorted_layout(rows, sort_key).write.mode("overwrite").parquet(f"{self.base}/open/run={seq}")
+        rows = stage.select(*self.schema.names)
+        if seq > 0:
+            rows = scd2_merge_open(self.read_open(), rows, keys, tracked, **options)
+        ordered = sorted_layout(rows, sort_key, "is_current")
+        path = f"{self.base}/rows/run={seq}"
+        ordered.write.mode("overwrite").partitionBy("is_current").parquet(path)
         self._switch(seq)
 
 

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections import Counter
 
 import duckdb
 import pytest
+from conftest import plan_of
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -118,7 +120,7 @@ def test_hot_key_does_not_multiply(spark):
 
 def test_table_keeps_history_and_ignores_leftovers(spark, tmp_path):
     base = str(tmp_path / "dim")
-    table = ScdTable(spark, base)
+    table = ScdTable(spark, base, frame(spark, []).schema)
     days = [
         [("x", "p", 1), ("y", "p", 1)],
         [("x", "q", 1), ("y", "p", 1), ("n", "p", 1)],
@@ -132,8 +134,11 @@ def test_table_keeps_history_and_ignores_leftovers(spark, tmp_path):
         table.merge(stage, KEYS, TRACKED, ["k", "start_dt_scd"])
         assert got(table.read()) == got(want)
     assert table.version() == 2
+    assert "run" in plan_of(table.read_open()).split("PartitionFilters: ")[1].split("]")[0]
     # A run that failed before its switch leaves a folder nobody reads.
-    frame(spark, [("ghost", "p", 1, D1, D2, False)]).write.parquet(f"{base}/closed/run=3")
+    frame(spark, [("ghost", "p", 1, D1, D2, False)]).drop("is_current").write.parquet(
+        f"{base}/rows/run=3/is_current=false"
+    )
     assert got(table.read()) == got(want)
     table.merge(frame(spark, opened(days[0], D3)), KEYS, TRACKED, ["k", "start_dt_scd"])
     assert table.read().filter("k = 'ghost'").isEmpty()
@@ -157,3 +162,16 @@ def test_every_tracked_column_of_every_table(spark, name):
     counts = {tuple(r)[:2]: r["count"] for r in merged.groupBy("start_dt_scd", "is_current").count().collect()}
     assert counts == {(D1, True): 1, (D1, False): n, (D2, True): n}
     assert set(spec.key) | set(spec.tracked) == {f.name for f in spec.schema.fields}
+
+
+def test_each_side_is_shuffled_by_key_only(spark, tmp_path):
+    for name, at in (("dim", D1), ("stage", D2)):
+        frame(spark, opened([(f"k{i}", "p", i) for i in range(50)], at)).write.parquet(str(tmp_path / name))
+    dim, stage = (spark.read.parquet(str(tmp_path / n)) for n in ("dim", "stage"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(scd2.scd2_merge(dim, stage, KEYS, TRACKED))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    shuffles = re.findall(r"Exchange hashpartitioning\((.*?), 8\)", plan)
+    assert len(shuffles) == 5 and all(re.fullmatch(r"k#\d+", s) for s in shuffles)
