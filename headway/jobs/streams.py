@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
+from headway.functions.cleaning import current
+from headway.operators.asof import lookup_layout
 from headway.operators.monitor import schedule_index
 from headway.session import builder
 from headway.sinks.tables import VersionedTable
@@ -23,10 +25,13 @@ UPDATES, POSITIONS, ALERTS = TOPICS
 def published_index(spark: SparkSession, published: str) -> Refreshed:
     """Schedule of the published tables, loaded anew when one of them is replaced."""
     times, stops = (VersionedTable(spark, f"{published}/{n}") for n in ("stop_times", "stops"))
-    return Refreshed(
-        lambda: schedule_index(times.read().filter("is_current"), stops.read().filter("is_current")),
-        lambda: (times.version(), stops.version()),
-    )
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def load() -> DataFrame:
+        index = schedule_index(current(times.read()), current(stops.read()))
+        return lookup_layout(index, ["trip_id"], partitions)
+
+    return Refreshed(load, lambda: (times.version(), stops.version()))
 
 
 def main(argv: list[str] | None = None) -> None:

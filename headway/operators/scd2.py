@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,12 +12,19 @@ from pyspark.sql import functions as F
 from headway.functions.cleaning import any_distinct, as_columns, current
 
 from .latest import latest_per_key
+from .skew import one_per_key, own_shuffle
+
+
+def _has_key(keys: Sequence[str]) -> Column:
+    """Rows that can meet another row. The others go around the joins: they would
+    all be sent to the partition of NULL."""
+    return reduce(and_, (F.col(k).isNotNull() for k in keys))
 
 
 def _judged(
     dim: DataFrame, stage: DataFrame, keys: Sequence[str], tracked: Sequence[str]
 ) -> DataFrame:
-    """Open rows with ``__seen`` (key is staged), ``__changed`` and ``__start``.
+    """Open rows with a key, ``__seen`` (key is staged), ``__changed`` and ``__start``.
 
     The staged side is first reduced to one row per key: a row differs from
     some staged row of its key exactly if it differs from the least or the
@@ -23,22 +32,23 @@ def _judged(
     cannot multiply rows however often a key repeats on either side.
     """
     values = F.struct(*as_columns(tracked))
-    staged = stage.groupBy(*as_columns(keys)).agg(
+    staged = one_per_key(
+        stage,
+        keys,
         F.min(values).alias("__lo"),
         F.max(values).alias("__hi"),
-        F.min("start_dt_scd").alias("__start"),
-        F.lit(True).alias("__staged"),
+        F.struct(F.min("start_dt_scd").alias("start")).alias("__staged"),
     )
     own = {c: F.col(c) for c in tracked}
     differs = any_distinct(own, {c: F.col(f"__lo.{c}") for c in tracked}) | any_distinct(
         own, {c: F.col(f"__hi.{c}") for c in tracked}
     )
-    seen = F.coalesce(F.col("__staged"), F.lit(False))
+    seen = F.col("__staged").isNotNull()
     return (
         current(dim)
+        .filter(_has_key(keys))
         .join(staged, list(keys), "left")
-        .withColumn("__seen", seen)
-        .withColumn("__changed", seen & differs)
+        .withColumns({"__seen": seen, "__changed": seen & differs, "__start": F.col("__staged.start")})
     )
 
 
@@ -55,11 +65,20 @@ def new_rows(
     """OP-N5: staged rows to insert: no open row is left for their key once the
     changed ones are closed. A NULL key equals nothing, so it is always new."""
     # An aggregate, not a filter and distinct: pushed into the join, the filter
-    # would make the tracked columns join keys and cost another shuffle.
-    stays = F.bool_or(F.col("__seen") & ~F.col("__changed")).alias("__stays")
-    kept = _judged(dim, stage, keys, tracked).groupBy(*as_columns(keys)).agg(stays)
-    kept = kept.filter("__stays").select(*keys)
-    return stage.join(kept, list(keys), "left_anti").select(*stage.columns)
+    # would make the tracked columns join keys and cost another shuffle. It
+    # carries the start so that it needs the columns the merge itself needs and
+    # Spark shuffles the open rows once for both.
+    stays = F.when(F.col("__seen") & ~F.col("__changed"), F.struct("start_dt_scd"))
+    kept = (
+        _judged(dim, stage, keys, tracked)
+        .groupBy(*as_columns(keys))
+        .agg(F.max(stays).alias("__stays"))
+        .filter(F.col("__stays").isNotNull())
+        .select(*keys)
+    )
+    keyed = stage.filter(_has_key(keys))
+    fresh = keyed.join(own_shuffle(kept, keys), list(keys), "left_anti").select(*stage.columns)
+    return fresh.unionByName(stage.filter(~_has_key(keys)))
 
 
 def scd2_merge_open(
@@ -78,10 +97,11 @@ def scd2_merge_open(
         raise ValueError("close_missing needs run_ts")
     if dedup_stage:
         stage = latest_per_key(stage, keys, ["start_dt_scd"])
-    closes, end = F.col("__changed"), F.col("__start")
+    closes, end, no_key = F.col("__changed"), F.col("__start"), opened.filter(~_has_key(keys))
     if close_missing:
-        closes = closes | ~F.col("__seen")
-        end = F.coalesce(end, run_ts.cast("timestamp"))
+        gone = run_ts.cast("timestamp")
+        closes, end = closes | ~F.col("__seen"), F.coalesce(end, gone)
+        no_key = no_key.withColumns({"end_dt_scd": gone, "is_current": F.lit(False)})
     judged = _judged(opened, stage, keys, tracked).withColumns(
         {"end_dt_scd": F.when(closes, end), "is_current": ~closes}
     )
@@ -89,7 +109,11 @@ def scd2_merge_open(
         {"end_dt_scd": F.lit(None).cast("timestamp"), "is_current": F.lit(True)}
     )
     columns = opened.columns
-    return judged.select(*columns).unionByName(added.select(*columns))
+    return (
+        judged.select(*columns)
+        .unionByName(no_key.select(*columns))
+        .unionByName(added.select(*columns))
+    )
 
 
 def scd2_merge(

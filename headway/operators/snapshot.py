@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from headway.functions.clock import runs_on
 
+from .skew import one_per_key
+
 ADDED, REMOVED = 1, 2  # exception types of the feed standard
 
 
@@ -37,7 +39,7 @@ def services_on_date(
     exceptions = calendar_dates_on_date(calendar_dates, service_date)
     if mode == "gtfs":
         removed = exceptions.filter(F.col("exception_type") == REMOVED).select("service_id")
-        regular = regular.join(removed.distinct(), "service_id", "left_anti")
+        regular = regular.join(one_per_key(removed, ["service_id"]), "service_id", "left_anti")
         exceptions = exceptions.filter(F.col("exception_type") == ADDED)
     elif mode != "reference":
         raise ValueError(f"unknown mode {mode!r}")
@@ -50,7 +52,7 @@ def semi(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     The right side is reduced to its keys before it is shuffled: most of the
     cascade goes from a large table to the few keys it mentions.
     """
-    return left.join(right.select(key).distinct(), key, "left_semi").select(*left.columns)
+    return left.join(one_per_key(right, [key]), key, "left_semi").select(*left.columns)
 
 
 def service_snapshot(

@@ -25,6 +25,14 @@ def builder(app: str) -> SparkSession.Builder:
     return b
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """The adaptive settings, on a session somebody else made."""
+    for k, v in RECOMMENDED.items():
+        if k.startswith("spark.sql.adaptive."):
+            spark.conf.set(k, v)
+    return spark
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path for an intermediate table.
 

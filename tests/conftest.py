@@ -30,6 +30,21 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture
+def conf(spark):
+    """Set session settings for one test."""
+    changed = []
+
+    def put(settings):
+        for k, v in settings.items():
+            changed.append((k, spark.conf.get(k, None)))
+            spark.conf.set(k, v)
+
+    yield put
+    for k, old in reversed(changed):
+        spark.conf.unset(k) if old is None else spark.conf.set(k, old)
+
+
 def plan_of(df) -> str:
     """Physical plan; run the frame first to see what adaptive execution made of it."""
     return df._jdf.queryExecution().executedPlan().toString()

@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from headway.operators.asof import asof_join, asof_lookup, interval_index
+from headway.operators.asof import asof_join, asof_lookup, interval_index, lookup_layout
 
 LEFT = "id int, k string, at int"
 RIGHT = "k string, r_at int, seq int, name string"
@@ -151,3 +151,20 @@ def test_lookup_drops_columns_it_adds(spark):
     out = asof_lookup(left, interval_index(right, ["k"], "r_at"), [("k", "k")], "at", "r_at")
     assert not [c for c in out.columns if c.startswith("__")]
     assert out.select(F.col("r_at")).first()[0] == 3
+
+
+def test_kept_index_is_not_shuffled_again(spark, monkeypatch):
+    right = spark.range(500).selectExpr("concat('k', id % 50) AS k", "CAST(id * 7 AS INT) AS r_at")
+    index = lookup_layout(interval_index(right, ["k"], "r_at"), ["k"], 8).persist()
+    left = spark.range(2000).selectExpr("id", "concat('k', id % 50) AS k", "CAST(id AS INT) AS at")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = asof_lookup(left, index, [("k", "k")], "at", "r_at")
+        df.collect()
+        plan = plan_of(df).split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        index.unpersist()
+    above_cache = plan.split("InMemoryRelation")[0]
+    assert above_cache.count("Exchange hashpartitioning") == 1
+    assert above_cache.count("Sort [") == 1

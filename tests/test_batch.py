@@ -13,10 +13,11 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from headway.operators.latest import latest_per_key
-from headway.operators.snapshot import service_snapshot, services_on_date
+from headway.operators.snapshot import semi, service_snapshot, services_on_date
 from headway.operators.spatial import point_in_polygon, stop_boroughs
 from headway.operators.staging import prepare_staging
 from headway.schemas import CALENDAR, STOP_TIMES, STOPS
+from headway.session import tune
 
 RUN = dt.datetime(2024, 1, 1)
 
@@ -148,6 +149,32 @@ def test_cascade_is_semi_joins(spark):
     assert plan.count("LeftSemi") == 3 and "Inner" not in plan
 
 
+def test_hot_trip_is_split(spark, tmp_path):
+    """Two thirds of the stop times on one trip, and half of them copies."""
+    tune(spark)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+    }
+    spark.range(0, 200000, 1, 8).selectExpr(
+        "IF(id % 3 > 0, 'hot', concat('t', id % 5000)) AS trip_id", "CAST(id DIV 2 AS INT) AS stop_sequence"
+    ).write.parquet(str(tmp_path / "times"))
+    trips = spark.range(4000).selectExpr("explode(array('hot', concat('t', id))) AS trip_id")
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        out = semi(spark.read.parquet(str(tmp_path / "times")), trips, "trip_id").distinct()
+        n = len(out.collect())
+        plan = plan_of(out)
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+    rows = {("hot" if i % 3 else f"t{i % 5000}", i // 2) for i in range(200000) if i % 3 or i % 5000 < 4000}
+    assert n == len(rows)
+    assert "skew=true" in plan
+
+
 # --- OP-N7 ---
 HOLED = [[(0, 0), (4, 0), (4, 4), (0, 4)], [(1, 1), (3, 1), (3, 3), (1, 3)]]
 CONCAVE = [[(10, 0), (14, 0), (14, 4), (12, 1), (10, 4)]]

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from headway.functions.cleaning import with_scd_columns
 from headway.operators import scd2
 from headway.schemas import TABLES
+from headway.session import RECOMMENDED
 from headway.sinks.tables import ScdTable
 
 SCHEMA = "k string, a string, b int, start_dt_scd timestamp, end_dt_scd timestamp, is_current boolean"
@@ -84,13 +85,13 @@ def test_second_merge_changes_nothing(spark, now, staged):
 
 
 def test_close_missing_and_dedup(spark):
-    dim = frame(spark, opened([("x", "p", 1), ("gone", "p", 1)], D1))
+    dim = frame(spark, opened([("x", "p", 1), ("gone", "p", 1), (None, "p", 1)], D1))
     stage = frame(spark, opened([("x", "q", 1), ("x", "q", 1)], D2))
     merged = scd2.scd2_merge(
         dim, stage, KEYS, TRACKED, close_missing=True, run_ts=F.lit(D3), dedup_stage=True
     )
     assert got(merged) == Counter(
-        [("x", "p", 1, D1, D2, False), ("gone", "p", 1, D1, D3, False), ("x", "q", 1, D2, None, True)]
+        [("x", "p", 1, D1, D2, False), (None, "p", 1, D1, D3, False), ("gone", "p", 1, D1, D3, False), ("x", "q", 1, D2, None, True)]
     )
     with pytest.raises(ValueError):
         scd2.scd2_merge(dim, stage, KEYS, TRACKED, close_missing=True)
@@ -164,14 +165,43 @@ def test_every_tracked_column_of_every_table(spark, name):
     assert set(spec.key) | set(spec.tracked) == {f.name for f in spec.schema.fields}
 
 
-def test_each_side_is_shuffled_by_key_only(spark, tmp_path):
-    for name, at in (("dim", D1), ("stage", D2)):
-        frame(spark, opened([(f"k{i}", "p", i) for i in range(50)], at)).write.parquet(str(tmp_path / name))
-    dim, stage = (spark.read.parquet(str(tmp_path / n)) for n in ("dim", "stage"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan = plan_of(scd2.scd2_merge(dim, stage, KEYS, TRACKED))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    shuffles = re.findall(r"Exchange hashpartitioning\((.*?), 8\)", plan)
-    assert len(shuffles) == 5 and all(re.fullmatch(r"k#\d+", s) for s in shuffles)
+def stored(spark, path, rows):
+    frame(spark, rows).write.parquet(str(path))
+    return spark.read.parquet(str(path))
+
+
+def test_shuffles(spark, tmp_path, conf):
+    """Open rows and staged keys are shuffled once for both uses, never by value."""
+    dim, stage = (
+        stored(spark, tmp_path / n, opened([(f"k{i}", "p", i) for i in range(50)], at))
+        for n, at in (("dim", D1), ("stage", D2))
+    )
+    conf({"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    merged = scd2.scd2_merge(dim, stage, KEYS, TRACKED)
+    merged.collect()
+    plan = plan_of(merged).split("== Initial Plan ==")[0]
+    assert plan.count("ReusedExchange") == 2
+    made = re.findall(r"Exchange hashpartitioning\((.*)\), \w+, \[plan_id", plan)
+    assert made and not [m for m in made if "a#" in m or "b#" in m]
+
+
+@pytest.mark.parametrize("hot_side", ["dim", "stage"])
+def test_hot_key_is_split(spark, tmp_path, conf, hot_side):
+    cold = [(f"k{i}", "p", i) for i in range(2000)]
+    hot = cold + [("hot", "p", i) for i in range(20000)]
+    sides = {"dim": cold, "stage": cold, hot_side: hot}
+    conf(
+        {
+            **RECOMMENDED,
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+            "spark.sql.files.maxPartitionBytes": "16k",
+            "spark.sql.files.openCostInBytes": "1k",
+        }
+    )
+    dim = stored(spark, tmp_path / "dim", opened(sides["dim"], D1))
+    stage = stored(spark, tmp_path / "stage", opened(sides["stage"], D2))
+    merged = scd2.scd2_merge(dim, stage, KEYS, TRACKED)
+    assert len(merged.collect()) == len(hot)
+    assert "skew=true" in plan_of(merged).split("== Initial Plan ==")[0]
