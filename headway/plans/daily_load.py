@@ -27,9 +27,9 @@ def load_table(
     spec = TABLES[name]
     staged_at = f"{staging.rstrip('/')}/{name}"
     write_staging(prepare_staging(read_feed_table(spark, landing, spec), spec, run_ts), staged_at)
-    warehouse_table(spark, warehouse, name).merge(
-        spark.read.parquet(staged_at), spec.key, spec.tracked, spec.sort_key
-    )
+    table = warehouse_table(spark, warehouse, name)
+    table.merge(spark.read.parquet(staged_at), spec.key, spec.tracked, spec.sort_key)
+    table.drop_old()
 
 
 def load_feeds(

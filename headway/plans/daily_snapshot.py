@@ -68,5 +68,6 @@ def compact_serving(
         target = VersionedTable(spark, f"{published.rstrip('/')}/{name}")
         rows = day if target.version() is None else target.read().unionByName(day)
         target.replace(latest_per_key(rows, spec.key, ["start_dt_scd"]), spec.sort_key)
+        target.drop_old()
 
     side_by_side(partial(compact, name) for name in TABLES)

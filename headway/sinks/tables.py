@@ -105,6 +105,20 @@ class Pointer:
         row = self.spark.createDataFrame([(seq,)], "seq bigint")
         row.coalesce(1).write.mode("append").parquet(f"{self.base}/pointer")
 
+    def _folder(self, seq: int) -> str:
+        """What only version ``seq`` uses."""
+        raise NotImplementedError
+
+    def drop_old(self, keep: int = 2) -> None:
+        """Delete the folders of all but the last ``keep`` versions."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for seq in range(self._current() - keep, -1, -1):
+            path = jvm.org.apache.hadoop.fs.Path(self._folder(seq))
+            fs = path.getFileSystem(conf)
+            if not fs.exists(path):
+                break
+            fs.delete(path, True)
+
     def _current(self) -> int:
         found = self.version()
         if found is None:
@@ -119,15 +133,17 @@ class VersionedTable(Pointer):
     one, never a mix, and a rebuild that fails changes nothing.
     """
 
+    def _folder(self, seq: int) -> str:
+        return f"{self.base}/version-{seq}"
+
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.base}/version-{self._current()}")
+        return self.spark.read.parquet(self._folder(self._current()))
 
     def replace(self, df: DataFrame, sort_key: Sequence[str] = ()) -> DataFrame:
         """Write ``df``, which may read the current version, then switch to it."""
         seq = self._next()
-        path = f"{self.base}/version-{seq}"
         rows = sorted_layout(df, sort_key) if sort_key else df.hint("rebalance")
-        rows.write.mode("overwrite").parquet(path)
+        rows.write.mode("overwrite").parquet(self._folder(seq))
         self._switch(seq)
         return self.read()
 
@@ -146,6 +162,9 @@ class ScdTable(Pointer):
         super().__init__(spark, base)
         self.schema = schema
 
+    def _folder(self, seq: int) -> str:
+        return f"{self.base}/rows/run={seq}/is_current=true"
+
     def _rows(self, which: Callable[[int], Column]) -> DataFrame:
         seq = self._current()
         stored = T.StructType(self.schema.fields).add("run", "long")

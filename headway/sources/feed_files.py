@@ -68,7 +68,7 @@ def _header(spark: SparkSession, file: str) -> tuple[str, ...]:
         line = spark._jvm.java.io.BufferedReader(reader).readLine() or ""
     finally:
         stream.close()
-    return tuple(c.strip() for c in next(csv.reader([line.lstrip("﻿")]), ()))
+    return tuple(c.strip() for c in next(csv.reader([line.lstrip("\ufeff")]), ()))
 
 
 def _missing_to_null(c: str) -> Column:

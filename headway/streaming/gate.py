@@ -31,14 +31,18 @@ def gate_sink(
         prior = None
         if batch_id > 0:
             prior = spark.read.schema(schema).parquet(f"{state}/batch-{batch_id - 1}")
-        sink(changed_messages(df, feed, seq, ts, bucket_width, prior), batch_id)
-        last = (
-            df.filter(F.col(ts).isNotNull())
-            .groupBy(F.col(feed).cast("string").alias(feed))
-            .agg(F.max_by(F.col(ts).cast("bigint"), seq).alias(ts))
-        )
-        if prior is not None:
-            last = last.unionByName(prior.join(last.select(feed), feed, "left_anti"))
-        last.coalesce(1).write.mode("overwrite").parquet(f"{state}/batch-{batch_id}")
+        df = df.persist()  # read for the output and for the state
+        try:
+            sink(changed_messages(df, feed, seq, ts, bucket_width, prior), batch_id)
+            last = (
+                df.filter(F.col(ts).isNotNull())
+                .groupBy(F.col(feed).cast("string").alias(feed))
+                .agg(F.max_by(F.col(ts).cast("bigint"), seq).alias(ts))
+            )
+            if prior is not None:
+                last = last.unionByName(prior.join(last.select(feed), feed, "left_anti"))
+            last.coalesce(1).write.mode("overwrite").parquet(f"{state}/batch-{batch_id}")
+        finally:
+            df.unpersist()
 
     return write

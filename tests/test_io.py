@@ -31,7 +31,7 @@ def put(path, text):
 # --- OP-S1..S3 ---
 def test_feed_scan(spark, tmp_path):
     put(tmp_path / "queens_2025-07-01/stops.csv", "stop_id,stop_name,zone_id\n1,a,NaN\n2,\"b, c\",\n3,\"say \"\"x\"\"\",z\n")
-    put(tmp_path / "bronx_2025-08-01/stops.txt", "﻿stop_name,stop_id\nd,4\nNA,5\n")
+    put(tmp_path / "bronx_2025-08-01/stops.txt", "\ufeffstop_name,stop_id\nd,4\nNA,5\n")
     put(tmp_path / "bronx_2025-08-01/stop_times.txt", "trip_id\nt\n")
     put(tmp_path / "empty_2025-08-01/stops.csv", "")
     df = read_feed_table(spark, str(tmp_path), "stops", provenance=True)
@@ -129,6 +129,12 @@ def test_versioned_table(spark, tmp_path):
     reader = t.read()
     t.replace(t.read().filter("id < 4"))
     assert (t.version(), t.read().count(), reader.count()) == (1, 4, 10)
+    for n in (3, 2):
+        t.replace(spark.range(n))
+    t.drop_old()
+    assert sorted(p.name for p in (tmp_path / "t").glob("version-*")) == ["version-2", "version-3"]
+    t.drop_old(keep=1)
+    assert t.read().count() == 2
 
 
 def test_metrics_and_preview(spark, tmp_path):
