@@ -31,7 +31,7 @@ def spread(df: DataFrame) -> DataFrame:
     A large table has more splits than that and is left alone.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def wall(c: Column | str) -> Column:

@@ -1,7 +1,4 @@
-"""Daily load: landing folder to warehouse.
-
-spark-submit -m style: ``python -m headway.jobs.load --landing … --staging … --warehouse … --run-ts …``
-"""
+"""Daily load: landing folder to warehouse."""
 
 from __future__ import annotations
 

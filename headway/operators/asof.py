@@ -54,38 +54,46 @@ def asof_join(
         raise ValueError(f"unknown join type {how!r}")
     payload = [c for c in right.columns if c not in by]
     rest = [c for c in payload if c != right_at and c not in tiebreak]
-    asked = left.select(*by, F.col(left_at).alias("__at"), F.lit(True).alias("__asked"))
-    known = right.select(
-        *by,
-        F.col(right_at).alias("__at"),
-        F.lit(False).alias("__asked"),
-        F.struct(*as_columns(payload)).alias("__r"),
-        F.struct(*as_columns([*tiebreak, *rest])).alias("__rank"),
-    )
-    usable = reduce(and_, (F.col(c).isNotNull() for c in [*by, "__at"]))
-    instants = (
-        asked.unionByName(known, allowMissingColumns=True)
-        .filter(usable)
+
+    def bucketed(df: DataFrame) -> DataFrame:
+        usable = reduce(and_, (F.col(c).isNotNull() for c in [*by, "__at"]))
+        return df.filter(usable).withColumn("__bucket", axis_bucket(df, "__at", bucket_width))
+
+    asked = bucketed(left.select(*by, F.col(left_at).alias("__at")).distinct())
+    rank = F.struct(*as_columns([*tiebreak, *rest]))
+    known = bucketed(
+        right.withColumn("__at", F.col(right_at))
         .groupBy(*by, "__at")
-        .agg(F.max_by("__r", "__rank").alias("__r"), F.max("__asked").alias("__asked"))
+        .agg(F.max_by(F.struct(*as_columns(payload)), rank).alias("__r"))
     )
-    instants = instants.withColumn("__bucket", axis_bucket(instants, "__at", bucket_width))
-    # Ordering by both columns changes nothing, an instant is there once; it
-    # makes this branch need the same columns as the other, so that Spark
-    # computes the instants once for both.
-    order = F.when(F.col("__r").isNotNull(), F.struct("__at", "__asked"))
-    before = carried(instants, by, "__bucket", F.col("__r"), order).select(
-        *by, "__bucket", F.col("carry").alias("__r"), F.lit(False).alias("__asked")
+    marks = (
+        known.groupBy(*by, "__bucket")
+        .agg(F.max_by("__r", "__at").alias("last"))
+        .withColumn("wanted", F.lit(False))
+        .unionByName(
+            asked.select(*by, "__bucket").distinct().withColumn("wanted", F.lit(True)),
+            allowMissingColumns=True,
+        )
+    )
+    rows = (
+        asked.withColumn("__asked", F.lit(True))
+        .unionByName(known.withColumn("__asked", F.lit(False)), allowMissingColumns=True)
+        .unionByName(
+            carried(marks, by, "__bucket")
+            .withColumnRenamed("carry", "__r")
+            .withColumn("__asked", F.lit(False)),
+            allowMissingColumns=True,
+        )
     )
-    # A carried row has no instant and sorts in front of its bucket.
+    # A carried row has no instant and sorts in front of its bucket. At one
+    # instant the answer comes before the question: equal times match.
     running = (
         Window.partitionBy(*as_columns([*by, "__bucket"]))
-        .orderBy(F.col("__at").asc_nulls_first())
+        .orderBy(F.col("__at").asc_nulls_first(), "__asked")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     answers = (
-        instants.unionByName(before, allowMissingColumns=True)
-        .withColumn("__m", F.last("__r", ignorenulls=True).over(running))
+        rows.withColumn("__m", F.last("__r", ignorenulls=True).over(running))
         .filter(F.col("__asked") & F.col("__m").isNotNull())
         .select(*[F.col(k).alias(f"__k_{k}") for k in by], "__at", "__m")
     )

@@ -52,19 +52,15 @@ def with_previous(
     ``prior`` (``by``, ``value``) holds the last values of an earlier batch.
     """
     rows = df.withColumn("__bucket", axis_bucket(df, seq, bucket_width))
-    marks = rows.select(by, "__bucket", value, F.struct(F.lit(1), F.col(seq)).alias("__ord"))
+    marks = rows.groupBy(by, "__bucket").agg(
+        F.max_by(value, seq).alias("last"), F.lit(True).alias("wanted")
+    )
     if prior is not None:
-        first = F.lit(-(2**63)).cast("bigint")
-        kind = df.schema[seq].dataType
+        start = F.lit(-(2**62)).cast("bigint").alias("__bucket")  # before all others
         marks = marks.unionByName(
-            prior.select(
-                by,
-                first.alias("__bucket"),
-                value,
-                F.struct(F.lit(0), F.lit(None).cast(kind).alias(seq)).alias("__ord"),
-            )
+            prior.select(by, start, F.col(value).alias("last"), F.lit(False).alias("wanted"))
         )
-    carry = carried(marks, [by], "__bucket", F.col(value), F.col("__ord")).select(
+    carry = carried(marks, [by], "__bucket").select(
         by, "__bucket", F.col("carry").alias(value), F.lit(True).alias("__carry")
     )
     rows = rows.withColumn("__carry", F.lit(False)).unionByName(carry, allowMissingColumns=True)

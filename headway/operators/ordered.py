@@ -32,19 +32,18 @@ def axis_bucket(df: DataFrame, column: str, width: int) -> Column:
     return F.floor(c / F.lit(width)).cast("bigint")
 
 
-def carried(
-    df: DataFrame, by: Sequence[str], bucket: str, value: Column, order: Column
-) -> DataFrame:
-    """Last non-NULL ``value`` before each (by, bucket), as column ``carry``.
+def carried(marks: DataFrame, by: Sequence[str], bucket: str) -> DataFrame:
+    """Last value before each wanted (by, bucket), as column ``carry``.
 
-    ``order`` must be NULL where ``value`` is to be skipped. Buckets with
-    nothing before them are left out.
+    ``marks`` has the columns ``last``, at most one non-NULL per (by, bucket),
+    and ``wanted``. Buckets with nothing before them are left out.
     """
-    last = df.groupBy(*by, bucket).agg(F.max_by(value, order).alias("__last"))
+    # A range frame: a bucket's own mark is not before it, whatever the order.
     before = (
         Window.partitionBy(*as_columns(by))
         .orderBy(bucket)
-        .rowsBetween(Window.unboundedPreceding, -1)
+        .rangeBetween(Window.unboundedPreceding, -1)
     )
-    carry = F.last("__last", ignorenulls=True).over(before)
-    return last.select(*by, bucket, carry.alias("carry")).filter(F.col("carry").isNotNull())
+    carry = F.last("last", ignorenulls=True).over(before)
+    out = marks.select(*by, bucket, "wanted", carry.alias("carry"))
+    return out.filter(F.col("wanted") & F.col("carry").isNotNull()).drop("wanted")

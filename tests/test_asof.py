@@ -12,6 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from headway.operators.asof import asof_join, asof_lookup, interval_index, lookup_layout
+from headway.session import RECOMMENDED
 
 LEFT = "id int, k string, at int"
 RIGHT = "k string, r_at int, seq int, name string"
@@ -96,9 +97,10 @@ def test_hot_key_and_copies(spark):
     assert got(again.select(df.columns)) == brute(left, right)
 
 
-def test_instants_are_computed_once(spark):
-    left = spark.range(1000).selectExpr("id", "id % 10 AS k", "id AS at")
-    right = spark.range(1000).selectExpr("id % 10 AS k", "id AS r_at")
+def test_right_side_is_reduced_once(spark, tmp_path):
+    spark.range(1000).selectExpr("id", "id % 10 AS k", "id AS at").write.parquet(str(tmp_path / "l"))
+    spark.range(1000).selectExpr("id % 10 AS k", "id AS r_at", "id AS v").write.parquet(str(tmp_path / "r"))
+    left, right = (spark.read.parquet(str(tmp_path / n)) for n in "lr")
     df = asof_join(left, right, ["k"], "at", "r_at")
     df.collect()
     plan = plan_of(df)
@@ -106,37 +108,45 @@ def test_instants_are_computed_once(spark):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
-def test_skewed_lookup_is_split(spark):
+SKEWED = {
+    **RECOMMENDED,
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+}
+
+
+def hot_probe(spark):
+    """Two thirds of the rows on one key and instant."""
+    return spark.range(0, 200000, 1, 8).selectExpr(
+        "id",
+        "IF(id % 3 > 0, 'hot', concat('k', id % 500)) AS k",
+        "CAST(IF(id % 3 > 0, 1000, id % 5000) AS INT) AS at",
+    )
+
+
+def few_answers(spark):
+    return spark.range(0, 500).selectExpr(
+        "explode(array('hot', concat('k', id))) AS k", "CAST(id * 7 AS INT) AS r_at"
+    )
+
+
+def test_skewed_lookup_is_split(spark, conf):
     """Without a broadcast the adaptive skew join splits the hot probe."""
-    saved = {
-        k: spark.conf.get(k)
-        for k in (
-            "spark.sql.autoBroadcastJoinThreshold",
-            "spark.sql.adaptive.autoBroadcastJoinThreshold",
-            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes",
-        )
-        if spark.conf.get(k, None) is not None
-    }
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "20k")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20k")
-    try:
-        probe = spark.range(0, 200000, 1, 8).selectExpr(
-            "id", "CASE WHEN id % 3 > 0 THEN 'hot' ELSE concat('k', id % 500) END AS k",
-            "CAST(CASE WHEN id % 3 > 0 THEN 1000 ELSE id % 5000 END AS INT) AS at",
-        )
-        right = spark.range(0, 500).selectExpr(
-            "explode(array('hot', concat('k', id))) AS k", "CAST(id * 7 AS INT) AS r_at", "1 AS seq", "'n' AS name"
-        )
-        index = interval_index(right, ["k"], "r_at", ["seq"])
-        df = asof_lookup(probe, index, [("k", "k")], "at", "r_at")
-        df.collect()
-        assert "skew=true" in plan_of(df)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        for k, v in saved.items():
-            spark.conf.set(k, v)
+    conf(SKEWED)
+    index = interval_index(few_answers(spark), ["k"], "r_at")
+    df = asof_lookup(hot_probe(spark), index, [("k", "k")], "at", "r_at")
+    df.collect()
+    assert "skew=true" in plan_of(df)
+
+
+def test_skewed_asof_join_is_split(spark, conf):
+    """Copies of a left row are one row in the window and split in the join."""
+    conf(SKEWED)
+    df = asof_join(hot_probe(spark), few_answers(spark), ["k"], "at", "r_at")
+    n = len(df.collect())
+    assert "skew=true" in plan_of(df)
+    assert n == sum(1 for i in range(200000) if i % 3 or i % 5000 >= i % 500 * 7)
 
 
 def test_bad_join_type(spark):
@@ -153,7 +163,7 @@ def test_lookup_drops_columns_it_adds(spark):
     assert out.select(F.col("r_at")).first()[0] == 3
 
 
-def test_kept_index_is_not_shuffled_again(spark, monkeypatch):
+def test_kept_index_is_not_shuffled_again(spark):
     right = spark.range(500).selectExpr("concat('k', id % 50) AS k", "CAST(id * 7 AS INT) AS r_at")
     index = lookup_layout(interval_index(right, ["k"], "r_at"), ["k"], 8).persist()
     left = spark.range(2000).selectExpr("id", "concat('k', id % 50) AS k", "CAST(id AS INT) AS at")

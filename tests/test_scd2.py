@@ -172,6 +172,15 @@ def stored(spark, path, rows):
     return spark.read.parquet(str(path))
 
 
+def test_table_that_starts_empty(spark, tmp_path):
+    table = ScdTable(spark, str(tmp_path / "dim"), frame(spark, []).schema)
+    table.merge(frame(spark, []), KEYS, TRACKED, ["k"])
+    assert table.read().isEmpty() and table.read_open().isEmpty()
+    rows = opened([("x", "p", 1), (None, "p", 1)], D1)
+    table.merge(frame(spark, rows), KEYS, TRACKED, ["k"])
+    assert got(table.read()) == Counter(rows)
+
+
 def test_shuffles(spark, tmp_path, conf):
     """Open rows and staged keys are shuffled once for both uses, never by value."""
     dim, stage = (
