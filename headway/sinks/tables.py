@@ -167,7 +167,7 @@ class ScdTable(Pointer):
 
     def _rows(self, which: Callable[[int], Column]) -> DataFrame:
         seq = self._current()
-        stored = T.StructType(self.schema.fields).add("run", "long")
+        stored = T.StructType([*self.schema.fields, T.StructField("run", T.LongType())])
         rows = self.spark.read.schema(stored).parquet(f"{self.base}/rows")
         return rows.filter(which(seq)).select(*self.schema.names)
 
