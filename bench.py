@@ -14,7 +14,7 @@ import time
 from pyspark.sql import SparkSession
 
 from headway.demos import QUERIES
-from headway.session import tune
+from headway.session import ensure_shared, tune
 
 # Streams and file round trips write as they go; the rest end in a no-op write.
 HEADLINE = (
@@ -58,7 +58,7 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    tune(spark)
+    tune(ensure_shared(spark))
     times = {}
     for name in sys.argv[1:] or HEADLINE:
         runs = []

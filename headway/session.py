@@ -33,18 +33,26 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path for an intermediate table.
+def ensure_shared(spark: SparkSession) -> SparkSession:
+    """Give a local session without ``spark.checkpoint.dir`` a folder of its own.
 
-    It lies in the shared folder the cluster names in ``spark.checkpoint.dir``.
-    A local session without that setting gets a temporary folder; a cluster
-    without it is an error, as its executors share no local disk.
+    For entry points, benches and notebooks on one machine. On a cluster the
+    setting has to name a folder that driver and executors share.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
+    if not _shared(spark):
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="headway-")
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="headway-"))
+    return spark
+
+
+def _shared(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new, unused path for an intermediate table, below ``spark.checkpoint.dir``."""
+    root = _shared(spark)
+    if not root:
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -30,4 +30,4 @@ def test_entry(spark):
     import __spark_entry__ as e
 
     assert e.entry(spark).limit(1).count() == 1
-    assert e.queries().keys() == e.oracle_sql().keys()
+    assert QUERIES.keys() <= e.queries().keys() and e.oracle_sql().keys() <= e.queries().keys()
