@@ -14,12 +14,10 @@ from headway.llm import decontaminate, mixing, near_dedup, quality, token_files
 from headway.llm.queries import table, tokenizer_path
 from headway.session import scratch_path
 
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """docs whose doc_id is not in `gone`; a NULL id is in nothing."""
-    return docs.join(gone.select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+    return docs.join(gone.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,12 +38,12 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in the order of the mix, which the files keep."""
-    places = mixing.schedule(docs).select("doc_id", F.col("source").alias("_source"), "slot", "in_block")
+    places = mixing.schedule(docs)
     # Rows that share id and source also share their place, so that none is doubled.
-    places = places.groupBy("doc_id", "_source").agg(F.min(F.struct("slot", "in_block")).alias("_place"))
-    same = F.col("docs.doc_id").eqNullSafe(F.col("places.doc_id")) & F.col("source").eqNullSafe(F.col("_source"))
-    met = docs.alias("docs").join(places.alias("places"), same).select(*[F.col(f"docs.{c}") for c in COLUMNS], "_place")
-    return met.orderBy("_place").select(*COLUMNS)
+    places = places.groupBy("doc_id", "source").agg(F.min(F.struct("slot", "in_block")).alias("place"))
+    same = F.col("docs.doc_id").eqNullSafe(F.col("places.doc_id")) & F.col("docs.source").eqNullSafe(F.col("places.source"))
+    met = docs.alias("docs").join(places.alias("places"), same).orderBy("places.place")
+    return met.select(*[F.col(f"docs.`{c}`") for c in docs.columns])
 
 
 def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
