@@ -6,15 +6,12 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.session import scratch_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-# Words whose hashes one Python worker remembers; beyond it, it starts anew.
-REMEMBERED = 1_000_000
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -63,21 +60,6 @@ def words_of(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_hashes = _Hashes()
-
-
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """Spread 64-bit values: two rounds of shift and odd multiplication."""
     with np.errstate(over="ignore"):
@@ -86,18 +68,106 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def shingle_hashes(words: list[bytes], size: int = 5) -> np.ndarray:
-    """A 64-bit hash for each run of `size` words, in order; fewer words are one run."""
-    h = word_hashes(words)
-    if not len(h):
-        return h
-    size = min(size, len(h))
-    n = len(h) - size + 1
-    out = np.full(n, size, np.uint64)
+# Texts are hashed in runs of about this many bytes.
+PIECE = 1 << 20
+_FACTOR = 0x9E3779B97F4A7C15 | 3  # odd, and 3 modulo 4, so that powers differ in high bits
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_VALUE = mixed(np.arange(1, 257, dtype=np.uint64))
+_powers = [np.ones(1, np.uint64)] * 2
+
+
+def _power_tables(n: int) -> list[np.ndarray]:
+    """_FACTOR^i and its inverse, for i below n."""
+    if len(_powers[0]) < n:
+        with np.errstate(over="ignore"):
+            for j, f in enumerate((_FACTOR, pow(_FACTOR, -1, 1 << 64))):
+                x = np.full(n, f, np.uint64)
+                x[0] = 1
+                _powers[j] = np.multiply.accumulate(x)
+    return _powers
+
+
+def _piece_hashes(piece: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Start and 64-bit hash of every word of some bytes: a polynomial over table values, from prefix sums."""
+    b = np.frombuffer(piece.lower(), np.uint8)
+    gap = np.concatenate([[True], _SPACE[b], [True]])
+    edge = np.flatnonzero(gap[1:] != gap[:-1])
+    start, end = edge[::2], edge[1::2]
+    power, inverse = _power_tables(len(b) + 1)
+    total = np.zeros(len(b) + 1, np.uint64)
+    with np.errstate(over="ignore"):
+        np.cumsum(_VALUE[b] * power[: len(b)], out=total[1:])
+        return start, mixed((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64))
+
+
+def _pieces(text: bytes):
+    """Long texts in pieces that end before white space."""
+    at = 0
+    while len(text) - at > 2 * PIECE:
+        cut = min((x for x in (text.find(c, at + PIECE) for c in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c")) if x >= 0), default=len(text))
+        yield text[at:cut]
+        at = cut
+    yield text[at:]
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts one after another, and the number of words of each."""
+    hashes, counts = [], np.zeros(len(texts), np.int64)
+    run, size = [], 0
+
+    def flush():
+        start, h = _piece_hashes(b" ".join(texts[i] for i in run))
+        bounds = np.cumsum([0] + [len(texts[i]) + 1 for i in run])
+        counts[run] = np.diff(np.searchsorted(start, bounds))
+        hashes.append(h)
+
+    for i, text in enumerate(texts):
+        if len(text) > 2 * PIECE:
+            if run:
+                flush()
+                run, size = [], 0
+            parts = [_piece_hashes(x)[1] for x in _pieces(text)]
+            hashes += parts
+            counts[i] = sum(map(len, parts))
+            continue
+        run.append(i)
+        size += len(text)
+        if size > PIECE:
+            flush()
+            run, size = [], 0
+    if run:
+        flush()
+    return np.concatenate(hashes) if hashes else np.zeros(0, np.uint64), counts
+
+
+def shingle_hashes(texts: list[bytes], size: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of each run of `size` words of each text (fewer words are one run), runs and words by text.
+
+    Words are split at ASCII white space, A-Z is lower case.
+    """
+    h, words = word_hashes(texts)
+    runs = np.where(words > 0, np.maximum(words - size + 1, 1), 0)
+    out = np.zeros(len(h), np.uint64)
     with np.errstate(over="ignore"):
         for j in range(size):
-            out = out * np.uint64(0x9E3779B97F4A7C15) + h[j : j + n]
-    return mixed(out)
+            out = out * np.uint64(_FACTOR)
+            out[: max(0, len(h) - j)] += h[j:]
+        out = mixed(out + np.uint64(size))
+        ends = np.cumsum(words)
+        starts = ends - words
+        for i in np.flatnonzero((words > 0) & (words < size)):
+            x = np.uint64(0)
+            for y in h[starts[i] : ends[i]]:
+                x = x * np.uint64(_FACTOR) + y
+            out[starts[i]] = mixed(np.array([x + np.uint64(words[i])]))[0]
+    # Runs of a text are its first positions.
+    keep = np.arange(len(h)) - np.repeat(starts, words) < np.repeat(runs, words)
+    return out[keep], runs, words
+
+
+def split_runs(flat: np.ndarray, runs: np.ndarray) -> list[np.ndarray]:
+    return np.split(flat, np.cumsum(runs)[:-1]) if len(runs) else []
 
 
 def signed(x: np.ndarray) -> np.ndarray:

@@ -31,17 +31,38 @@ from itertools import combinations
 import numpy as np
 from pyspark.sql import DataFrame
 
-from headway.llm.common import map_texts, shingle_hashes, words_of
+from headway.llm.common import map_texts, shingle_hashes, split_runs
 
-RADIUS, SLAB, RATIO = 16, 1024, 1.15
+RADIUS, SLAB, RATIO = 15, 1024, 1.15
+# Bytes of texts searched at once.
+_CHUNK = 200_000
 _SCHEMA = "doc_id bigint, item_id bigint, similarity double, first_word bigint, window_words bigint"
-# Texts are laid end to end until about this many shingles.
-_CHUNK = 60_000
 
 
-def _fingerprints(counts: np.ndarray, sizes) -> np.ndarray:
-    """Majority bits of (windows, 64) bit counts as 64-bit numbers."""
-    return np.packbits((counts.astype(np.uint16) * 2 > sizes).reshape(-1)).view(np.uint64)
+def _bits(s: np.ndarray) -> np.ndarray:
+    """The 64 bits of each hash as 64 bytes."""
+    return np.unpackbits(s.view(np.uint8)).reshape(-1, 64)
+
+
+def _running(s: np.ndarray, largest: int) -> np.ndarray:
+    """Bit counts before each position.
+
+    Counts stand side by side in 64-bit words and overflow into each other, but the difference
+    of two rows is exact as long as a window's counts fit their bytes.
+    """
+    if largest < 256:
+        out = np.zeros((len(s) + 1, 8), np.uint64)
+        np.cumsum(_bits(s).view(np.uint64), axis=0, out=out[1:])
+        return out
+    out = np.zeros((len(s) + 1, 64), np.uint32)
+    np.cumsum(_bits(s), axis=0, dtype=np.uint32, out=out[1:])
+    return out
+
+
+def _majority(difference: np.ndarray, sizes) -> np.ndarray:
+    """64-bit fingerprints from the difference of two rows of running counts."""
+    counts = difference.view(np.uint8) if difference.dtype == np.uint64 else difference
+    return np.packbits((counts > sizes).reshape(-1)).view(np.uint64)
 
 
 def _flips(most: int) -> np.ndarray:
@@ -50,98 +71,93 @@ def _flips(most: int) -> np.ndarray:
 
 
 class _Index:
-    """The items of a slab by size class."""
+    """The items of a slab by size class, up to 32 in a group."""
 
     def __init__(self, items: list[tuple[int, bytes]], radius: int):
-        self.radius = radius
-        self.groups = []
-        by_size = defaultdict(list)
-        for item_id, text in items:
-            s = shingle_hashes(words_of(text))
+        self.radius, self.groups = radius, []
+        by_size, flips = defaultdict(list), _flips(radius // 4)
+        for (item_id, _), s in zip(items, split_runs(*shingle_hashes([t for _, t in items])[:2]), strict=True):
             if len(s):
-                by_size[round(np.log(len(s)) / np.log(RATIO))].append((item_id, s, len(words_of(text))))
-        flips = _flips(radius // 4)
+                by_size[round(np.log(len(s)) / np.log(RATIO))].append((item_id, s, Counter(s.tolist())))
         for members in by_size.values():
             size = round(np.mean([len(s) for _, s, _ in members]))
-            for at in range(0, len(members), 64):
-                part = members[at : at + 64]
-                fps = np.concatenate([_fingerprints(_bits(s).sum(axis=0, dtype=np.uint32)[None], len(s)) for _, s, _ in part])
-                near = np.zeros((4, 65536), np.uint64)
+            for at in range(0, len(members), 32):
+                part = members[at : at + 32]
+                whole = [_running(s, len(s)) for _, s, _ in part]
+                fps = np.concatenate([_majority(w[-1:] - w[:1], len(s) // 2) for w, (_, s, _) in zip(whole, part, strict=True)])
+                near = np.zeros((4, 65536), np.uint32)
                 for i, fp in enumerate(fps):
                     for b in range(4):
-                        near[b, flips ^ np.uint16((int(fp) >> (16 * b)) & 0xFFFF)] |= np.uint64(1 << i)
+                        near[b, flips ^ np.uint16((int(fp) >> (16 * b)) & 0xFFFF)] |= np.uint32(1 << i)
                 self.groups.append((size, part, fps, near))
         self.largest = max((g[0] for g in self.groups), default=0)
 
-    def candidates(self, size: int, fps: np.ndarray, near: np.ndarray, prints: np.ndarray):
-        """(window, item) within the radius."""
+    def candidates(self, fps: np.ndarray, near: np.ndarray, prints: np.ndarray):
+        """(item, windows) within the radius."""
         blocks = prints.view(np.uint16).reshape(-1, 4)
-        mask = near[0][blocks[:, 0]] | near[1][blocks[:, 1]] | near[2][blocks[:, 2]] | near[3][blocks[:, 3]]
+        mask = near[0].take(blocks[:, 0])
+        for b in (1, 2, 3):
+            mask |= near[b].take(blocks[:, b])
+        some = np.flatnonzero(mask)
+        mask, prints = mask[some], prints[some]
         for i, fp in enumerate(fps):
-            at = np.flatnonzero(mask & np.uint64(1 << i))
-            yield i, at[np.bitwise_count(prints[at] ^ fp) <= self.radius]
-
-
-def _bits(s: np.ndarray) -> np.ndarray:
-    return np.unpackbits(s.view(np.uint8)).reshape(-1, 64)
-
-
-def _similarity(window: Counter, item: Counter) -> float:
-    low = sum((window & item).values())
-    return low / (sum(window.values()) + sum(item.values()) - low)
+            at = np.flatnonzero(mask & np.uint32(1 << i))
+            yield i, some[at[np.bitwise_count(prints[at] ^ fp) <= self.radius]]
 
 
-def _best(s: np.ndarray, near: range, item: np.ndarray) -> tuple[float, int]:
+def _best(s: list[int], near: range, item: Counter, size: int) -> tuple[float, int]:
     """Best similarity and its window among windows of the item's size starting in `near`."""
-    m, want = min(len(item), len(s)), Counter(item.tolist())
-    inside = np.isin(s[near.start : near.stop + m], item)
-    low, best = np.concatenate([[0], np.cumsum(inside)]), (0.0, near.start)
+    m, best = min(size, len(s)), (0.0, near.start)
+    low = [0]
+    for x in s[near.start : near.stop + m]:
+        low.append(low[-1] + (x in item))
     for p in near:
         # At most all of its shingles that the item has at all can be shared.
-        most = low[min(p - near.start + m, len(inside))] - low[p - near.start]
-        if most and most / (m + len(item) - most) > best[0]:
-            value = _similarity(Counter(s[p : p + m].tolist()), want)
-            if value > best[0]:
-                best = value, p
+        most = low[min(p - near.start + m, len(low) - 1)] - low[p - near.start]
+        if most and most / (m + size - most) > best[0]:
+            both = sum((Counter(s[p : p + m]) & item).values())
+            if both / (m + size - both) > best[0]:
+                best = both / (m + size - both), p
     return best
 
 
-def _search(index: _Index, ids: list, runs: list[np.ndarray], words: list[int], least: float) -> list[tuple]:
-    """Rows for texts given as runs of shingles."""
-    s = np.concatenate(runs)
+def _search(index: _Index, ids: list, texts: list[bytes], least: float) -> list[tuple]:
+    s, runs, words = shingle_hashes(texts)
     if not len(s) or not index.groups:
         return []
-    ends = np.cumsum([len(r) for r in runs])
-    starts = ends - [len(r) for r in runs]
-    wide = np.uint8 if index.largest < 256 else np.uint32
-    total = np.zeros((len(s) + 1, 64), wide)
-    np.cumsum(_bits(s), axis=0, dtype=wide, out=total[1:])
-    end_of = np.repeat(ends, [len(r) for r in runs])
+    ends = np.cumsum(runs)
+    starts = ends - runs
+    total = _running(s, index.largest)
+    end_of = np.repeat(ends, runs)
+    full = runs > 0
     best: dict[tuple[int, int], tuple] = {}
-    for size, members, fps, near in index.groups:
+    for g, (size, members, fps, near) in enumerate(index.groups):
         step = max(1, size // 8)
         begin = np.arange(0, max(0, len(s) - size + 1), step)
-        prints = _fingerprints(total[size::step][: len(begin)] - total[: len(begin) * step : step][: len(begin)], size) if len(begin) else np.zeros(0, np.uint64)
-        inside = begin + size <= end_of[begin] if len(begin) else np.zeros(0, bool)
+        prints = _majority(total[size::step][: len(begin)] - total[: len(begin) * step : step][: len(begin)], size // 2)
+        inside = begin + size <= end_of[begin]
         # The first and last window of each text; the whole text if it is shorter.
-        full = ends > starts
         lo = np.concatenate([starts[full], np.maximum(starts, ends - size)[full]])
         hi = np.minimum(lo + size, np.concatenate([ends[full], ends[full]]))
-        edge = _fingerprints(total[hi] - total[lo], (hi - lo)[:, None])
-        begin, prints = np.concatenate([begin[inside], lo]), np.concatenate([prints[inside], edge])
-        for i, at in index.candidates(size, fps, near, prints):
-            item_id, item, _ = members[i]
-            spans: dict[int, list[int]] = {}
-            for p in begin[at]:
-                spans.setdefault(int(np.searchsorted(ends, p, side="right")), []).append(int(p))
-            for d, found in spans.items():
-                own = runs[d]
-                last = max(0, len(own) - len(item))
-                for p in sorted({q - int(starts[d]) for q in found}):
+        edge = _majority(total[hi] - total[lo], (hi - lo)[:, None] // 2)
+        begin, prints = np.concatenate([begin, lo]), np.concatenate([prints, edge])
+        inside = np.concatenate([inside, np.ones(len(lo), bool)])
+        for i, at in index.candidates(fps, near, prints):
+            item_id, item, counts = members[i]
+            found = defaultdict(set)
+            for p in begin[at[inside[at]]].tolist():
+                d = int(np.searchsorted(ends, p, side="right"))
+                found[d].add(p - int(starts[d]))
+            for d, places in found.items():
+                last = max(0, int(runs[d]) - len(item))
+                for p in sorted(places):
                     a, b = min(max(0, p - step - 2), last), min(p + step + 2 + max(0, size - len(item)), last)
-                    value, where = _best(own, range(a, b + 1), item)
-                    if value >= least and (-value, where) < best.get((d, i, id(members)), ((0.0, 0),))[0]:
-                        best[d, i, id(members)] = ((-value, where), ids[d], item_id, min(words[d], len(item) + 4 if len(item) > 1 else words[d]))
+                    # Only the part of the text that the windows cover.
+                    own = s[starts[d] + a : min(ends[d], starts[d] + b + len(item))].tolist()
+                    value, where = _best(own, range(0, b - a + 1), counts, len(item))
+                    if value >= least and (-value, where + a) < best.get((d, g, i), ((0.0, 0),))[0]:
+                        n = min(int(words[d]), len(item) + 4)
+                        best[d, g, i] = ((-value, where + a), ids[d], item_id, n)
     return [(doc, item_id, -v, p, n) for (v, p), doc, item_id, n in best.values()]
 
 
@@ -172,20 +188,12 @@ def _index(items: list[tuple[int, bytes]], radius: int) -> _Index:
 
 def _leaks(docs: DataFrame, items: list[tuple[int, bytes]], least: float, radius: int) -> DataFrame:
     def each(ids, texts):
-        index, rows = _index(items, radius), []
-        held: tuple[list, list, list] = ([], [], [])
-        size = 0
-        for doc_id, text in zip(ids, texts, strict=True):
-            w = words_of(text)
-            held[0].append(doc_id)
-            held[1].append(shingle_hashes(w))
-            held[2].append(len(w))
-            size += len(w)
-            if size >= _CHUNK:
-                rows += _search(index, *held, least)
-                held, size = ([], [], []), 0
-        if held[0]:
-            rows += _search(index, *held, least)
+        index, rows, at, size = _index(items, radius), [], 0, 0
+        for i, text in enumerate(texts):
+            size += len(text)
+            if size >= _CHUNK or i + 1 == len(texts):
+                rows += _search(index, ids[at : i + 1], texts[at : i + 1], least)
+                at, size = i + 1, 0
         names = ("doc_id", "item_id", "similarity", "first_word", "window_words")
         return {n: [r[k] for r in rows] for k, n in enumerate(names)}
 

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import map_texts, mixed, shingle_hashes, signed, small_batches, stored, words_of
+from headway.llm.common import map_texts, mixed, shingle_hashes, signed, small_batches, split_runs, stored
 from headway.llm.graph import components
 
 KEYS, WIDTH = 16, 2
@@ -46,8 +46,8 @@ def sketches(docs: DataFrame, keys: int = KEYS, width: int = WIDTH) -> DataFrame
 
     def each(ids, texts):
         n, fp, left, right = [], [], [], []
-        for text in texts:
-            s = np.unique(shingle_hashes(words_of(text)))
+        for s in split_runs(*shingle_hashes(texts)[:2]):
+            s = np.unique(s)
             n.append(len(s))
             fp.append(xxhash.xxh3_128_digest(s.tobytes()))
             if not len(s):
@@ -71,7 +71,7 @@ def sketches(docs: DataFrame, keys: int = KEYS, width: int = WIDTH) -> DataFrame
 
 def _sets(docs: DataFrame) -> DataFrame:
     def each(ids, texts):
-        return {"doc_id": ids, "shingles": [np.unique(shingle_hashes(words_of(t))).tobytes() for t in texts]}
+        return {"doc_id": ids, "shingles": [np.unique(s).tobytes() for s in split_runs(*shingle_hashes(texts)[:2])]}
 
     return map_texts(docs, each, "doc_id bigint, shingles binary")
 
