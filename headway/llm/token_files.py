@@ -20,7 +20,6 @@ of their texts. Other columns are ignored.
 from __future__ import annotations
 
 import zlib
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -87,30 +86,51 @@ class Codes:
         return np.zeros(0, np.uint32) if value is None else value
 
 
-# Words whose ids one Python worker remembers.
-_REMEMBERED = 400_000
+# Words whose ids one Python worker remembers, twice.
+_REMEMBERED = 500_000
+_TAIL = b"!\"#$%&()*+,-./:;=?@[]^_`{}~\\"
 _encoders: dict[str, _Encoder] = {}
 
 
 class _Encoder(dict):
-    """Ids of a text, word by word.
+    """Ids of a text as little-endian 32-bit numbers, word by word.
 
-    The tokenizer's own split never joins what white space parts, so the ids of a text
-    are those of its words in order; each distinct word is encoded once. White space
-    other than ASCII stays inside a word and is split by the library.
+    The tokenizer's split never joins what white space parts, puts a run of ASCII signs after a
+    letter into a token of its own, and lowers case; so ids are kept by lower-case word,
+    a word with signs at its end is its stem and the signs, and each distinct stem is
+    encoded once. White space other than ASCII stays inside a word and is split by the
+    library. Texts that may hold special tokens are encoded as a whole.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        self.old: dict[bytes, bytes] = {}
 
-    def __missing__(self, word: bytes) -> list[int]:
+    def _whole(self, text: bytes) -> bytes:
+        return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+
+    def __missing__(self, word: bytes) -> bytes:
         if len(self) >= _REMEMBERED:
+            self.old = dict(self)
             self.clear()
-        ids = self[word] = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        return ids
-
-    def ids(self, text: bytes) -> list[int]:
-        return list(chain.from_iterable(map(self.__getitem__, text.split())))
+        value = self.old.get(word)
+        if value is None:
+            stem = word.rstrip(_TAIL)
+            last = stem[-4:].decode(errors="ignore")[-1:]
+            if 0 < len(stem) < len(word) and last.isalpha() and last < "\u0250" and len(last.lower()) == 1:
+                value = self[stem] + self[word[len(stem) :]]
+            elif word.isalpha():
+                # ASCII letters only: one piece, as it is.
+                value = np.array([t.id for t in self.tokenizer.model.tokenize(word.decode())], "<u4").tobytes()
+            else:
+                value = self._whole(word)
+        self[word] = value
+        return value
+
+    def ids(self, text: bytes) -> np.ndarray:
+        if b"<|" in text:
+            return np.frombuffer(self._whole(text), "<u4")
+        return np.frombuffer(b"".join(map(self.__getitem__, text.lower().split())), "<u4")
 
 
 def encoder(path: str) -> _Encoder:
@@ -133,9 +153,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = 1, or
         for batch in batches:
             enc = enc or encoder(tokenizer)
             for doc_id, body, shard in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "body", "shard")), strict=True):
-                ids = enc.ids(body)
-                ids.append(end_id)
-                held.append((doc_id, np.array(ids, np.uint32)))
+                ids = np.append(enc.ids(body), np.uint32(end_id))
+                held.append((doc_id, ids))
                 size += len(ids)
                 if size >= segment:
                     yield _segment(shard, part, held)
