@@ -123,13 +123,20 @@ def _nan_to_null(spark, sf_dir):
 @demo(
     "epoch_to_timestamp",
     """
-SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE date_trunc('second', ts) END AS at
+SELECT event_id, CASE WHEN event_type = 'error' OR event_id % 11 < 4 THEN NULL ELSE date_trunc('second', ts) END AS at
 FROM events
 """,
 )
 def _epoch_to_timestamp(spark, sf_dir):
-    text = F.when(F.col("event_type") == "error", F.col("event_type")).otherwise(
-        F.unix_seconds(instant("ts")).cast("string")
+    """With words, microseconds, more digits than a number holds, and blanks among them."""
+    seconds, kind = F.unix_seconds(instant("ts")).cast("string"), F.col("event_id") % 11
+    text = (
+        F.when(F.col("event_type") == "error", F.col("event_type"))
+        .when(kind == 0, F.concat(seconds, F.lit("000000")))
+        .when(kind == 1, F.concat(seconds, seconds, seconds))
+        .when(kind == 2, F.lit("  "))
+        .when(kind == 3, F.concat(F.lit("-"), seconds, F.lit("00")))
+        .otherwise(seconds)
     )
     return table(spark, sf_dir, "events").select(
         "event_id", wall(clock.epoch_to_ts(text)).alias("at")
@@ -140,7 +147,7 @@ def _epoch_to_timestamp(spark, sf_dir):
     "hms_seconds",
     """
 SELECT l_orderkey, l_linenumber, l_suppkey,
-       CASE WHEN l_returnflag = 'N' THEN NULL
+       CASE WHEN l_returnflag = 'N' OR l_orderkey % 11 < 5 THEN NULL
             ELSE CAST(l_quantity AS BIGINT) * 3600 + l_linenumber * 60 + l_suppkey % 60 END AS seconds
 FROM lineitem
 """,
@@ -153,7 +160,16 @@ def _hms_seconds(spark, sf_dir):
         F.col("l_linenumber").cast("bigint"),
         F.col("l_suppkey") % 60,
     )
-    dirty = F.when(F.col("l_returnflag") == "N", "7:05").otherwise(text)
+    kind = F.col("l_orderkey") % 11
+    dirty = (
+        F.when(F.col("l_returnflag") == "N", "7:05")
+        .when(kind == 0, F.concat(F.lit("7000"), text))
+        .when(kind == 1, F.concat(F.lit("-"), text))
+        .when(kind == 2, "01:60:00")
+        .when(kind == 3, "")
+        .when(kind == 4, F.concat(F.lit("9999999999"), text))
+        .otherwise(text)
+    )
     return table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
@@ -336,3 +352,19 @@ FROM part""",
 )
 def _feed_provenance(spark, sf_dir):
     return read_feed_table(spark, part_feed(spark, sf_dir), PART_FEED, provenance=True)
+
+
+@demo("feed_scan_mixed", SQL_FEED.replace("CASE WHEN p_size <= 25 THEN CAST(p_size AS VARCHAR) END", "CAST(p_size AS VARCHAR)") + "FROM part")
+def _feed_scan_mixed(spark, sf_dir):
+    """One folder table whose parts differ in the order of their columns."""
+    base = f"{scratch_path(spark, 'feed')}/north_2024-01-15/stops.csv"
+    p = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("stop_id"),
+        F.col("p_name").alias("stop_name"),
+        F.col("p_type").alias("stop_desc"),
+        F.col("p_size").cast("string").alias("zone_id"),
+    )
+    orders = (p.columns, p.columns[::-1], [*p.columns[2:], *p.columns[:2]])
+    for i, names in enumerate(orders):
+        p.filter(F.col("stop_id") % len(orders) == i).select(*names).write.mode("append").csv(base, header=True)
+    return read_feed_table(spark, base.rsplit("/", 2)[0], PART_FEED)

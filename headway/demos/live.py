@@ -15,7 +15,6 @@ from .registry import (
     instant,
     lat,
     lon,
-    spread,
     sql_borough,
     sql_haversine,
     sql_lat,
@@ -27,10 +26,10 @@ from .registry import (
 )
 
 # --- messages built from table rows; none of it gathers rows into arrays ---
-def vehicle_messages(spark, sf_dir):
-    """One message per event that is no view: a vehicle on a trip and one on none.
-    Errors become broken text."""
-    e, k = spread(table(spark, sf_dir, "events")), F.col("event_id")
+def vehicle_messages(spark, sf_dir, views=True):
+    """One message per event: a vehicle on a trip and one on none. Errors become
+    broken text. Where views are the schedule, they are not vehicles as well."""
+    e, k = table(spark, sf_dir, "events"), F.col("event_id")
     epoch = F.unix_seconds(instant("ts")).cast("string")
 
     def entity(name, trip):
@@ -55,7 +54,7 @@ def vehicle_messages(spark, sf_dir):
         ).alias("entity"),
     )
     text = F.when(F.col("event_type") == "error", "bad{").otherwise(F.to_json(message))
-    return e.filter("event_type <> 'view'").select(
+    return (e if views else e.filter("event_type <> 'view'")).select(
         text.alias("value"), F.lit("gtfs-vehicle-positions").alias("topic")
     )
 
@@ -65,8 +64,9 @@ SELECT '2.0' AS gtfs_version, CAST(user_id AS VARCHAR) AS entity_id,
        {sql_trip_id("user_id")} AS vp_trip_id, CAST(user_id % 10 AS VARCHAR) AS route_id,
        strftime(ts, '%Y%m%d') AS vp_start_date, {sql_lat("event_id")} AS latitude,
        {sql_lon("event_id")} AS longitude, date_trunc('second', ts) AS vehicle_timestamp
-FROM events WHERE event_type NOT IN ('view', 'error')
+FROM events WHERE event_type <> 'error'
 """
+SQL_PINGS = f"{SQL_POSITIONS} AND event_type <> 'view'"
 
 
 def trip_update_messages(spark, sf_dir):
@@ -103,7 +103,7 @@ def trip_update_messages(spark, sf_dir):
             F.struct(F.col("l_linestatus").alias("id"), update.alias("tripUpdate"))
         ).alias("entity"),
     )
-    return spread(table(spark, sf_dir, "lineitem")).select(
+    return table(spark, sf_dir, "lineitem").select(
         F.to_json(message).alias("value"), F.lit("gtfs-trip-updates").alias("topic")
     )
 
@@ -167,7 +167,7 @@ def alert_messages(spark, sf_dir):
             F.struct(F.col("o_orderkey").cast("string").alias("id"), alert.alias("alert"))
         ).alias("entity"),
     )
-    return spread(table(spark, sf_dir, "orders")).select(
+    return table(spark, sf_dir, "orders").select(
         F.to_json(message).alias("value"), F.lit("gtfs-alerts").alias("topic")
     )
 
@@ -190,7 +190,7 @@ WHERE o_orderpriority NOT IN ('5-LOW', '4-NOT SPECIFIED')
     """SELECT CASE WHEN event_type = 'error' THEN NULL ELSE '2.0' END AS gtfs_version,
        CASE WHEN event_type = 'error' THEN NULL ELSE date_trunc('second', ts) END AS header_timestamp,
        CASE WHEN event_type = 'error' THEN NULL ELSE 2 END AS entities
-       FROM events WHERE event_type <> 'view'""",
+       FROM events""",
 )
 def _parse_envelope(spark, sf_dir):
     rows = nested.parse_envelope(nested.decode(vehicle_messages(spark, sf_dir)), VEHICLE_POSITIONS)
@@ -201,8 +201,9 @@ def _parse_envelope(spark, sf_dir):
     ).withColumn("entities", F.when(F.col("entities") >= 0, F.col("entities")))
 
 
-def positions(spark, sf_dir, header_time=False):
-    parsed = nested.parse_envelope(nested.decode(vehicle_messages(spark, sf_dir)), VEHICLE_POSITIONS)
+def positions(spark, sf_dir, header_time=False, views=True):
+    messages = nested.decode(vehicle_messages(spark, sf_dir, views))
+    parsed = nested.parse_envelope(messages, VEHICLE_POSITIONS)
     return nested.flatten_vehicle_positions(parsed, header_time)
 
 
@@ -276,8 +277,14 @@ def _asof_join_left(spark, sf_dir):
     return asof_join(others, views, ["user_id"], "ts", "view_ts", ["view_id"], how="left")
 
 
+def stops_of(part):
+    """Number of stops: every part is one, whatever the scale."""
+    return part.agg(F.greatest(F.lit(1), F.max("p_partkey") + 1)).scalar()
+
+
 # --- monitor: views make the schedule (time of day), other events the positions ---
 def schedule(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
     stop_times = (
         table(spark, sf_dir, "events")
         .filter("event_type = 'view'")
@@ -285,11 +292,11 @@ def schedule(spark, sf_dir):
             trip_id(F.col("user_id")).alias("trip_id"),
             F.date_format("ts", "HH:mm:ss").alias("arrival_time"),
             F.col("event_id").alias("stop_sequence"),
-            (F.col("event_id") % 200).alias("stop_id"),
+            (F.col("event_id") % stops_of(part)).alias("stop_id"),
         )
     )
     k = F.col("p_partkey")
-    stops = table(spark, sf_dir, "part").select(
+    stops = part.select(
         k.alias("stop_id"),
         F.col("p_name").alias("stop_name"),
         lat(k).alias("stop_lat"),
@@ -299,7 +306,8 @@ def schedule(spark, sf_dir):
 
 
 def monitor(spark, sf_dir):
-    return trip_monitor(positions(spark, sf_dir, header_time=True), schedule(spark, sf_dir), "UTC")
+    pings = positions(spark, sf_dir, header_time=True, views=False)
+    return trip_monitor(pings, schedule(spark, sf_dir), "UTC")
 
 
 MONITOR_TIMES = ("vehicle_timestamp", "header_timestamp", "scheduled_arrival")
@@ -311,9 +319,10 @@ def comparable(df):
 
 
 SQL_MONITOR = f"""
-pings AS ({SQL_POSITIONS}),
+pings AS ({SQL_PINGS}),
 sched AS (SELECT {sql_trip_id("user_id")} AS trip_id, epoch(date_trunc('second', ts) - date_trunc('day', ts)) AS off,
-                 event_id, event_id % 200 AS stop_id FROM events WHERE event_type = 'view'),
+                 event_id, event_id % (SELECT max(p_partkey) + 1 FROM part) AS stop_id
+          FROM events WHERE event_type = 'view'),
 places AS (SELECT p_partkey AS stop_id, p_name AS stop_name, {sql_lat("p_partkey")} AS stop_lat,
                   {sql_lon("p_partkey")} AS stop_lon FROM part),
 ranked AS (

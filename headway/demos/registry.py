@@ -25,15 +25,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Costly work per row on an input of fewer splits than cores: use them all.
-
-    A large table has more splits than that and is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def wall(c: Column | str) -> Column:
     """Instant back to a clock time without zone, as the tables have it."""
     return (F.col(c) if isinstance(c, str) else c).cast("timestamp_ntz")
@@ -43,21 +34,22 @@ def instant(c: str) -> Column:
     return F.col(c).cast("timestamp")
 
 
-# Coordinates made from a key: a box of some 200 m, so both statuses occur.
+# Coordinates made from a key: about 100,000 different ones each way, within some
+# 200 m, so that both statuses occur.
 def lat(k: Column) -> Column:
-    return F.lit(40.7) + (k % 20) / F.lit(10000.0)
+    return F.lit(40.7) + (k * 7919 % 100003) / F.lit(50001500.0)
 
 
 def lon(k: Column) -> Column:
-    return F.lit(-74.0) + (F.floor(k / F.lit(20)) % 20) / F.lit(10000.0)
+    return F.lit(-74.0) + (k * 104729 % 100019) / F.lit(50009500.0)
 
 
 def sql_lat(k: str) -> str:
-    return f"(40.7e0 + ({k} % 20) / 10000e0)"
+    return f"(40.7e0 + ({k} * 7919 % 100003) / 50001500e0)"
 
 
 def sql_lon(k: str) -> str:
-    return f"(-74.0e0 + (CAST(floor({k} / 20) AS BIGINT) % 20) / 10000e0)"
+    return f"(-74.0e0 + ({k} * 104729 % 100019) / 50009500e0)"
 
 
 CODES = ("EN", "QVH", "JK", "CS", "CH", "GH", "ZZ")

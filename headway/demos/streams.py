@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from headway.schemas import VEHICLE_POSITIONS
 from headway.session import scratch_path
 from headway.sources.messages import directory_messages
 from headway.streaming import flows
@@ -12,7 +11,7 @@ from headway.streaming.gate import gate_sink
 from headway.streaming.static import Refreshed
 
 from . import live
-from .registry import demo, wall
+from .registry import demo, table, wall
 
 
 def landed(spark, messages) -> str:
@@ -55,7 +54,8 @@ def _stream_alerts(spark, sf_dir):
 
 @demo("stream_trip_monitor", f"WITH {live.SQL_MONITOR} SELECT * FROM monitor")
 def _stream_trip_monitor(spark, sf_dir):
-    source = directory_messages(spark, landed(spark, live.vehicle_messages(spark, sf_dir)))
+    messages = live.vehicle_messages(spark, sf_dir, views=False)
+    source = directory_messages(spark, landed(spark, messages))
     out = scratch_path(spark, "monitor")
     index = Refreshed(lambda: live.schedule(spark, sf_dir))
     finished(
@@ -79,24 +79,29 @@ def _stream_dedup_positions(spark, sf_dir):
     return out.withColumn("vehicle_timestamp", wall("vehicle_timestamp"))
 
 
+def json_texts(rows):
+    """Orders as JSON texts the SQL can write as well."""
+    pairs = [F.concat(F.lit(f'"{c}":'), F.col(c).cast("string")) for c in ("o_orderkey", "o_custkey")]
+    return rows.select(
+        F.concat(F.lit("{"), F.concat_ws(",", *pairs), F.lit("}")).alias("value"),
+        F.when(F.col("o_orderstatus") == "F", "gtfs-alerts").otherwise("gtfs-trip-updates").alias("topic"),
+    )
+
+
 @demo(
     "stream_raw_archive",
-    """SELECT 'gtfs-vehicle-positions' AS topic, count(*) AS messages,
-              CAST(count_if(event_type = 'error') AS BIGINT) AS broken
-       FROM events WHERE event_type <> 'view'
-       UNION ALL SELECT 'gtfs-alerts', count(*), 0 FROM orders""",
+    """SELECT CASE WHEN o_orderstatus = 'F' THEN 'gtfs-alerts' ELSE 'gtfs-trip-updates' END AS topic,
+              '{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey || '}' AS value
+       FROM orders
+       UNION ALL SELECT 'gtfs-vehicle-positions', props FROM events""",
 )
 def _stream_raw_archive(spark, sf_dir):
-    both = live.vehicle_messages(spark, sf_dir).union(live.alert_messages(spark, sf_dir))
-    source = directory_messages(spark, landed(spark, both))
+    """Three topics into one archive, every text as it came."""
+    events = table(spark, sf_dir, "events").select(F.col("props").alias("value"), F.lit("gtfs-vehicle-positions").alias("topic"))
+    source = directory_messages(spark, landed(spark, json_texts(table(spark, sf_dir, "orders")).union(events)))
     out = scratch_path(spark, "archive")
     finished(flows.archive_raw(source, out, scratch_path(spark, "ckpt"), trigger=None))
-    broken = F.from_json("value", VEHICLE_POSITIONS)["header"].isNull().cast("bigint")
-    return (
-        spark.read.parquet(out)
-        .groupBy(F.col("topic").cast("string").alias("topic"))
-        .agg(F.count("*").alias("messages"), F.sum(broken).alias("broken"))
-    )
+    return spark.read.parquet(out).select(F.col("topic").cast("string").alias("topic"), "value")
 
 
 @demo(
@@ -112,3 +117,24 @@ def _stream_feed_gate(spark, sf_dir):
     sink = gate_sink(state, flows.batch_files(out), bucket_width=1000)
     finished(flows.start_append(source, sink, scratch_path(spark, "ckpt"), trigger=None))
     return spark.read.parquet(out).select("feed", "seq", "header_ts", "previous_ts")
+
+
+@demo(
+    "stream_feed_metrics",
+    f"""WITH {live.SQL_GATE}
+        SELECT to_timestamp(header_ts) AT TIME ZONE 'UTC' AS timestamp, feed,
+               'update_interval_sec' AS metric, header_ts - previous_ts AS value
+        FROM gated WHERE previous_ts IS NOT NULL
+        UNION ALL
+        SELECT to_timestamp(header_ts) AT TIME ZONE 'UTC', feed, 'payload_size_bytes', strlen(props) FROM gated""",
+)
+def _stream_feed_metrics(spark, sf_dir):
+    """Gate and metrics from the same batches."""
+    path = scratch_path(spark, "landing")
+    live.feed_messages(spark, sf_dir).write.parquet(path)
+    source = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    out, metrics, state = (scratch_path(spark, n) for n in ("gated", "metrics", "state"))
+    sinks = flows.batch_files(out), flows.batch_files(metrics)
+    finished(flows.gated_stream(source, state, *sinks, scratch_path(spark, "ckpt"), trigger=None))
+    rows = spark.read.parquet(metrics).select("timestamp", "feed", "metric", "value")
+    return rows.withColumn("timestamp", wall("timestamp"))

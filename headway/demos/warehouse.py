@@ -12,8 +12,10 @@ from headway.operators.latest import latest_per_key
 from headway.operators.monitor import schedule_with_stops
 from headway.plans.daily_snapshot import write_snapshot
 from headway.session import scratch_path
-from headway.sinks.tables import VersionedTable, append_serving, sorted_layout
+from headway.sinks.tables import ScdTable, VersionedTable, append_serving, service_day, sorted_layout
+from headway.sources.versions import VersionState
 
+from .live import stops_of
 from .registry import demo, instant, lat, lon, sql_lat, sql_lon, table, wall
 
 # --- versioned table: lines shipped before a date, merged with those since ---
@@ -72,6 +74,45 @@ def _scd2_merge(spark, sf_dir):
     return clocked(scd2.scd2_merge(dim, stage, KEYS, TRACKED))
 
 
+@demo(
+    "scd2_stored",
+    f"""WITH {SQL_DIM}, newest AS (SELECT *, row_number() OVER (PARTITION BY order_id, line
+          ORDER BY start_dt_scd DESC, flag DESC NULLS LAST, status DESC) AS rn
+        FROM (SELECT order_id, line, flag, status, l_shipdate AS start_dt_scd FROM line
+              WHERE l_shipdate < TIMESTAMP '1998-06-15' AND order_id IS NOT NULL AND line IS NOT NULL)),
+    a AS (SELECT order_id, line, flag, status, start_dt_scd FROM newest WHERE rn = 1),
+    b AS (SELECT order_id, line, flag, CASE WHEN order_id % 10 = 0 THEN 'X' ELSE status END AS status,
+                 TIMESTAMP '1998-06-16' AS start_dt_scd FROM a),
+    c AS (SELECT order_id, line, flag, CASE WHEN order_id % 10 = 0 THEN 'X' ELSE status END AS status,
+                 TIMESTAMP '1998-06-17' AS start_dt_scd FROM a WHERE order_id % 10 = 0
+          UNION ALL SELECT -order_id - 1, line, flag, status, TIMESTAMP '1998-06-17' FROM a WHERE order_id % 7 = 0)
+    SELECT a.order_id, a.line, a.flag, a.status, a.start_dt_scd,
+           CASE WHEN b.status IS DISTINCT FROM a.status THEN TIMESTAMP '1998-06-16' END AS end_dt_scd,
+           b.status IS NOT DISTINCT FROM a.status AS is_current
+    FROM a JOIN b ON a.order_id = b.order_id AND a.line = b.line
+    UNION ALL SELECT b.order_id, b.line, b.flag, b.status, b.start_dt_scd, CAST(NULL AS TIMESTAMP), TRUE
+    FROM b JOIN a ON a.order_id = b.order_id AND a.line = b.line WHERE b.status IS DISTINCT FROM a.status
+    UNION ALL SELECT *, CAST(NULL AS TIMESTAMP), TRUE FROM c WHERE order_id < 0""",
+)
+def _scd2_stored(spark, sf_dir):
+    """Three merges through the store: the first with repeated keys, the second with changes
+    to a tenth of the orders, the third with nothing but new keys."""
+    dim, _ = dim_and_stage(spark, sf_dir)
+    first = dim.filter("order_id IS NOT NULL AND line IS NOT NULL").select(*KEYS, *TRACKED, "start_dt_scd")
+    stage = first.withColumns({"end_dt_scd": F.lit(None).cast("timestamp"), "is_current": F.lit(True)})
+    store = ScdTable(spark, scratch_path(spark, "dimension"), stage.schema)
+    store.merge(stage, KEYS, TRACKED, KEYS, dedup_stage=True)
+    status = F.when(F.col("order_id") % 10 == 0, "X").otherwise(F.col("status"))
+    opened = store.read_open()
+    second = opened.withColumns({"status": status, "start_dt_scd": F.lit("1998-06-16").cast("timestamp")})
+    start = F.lit("1998-06-17").cast("timestamp")
+    third = second.withColumn("start_dt_scd", start)
+    new = opened.filter("order_id % 7 = 0").withColumns({"order_id": -F.col("order_id") - 1, "start_dt_scd": start})
+    store.merge(second, KEYS, TRACKED, KEYS)
+    store.merge(third.filter("order_id % 10 = 0").unionByName(new), KEYS, TRACKED, KEYS)
+    return clocked(store.read())
+
+
 @demo(
     "changed_rows",
     f"WITH {SQL_DIM} SELECT order_id, line, flag, status, start_dt_scd, end_dt_scd, is_current "
@@ -175,7 +216,7 @@ SQL_TABLES = """
 agency AS (SELECT n_nationkey AS agency_id, n_name AS agency_name FROM nation),
 routes AS (SELECT c_custkey AS route_id, c_nationkey AS agency_id, c_name AS route_long_name FROM customer),
 trips AS (SELECT o_orderkey AS trip_id, o_custkey AS route_id, o_custkey AS service_id,
-                 o_orderkey % 100 AS shape_id FROM orders),
+                 o_orderkey % (SELECT max(p_partkey) + 1 FROM part) AS shape_id FROM orders),
 shapes AS (SELECT p_partkey AS shape_id, p_size AS shape_pt_sequence FROM part),
 stop_times AS (SELECT l_orderkey AS trip_id, l_linenumber AS stop_sequence, l_partkey AS stop_id FROM lineitem),
 stops AS (SELECT p_partkey AS stop_id, p_name AS stop_name FROM part),
@@ -217,7 +258,7 @@ def feed_tables(spark, sf_dir):
             F.col("o_orderkey").alias("trip_id"),
             F.col("o_custkey").alias("route_id"),
             service,
-            (F.col("o_orderkey") % 100).alias("shape_id"),
+            (F.col("o_orderkey") % stops_of(part)).alias("shape_id"),
         ),
         "shapes": part.select(
             F.col("p_partkey").alias("shape_id"), F.col("p_size").alias("shape_pt_sequence")
@@ -261,6 +302,27 @@ def _semi_cascade(spark, sf_dir):
     return snapshot.service_snapshot(feed_tables(spark, sf_dir), DAY)["stop_times"]
 
 
+def _written(name):
+    def query(spark, sf_dir):
+        """Through the written snapshot, as the daily job does it."""
+        serving = scratch_path(spark, "serving")
+        write_snapshot(spark, feed_tables(spark, sf_dir), serving, DAY)
+        return spark.read.parquet(service_day(f"{serving}/{name}", DAY))
+
+    return query
+
+
+for _name in ("agency", "routes", "trips", "shapes", "stop_times", "stops"):
+    demo(f"snapshot_{_name}", f"WITH {SQL_TABLES} SELECT * FROM t_{_name}")(_written(_name))
+demo(
+    "snapshot_calendar",
+    f"WITH {SQL_TABLES} SELECT * FROM calendar WHERE monday = 1 AND DATE '1998-06-15' BETWEEN start_date AND end_date",
+)(_written("calendar"))
+demo(
+    "snapshot_calendar_dates",
+    f"WITH {SQL_TABLES} SELECT * FROM calendar_dates WHERE date = DATE '1998-06-15'",
+)(_written("calendar_dates"))
+
 NAMES = ("agency", "routes", "trips", "shapes", "stop_times", "stops")
 
 
@@ -355,3 +417,17 @@ def _feed_version_gate(spark, sf_dir):
 )
 def _feed_next_versions(spark, sf_dir):
     return feeds.next_versions(*feed_versions(spark, sf_dir))
+
+
+@demo(
+    "version_state_roundtrip",
+    f"""WITH {SQL_VERSIONS} SELECT feed_url, version_date FROM incoming UNION ALL
+        SELECT feed_url, version_date FROM stored WHERE feed_url NOT IN (SELECT feed_url FROM incoming)""",
+)
+def _version_state_roundtrip(spark, sf_dir):
+    """Committed twice through the stored state: what was known, then what a load found."""
+    incoming, stored = feed_versions(spark, sf_dir)
+    state = VersionState(spark, scratch_path(spark, "versions"))
+    state.commit(feeds.next_versions(stored, state.read()))
+    state.commit(feeds.next_versions(incoming, state.read()))
+    return state.read()

@@ -56,8 +56,13 @@ def cast_to(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def yyyymmdd_to_date(c: Column | str) -> Column:
-    """OP-P3: yyyyMMdd number or text to a date; NULL if it is not one."""
-    return F.try_to_date(as_col(c).cast("string"), "yyyyMMdd")
+    """OP-P3: yyyyMMdd number or text to a date; NULL if it is not one.
+
+    Only texts whose month and day can be right are parsed: a parse that fails
+    costs an exception.
+    """
+    text = as_col(c).cast("string")
+    return F.when(text.rlike(r"^\d{4}(0[1-9]|1[0-2])(0[1-9]|[12]\d|3[01])$"), F.try_to_date(text, "yyyyMMdd"))
 
 
 def nan_text_to_null(df: DataFrame, nan_to_null: bool = False) -> DataFrame:

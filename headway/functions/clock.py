@@ -9,19 +9,25 @@ from pyspark.sql import functions as F
 
 from .cleaning import as_col, whole_number
 
+FIRST_SECOND, LAST_SECOND = -62135596800, 253402300799
+HMS = r"^\s*(\d{1,5})\s*:\s*([0-5]?\d)\s*:\s*([0-5]?\d)(?:\.\d*)?\s*(?::.*)?$"
+
 WEEKDAYS = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
 
 
 def epoch_to_ts(c: Column | str) -> Column:
-    """OP-P9: epoch seconds as text to an instant; NULL if not a number."""
-    return F.timestamp_seconds(whole_number(c, "bigint"))
+    """OP-P9: epoch seconds as text to an instant; NULL if not a number, or none
+    of the years 1 to 9999 (say, microseconds)."""
+    seconds = whole_number(c, "bigint")
+    return F.timestamp_seconds(F.when(seconds.between(FIRST_SECOND, LAST_SECOND), seconds))
 
 
 def hms_to_seconds(c: Column | str) -> Column:
-    """OP-P10: ``HH:MM:SS`` to seconds; hours may pass 24, a short text is NULL."""
-    parts = F.split(as_col(c), ":")
-    hours, minutes, seconds = (whole_number(F.get(parts, F.lit(i))) for i in range(3))
-    return hours * 3600 + minutes * 60 + seconds
+    """OP-P10: ``HH:MM:SS`` to seconds. Hours may pass 24; a sign, minutes or
+    seconds above 59, too few parts and more than five digits of hours are NULL."""
+    text = F.trim(as_col(c).cast("string"))
+    part = lambda i: F.regexp_extract(text, HMS, i).try_cast("int")
+    return F.when(text.rlike(HMS), part(1) * 3600 + part(2) * 60 + part(3))
 
 
 def service_midnight(date: Column | str, tz: str, anchor: str = "midnight") -> Column:
@@ -45,7 +51,8 @@ def scheduled_ts(
     date: Column | str, seconds: Column | str, tz: str, anchor: str = "midnight"
 ) -> Column:
     """OP-P11: instant of a schedule offset on a service date in the feed's zone."""
-    return F.timestamp_seconds(service_midnight(date, tz, anchor) + as_col(seconds))
+    at = F.try_add(service_midnight(date, tz, anchor), as_col(seconds).cast("bigint"))
+    return F.timestamp_seconds(F.when(at.between(FIRST_SECOND, LAST_SECOND), at))
 
 
 def runs_on(service_date: dt.date) -> Column:

@@ -15,7 +15,7 @@ from headway.operators.asof import lookup_layout
 from headway.operators.monitor import schedule_index
 from headway.session import builder
 from headway.sinks.tables import VersionedTable
-from headway.sources.messages import TOPICS, directory_messages, kafka_messages
+from headway.sources.messages import TOPICS, directory_messages, feed_messages, kafka_messages
 from headway.streaming import flows
 from headway.streaming.static import Refreshed
 
@@ -25,24 +25,25 @@ UPDATES, POSITIONS, ALERTS = TOPICS
 def published_index(spark: SparkSession, published: str) -> Refreshed:
     """Schedule of the published tables, loaded anew when one of them is replaced."""
     times, stops = (VersionedTable(spark, f"{published}/{n}") for n in ("stop_times", "stops"))
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-
     def load() -> DataFrame:
         index = schedule_index(current(times.read()), current(stops.read()))
-        return lookup_layout(index, ["trip_id"], partitions)
+        return lookup_layout(index, ["trip_id"])
 
     return Refreshed(load, lambda: (times.version(), stops.version()))
 
 
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(description=__doc__)
-    p.add_argument("flow", choices=["positions", "updates", "alerts", "archive", "monitor"])
+    p.add_argument("flow", choices=["positions", "updates", "alerts", "archive", "monitor", "gate"])
     source = p.add_mutually_exclusive_group(required=True)
     source.add_argument("--servers")
     source.add_argument("--directory")
     p.add_argument("--output", required=True)
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--published", help="published tables, for the monitor")
+    p.add_argument("--metrics", help="folder of feed metrics, for the gate")
+    p.add_argument("--dedup", action="store_true", help="drop positions that a later poll repeats")
+    p.add_argument("--archive-to", help="move read files of --directory there")
     p.add_argument("--tz", default="America/New_York", help="zone of the schedule")
     p.add_argument("--trigger", default=flows.TRIGGER, help="pause between batches, or 'once'")
     a = p.parse_args(argv)
@@ -52,11 +53,16 @@ def main(argv: list[str] | None = None) -> None:
     if a.servers:
         messages = kafka_messages(spark, a.servers, topics.get(a.flow, TOPICS))
     else:
-        messages = directory_messages(spark, a.directory)
+        one = a.flow == "gate"  # it needs to know which message came first
+        messages = directory_messages(spark, a.directory, whole_file=one, archive_to=a.archive_to)
         messages = messages.filter(messages["topic"].isin(*topics.get(a.flow, TOPICS)))
     sink = flows.batch_files(a.output)
     if a.flow == "archive":
         query = flows.archive_raw(messages, a.output, a.checkpoint, trigger=trigger)
+    elif a.flow == "gate":
+        metrics = flows.batch_files(a.metrics or f"{a.output}-metrics")
+        state = f"{a.output}-state"
+        query = flows.gated_stream(feed_messages(messages), state, sink, metrics, a.checkpoint, trigger)
     elif a.flow == "monitor":
         index = published_index(spark, a.published)
         query = flows.trip_monitor_stream(messages, index, sink, a.checkpoint, a.tz, trigger)
@@ -66,6 +72,8 @@ def main(argv: list[str] | None = None) -> None:
             "updates": flows.trip_update_stream,
             "alerts": flows.alert_stream,
         }[a.flow](messages)
+        if a.flow == "positions" and a.dedup:
+            flat = flows.dedup_positions(flat)
         query = flows.start_append(flat, sink, a.checkpoint, trigger)
     query.awaitTermination()
 

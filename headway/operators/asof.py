@@ -147,11 +147,12 @@ def interval_index(
     )
 
 
-def lookup_layout(index: DataFrame, by: Sequence[str], num_partitions: int) -> DataFrame:
+def lookup_layout(index: DataFrame, by: Sequence[str], num_partitions: int | None = None) -> DataFrame:
     """An index laid out for many lookups: keep it, and only the left side of
     each lookup is shuffled, if it is not broadcast anyway."""
     keys = ["__bucket", *by]
-    return index.repartition(num_partitions, *as_columns(keys)).sortWithinPartitions(*keys)
+    given = [num_partitions] if num_partitions else []
+    return index.repartition(*given, *as_columns(keys)).sortWithinPartitions(*keys)
 
 
 def asof_lookup(

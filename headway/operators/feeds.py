@@ -13,7 +13,8 @@ from .ordered import axis_bucket, carried
 
 def changed_feeds(incoming: DataFrame, stored: DataFrame) -> DataFrame:
     """OP-N8/C5: feeds whose version is new. Both have feed_url, version_date."""
-    known = stored.select("feed_url", F.col("version_date").alias("__stored"))
+    # One version per feed, the newest, so that no feed is given twice.
+    known = stored.groupBy("feed_url").agg(F.max("version_date").alias("__stored"))
     seen = incoming.withColumn("version_date", version_text("version_date"))
     return (
         seen.join(known, "feed_url", "left")

@@ -7,11 +7,12 @@ from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from headway.operators.feeds import changed_feeds
+from headway.operators.feeds import changed_feeds, next_versions
 from headway.operators.staging import prepare_staging
 from headway.schemas import TABLES
 from headway.sinks.tables import ScdTable, write_staging
-from headway.sources.feed_files import read_feed_table
+from headway.sources.feed_files import FeedFiles, read_feed_table
+from headway.sources.versions import VersionState, feed_versions
 
 from . import side_by_side
 
@@ -21,7 +22,7 @@ def warehouse_table(spark: SparkSession, warehouse: str, name: str) -> ScdTable:
 
 
 def load_table(
-    spark: SparkSession, landing: str, staging: str, warehouse: str, name: str, run_ts: Column
+    spark: SparkSession, landing: str | FeedFiles, staging: str, warehouse: str, name: str, run_ts: Column
 ) -> None:
     """One table: stage what the feeds hold now, merge it into the warehouse."""
     spec = TABLES[name]
@@ -40,11 +41,35 @@ def load_feeds(
     run_ts: Column,
     names: Iterable[str] = tuple(TABLES),
 ) -> None:
+    files = FeedFiles(spark, landing)  # one listing for all tables
     side_by_side(
-        partial(load_table, spark, landing, staging, warehouse, name, run_ts) for name in names
+        partial(load_table, spark, files, staging, warehouse, name, run_ts) for name in names
     )
 
 
+def load_if_changed(
+    spark: SparkSession,
+    landing: str,
+    staging: str,
+    warehouse: str,
+    state: str,
+    run_ts: Column,
+    names: Iterable[str] = tuple(TABLES),
+) -> bool:
+    """OP-C5 with OP-S9: load only if a feed has another version than last time.
+
+    The state is written once all tables are merged, so a load that fails is
+    done again. Tells whether it loaded.
+    """
+    stored = VersionState(spark, state)
+    incoming, known = feed_versions(spark, landing), stored.read()
+    if not needs_load(incoming, known):
+        return False
+    load_feeds(spark, landing, staging, warehouse, run_ts, names)
+    stored.commit(next_versions(incoming, known))
+    return True
+
+
 def needs_load(incoming: DataFrame, stored: DataFrame) -> bool:
     """OP-C5: nothing changed means the load is skipped; the snapshot still runs."""
     return not changed_feeds(incoming, stored).isEmpty()

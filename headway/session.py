@@ -56,3 +56,9 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     if not root:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def filesystem(spark: SparkSession, path: str):
+    """Hadoop file system and path object, for folders that no reader or writer covers."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from headway.operators.feeds import feed_metrics
 from headway.operators.monitor import trip_monitor
 from headway.operators.nested import (
     decode,
@@ -18,8 +19,11 @@ from headway.operators.nested import (
 )
 from headway.schemas import ALERTS, TRIP_UPDATES, VEHICLE_POSITIONS
 from headway.sinks.tables import write_jdbc
+from headway.session import filesystem
 from headway.sources.jdbc import JdbcConf
+from headway.sources.messages import SEQ_PER_SECOND
 
+from .gate import gate_sink
 from .static import Refreshed
 
 Sink = Callable[[DataFrame, int], None]
@@ -29,15 +33,43 @@ WATERMARK = "2 minutes"
 TRIGGER = "30 seconds"
 
 
-def batch_files(path: str) -> Sink:
-    """OP-K4: a folder per micro-batch. A batch run again replaces its folder."""
+def batch_files(path: str, group: int = 1000) -> Sink:
+    """OP-K4: a folder per micro-batch, below one per ``group`` batches.
+
+    A batch run again replaces its folder. Once a group is over, its folders are
+    rewritten as one, so that there are few files however long the flow runs.
+    """
+    path = path.rstrip("/")
 
     def write(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        df.write.mode("overwrite").parquet(f"{path}/batches={batch_id // group}/batch_id={batch_id}")
+        if batch_id % group == 0 and batch_id > 0:
+            compact_batches(df.sparkSession, path, batch_id // group - 1)
 
     return write
 
 
+def compact_batches(spark: SparkSession, path: str, number: int) -> None:
+    """Rewrite a finished group of batch folders as one.
+
+    The new folder takes the place of the old one by renaming. If that was interrupted,
+    the next call first puts back what is there.
+    """
+    group, new, old = f"{path}/batches={number}", f"{path}/_new-{number}", f"{path}/_old-{number}"
+    fs, there = filesystem(spark, group)
+    aside, fresh = (filesystem(spark, p)[1] for p in (old, new))
+    if fs.exists(aside) and not fs.exists(there):
+        fs.rename(aside, there)
+    if not fs.exists(there) or len(fs.listStatus(there)) < 2:
+        return
+    rows = spark.read.option("basePath", path).parquet(f"{group}/*")
+    columns = [c for c in rows.columns if c not in ("batches", "batch_id")]
+    rows.select(*columns).hint("rebalance").write.mode("overwrite").parquet(f"{new}/batch_id={-1 - number}")
+    fs.rename(there, aside)
+    fs.rename(fresh, there)
+    fs.delete(aside, True)
+
+
 def batch_jdbc(conf: JdbcConf, table: str, num_partitions: int | None = None) -> Sink:
     """To a database, ``batch_id`` added so that a repeated batch can be told apart."""
 
@@ -119,6 +151,29 @@ def trip_monitor_stream(
     )
 
 
+def gated_stream(
+    messages: DataFrame,
+    state: str,
+    sink: Sink,
+    metrics: Sink,
+    checkpoint: str,
+    trigger: str | None = TRIGGER,
+) -> StreamingQuery:
+    """OP-T8/T9/K10: messages (feed, seq, header_ts, json_str) that change their feed, and
+    what they say about it, from the same batch. Both sinks replace a batch done again."""
+
+    def both(df: DataFrame, batch_id: int) -> None:
+        df = df.persist()
+        try:
+            sink(df, batch_id)
+            metrics(feed_metrics(df, F.timestamp_seconds("header_ts")), batch_id)
+        finally:
+            df.unpersist()
+
+    gate = gate_sink(state, both, bucket_width=SEQ_PER_SECOND * 3600)
+    return start_append(messages, gate, checkpoint, trigger, "gate")
+
+
 def archive_raw(
     messages: DataFrame,
     path: str,

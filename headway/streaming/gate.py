@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway.operators.feeds import changed_messages
+from headway.session import filesystem
 
 
 def gate_sink(
@@ -23,6 +24,7 @@ def gate_sink(
     The last header time per feed is a table of one row per feed, written per
     batch next to the output. A batch reads the state its predecessor wrote and
     overwrites its own, so doing it again after a failure gives the same result.
+    Older states than the predecessor's are deleted.
     """
     schema = f"{feed} string, {ts} bigint"
 
@@ -41,7 +43,9 @@ def gate_sink(
             )
             if prior is not None:
                 last = last.unionByName(prior.join(last.select(feed), feed, "left_anti"))
-            last.coalesce(1).write.mode("overwrite").parquet(f"{state}/batch-{batch_id}")
+            last.write.mode("overwrite").parquet(f"{state}/batch-{batch_id}")
+            fs, old = filesystem(spark, f"{state}/batch-{batch_id - 2}")
+            fs.delete(old, True)
         finally:
             df.unpersist()
 
