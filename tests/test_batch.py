@@ -236,3 +236,27 @@ def test_text_and_number_stop_ids_join(spark):
     stops = spark.createDataFrame([(10, "a", 1.0, 2.0)], "stop_id int, stop_name string, stop_lat double, stop_lon double")
     assert schedule_with_stops(times, stops).count() == 1
     assert STOP_TIMES.sort_key == ("trip_id", "stop_sequence", "start_dt_scd")
+
+
+def test_long_outlines(spark):
+    """A star of 4,000 edges and a hole: plain even-odd test against the cells."""
+    import math
+    import random
+
+    def ring(n, r0, r1):
+        return [(math.cos(6.283185307 * i / n) * (r0 if i % 2 else r1), math.sin(6.283185307 * i / n) * (r0 if i % 2 else r1)) for i in range(n)]
+
+    rings = [ring(4000, 1.0, 1.02), ring(301, 0.4, 0.5)]
+    r = random.Random(6)
+    points = [(i, r.uniform(-1.1, 1.1), r.uniform(-1.1, 1.1)) for i in range(1500)]
+
+    def inside(x, y):
+        hits = 0
+        for ring_ in rings:
+            for (x1, y1), (x2, y2) in zip(ring_, ring_[1:] + ring_[:1], strict=True):
+                hits += (y1 > y) != (y2 > y) and x < x1 + (y - y1) * (x2 - x1) / (y2 - y1)
+        return hits % 2 == 1
+
+    df = spark.createDataFrame(points, "id int, x double, y double")
+    out = point_in_polygon(df, polygons(spark, {"star": rings}), "x", "y", cell=0.05)
+    assert {row.id: row.name == "star" for row in out.collect()} == {i: inside(x, y) for i, x, y in points}

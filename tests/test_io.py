@@ -12,7 +12,7 @@ from conftest import plan_of, tuples
 from pyspark.sql import functions as F
 
 from headway import session
-from headway.jobs import load, snapshot, streams
+from headway.jobs import boroughs, dashboard, load, snapshot, streams
 from headway.operators.snapshot import service_snapshot
 from headway.plans.daily_load import needs_load, warehouse_table
 from headway.schemas import STOPS, TABLES, VERSIONS
@@ -234,6 +234,20 @@ def test_two_days_end_to_end(spark, tmp_path):
     row = spark.read.parquet(f"{t['out']}/monitor").first()
     assert (row.stop_name, row.status, row.delay_seconds, row.borough) == ("Two", "arrived", 180, "Brooklyn")
     assert spark.read.parquet(f"{t['out']}/positions").count() == 1
+
+    # What the monitor wrote, and the stops, to lookup and dashboard tables.
+    square = {"name": "Brooklyn", "rings": [[{"x": x, "y": y} for x, y in ((-75, 39.9), (-73, 39.9), (-73, 40.005), (-75, 40.005))]]}
+    put(tmp_path / "outlines.json", json.dumps(square))
+    boroughs.main(["--polygons", str(tmp_path / "outlines.json"), "--published", t["published"]])
+    lookup = tables.VersionedTable(spark, f"{t['published']}/stop_boroughs").read()
+    assert tuples(lookup) == [("1", "Brooklyn"), ("2", "Unknown")] and lookup.columns == ["stop_id", "borough"]
+    dashboard.main(["--monitor", f"{t['out']}/monitor", "--output", f"{t['out']}/dashboard"])
+    otp = tables.VersionedTable(spark, f"{t['out']}/dashboard/otp_by_route").read()
+    assert tuples(otp) == [("R", 1, 1.0)]
+    streams.main(["gate", "--directory", t["msgs"], "--output", f"{t['out']}/gate", "--checkpoint", f"{t['ckpt']}/gate", "--trigger", "once"])
+    assert spark.read.parquet(f"{t['out']}/gate").select("feed", "json_str").first() == ("gtfs-vehicle-positions", message)
+    sizes = spark.read.parquet(f"{t['out']}/gate-metrics")
+    assert tuples(sizes.select("metric", "value")) == [("payload_size_bytes", len(message))]
     assert spark.read.parquet(f"{t['out']}/archive").first().value == message
 
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
+
 import pytest
 from conftest import tuples
 
 from headway.operators.feeds import changed_messages
+from headway.operators.monitor import schedule_index
 from headway.sources.messages import directory_messages
 from headway.streaming import flows
 from headway.streaming.gate import gate_sink
@@ -72,3 +75,47 @@ def test_static_side_is_refreshed(spark):
     assert side.get().count() == 3 and not first.is_cached
     once = Refreshed(lambda: spark.range(1))
     assert once.get() is once.get()
+
+
+def test_batch_folders_are_folded_and_replays_replace(spark, tmp_path):
+    out = str(tmp_path / "out")
+    sink = flows.batch_files(out, group=5)
+    for batch in range(20):
+        for _ in range(2):  # every batch is done twice
+            sink(spark.range(batch * 10, batch * 10 + 10), batch)
+    rows = spark.read.parquet(out)
+    assert rows.count() == 200 and rows.select("id").distinct().count() == 200
+    folders = [p for p in (tmp_path / "out").rglob("batch_id=*")]
+    assert len(folders) == 3 + 5
+    # Interrupted between the renames: the next call goes on from what is there.
+    (tmp_path / "out/batches=3").rename(tmp_path / "out/_old-3")
+    flows.compact_batches(spark, out, 3)
+    assert spark.read.parquet(out).count() == 200
+
+
+def test_gate_keeps_two_states(spark, tmp_path):
+    seen = []
+    sink = gate_sink(str(tmp_path / "state"), lambda df, i: seen.extend(r.seq for r in df.collect()))
+    for i in range(6):
+        sink(spark.createDataFrame([("f", i, i // 2)], "feed string, seq bigint, header_ts bigint"), i)
+    assert seen == [0, 2, 4]
+    assert sorted(p.name for p in (tmp_path / "state").iterdir() if not p.name.startswith(".")) == ["batch-4", "batch-5"]
+
+
+def test_poison_message_does_not_stop_the_monitor(spark, tmp_path):
+    def message(stamp, date):
+        vehicle = {"trip": {"tripId": "EN_1", "routeId": "R", "startDate": date}, "position": {"latitude": 40.0, "longitude": -74.0}, "timestamp": stamp}
+        return json.dumps({"header": {"gtfsRealtimeVersion": "2.0", "timestamp": stamp}, "entity": [{"id": "b", "vehicle": vehicle}]})
+
+    folder = tmp_path / "in/topic=gtfs-vehicle-positions"
+    folder.mkdir(parents=True)
+    texts = [message("1752581580", "20250715"), message("1752566400000000", "20250715"), message("-99999999999999999999", "99999999"), "{", message("1752581590", "00000000")]
+    (folder / "m.txt").write_text("\n".join(texts))
+    stops = spark.createDataFrame([(1, "One", 40.0, -74.0)], "stop_id int, stop_name string, stop_lat double, stop_lon double")
+    times = spark.createDataFrame([("EN_1", "08:00:00", 1, 1), ("EN_1", "700000:00:00", 2, 1)], "trip_id string, arrival_time string, stop_sequence int, stop_id int")
+    index = Refreshed(lambda: schedule_index(times, stops))
+    query = flows.trip_monitor_stream(
+        directory_messages(spark, str(tmp_path / "in")), index, flows.batch_files(str(tmp_path / "out")), str(tmp_path / "ck"), "America/New_York", trigger=None
+    )
+    query.awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1
