@@ -11,29 +11,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.llm import decontaminate, mixing, near_dedup, quality, token_files
+from headway.llm.common import small_batches
 from headway.llm.queries import table, tokenizer_path
 from headway.session import scratch_path
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """docs whose doc_id is not in `gone`; a NULL id is in nothing."""
-    return docs.join(gone.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
-
-
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the positive-unlabelled classifier accepts."""
-    scores = quality.quality_scores(docs, table(spark, sf_dir, "labels"))
-    return _without(docs, scores.where("predicted = 0"))
+    small_batches(spark)
+    return docs.where(quality.train(docs, table(spark, sf_dir, "labels")).accepts("text"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of each near-duplicate group."""
-    return _without(docs, near_dedup.near_duplicates(docs).where("not kept"))
+    """The smallest doc_id of each near-duplicate group; rows without an id stay."""
+    gone = near_dedup.near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    # What goes grows with the documents, so the plan is the one for large tables at any size.
+    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    return _without(docs, decontaminate.leaks(docs, table(spark, sf_dir, "benchmark")))
+    return docs.where(~decontaminate.holds_leak(table(spark, sf_dir, "benchmark")))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +40,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # Rows that share id and source also share their place, so that none is doubled.
     places = places.groupBy("doc_id", "source").agg(F.min(F.struct("slot", "in_block")).alias("place"))
     same = F.col("docs.doc_id").eqNullSafe(F.col("places.doc_id")) & F.col("docs.source").eqNullSafe(F.col("places.source"))
-    met = docs.alias("docs").join(places.alias("places"), same).orderBy("places.place")
+    met = docs.alias("docs").join(places.alias("places").hint("merge"), same).orderBy("places.place")
     return met.select(*[F.col(f"docs.`{c}`") for c in docs.columns])
 
 

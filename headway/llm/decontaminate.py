@@ -25,13 +25,17 @@ that holds it. Other columns are ignored. No benchmark or no documents: no rows.
 from __future__ import annotations
 
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 from functools import reduce
 from itertools import combinations
+from operator import or_
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from headway.llm.common import map_texts, shingle_hashes, split_runs
+from headway.llm.common import map_texts, shingle_hashes, small_batches, split_runs
 
 RADIUS, SLAB, RATIO = 15, 1024, 1.15
 # Bytes of texts searched at once.
@@ -161,17 +165,36 @@ def _search(index: _Index, ids: list, texts: list[bytes], least: float) -> list[
     return [(doc, item_id, -v, p, n) for (v, p), doc, item_id, n in best.values()]
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, least: float = 0.75, radius: int = RADIUS, slab: int = SLAB) -> DataFrame:
-    """doc_id, item_id, similarity, first_word, window_words of each document that holds an item."""
+def _slabs(benchmark: DataFrame, slab: int) -> Iterator[list[tuple[int, bytes]]]:
     items = benchmark.where("item_id is not null and text is not null").select("item_id", "text")
-    slabs, part = [], []
+    part = []
     for row in items.toLocalIterator():
         part.append((row.item_id, row.text.encode()))
         if len(part) == slab:
-            slabs.append(part)
+            yield part
             part = []
-    slabs.append(part)
-    return reduce(DataFrame.unionByName, [_leaks(docs, s, least, radius) for s in slabs])
+    yield part
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, least: float = 0.75, radius: int = RADIUS, slab: int = SLAB) -> DataFrame:
+    """doc_id, item_id, similarity, first_word, window_words of each document that holds an item."""
+    return reduce(DataFrame.unionByName, [_leaks(docs, s, least, radius) for s in _slabs(benchmark, slab)])
+
+
+def holds_leak(benchmark: DataFrame, text: str = "text", least: float = 0.75, radius: int = RADIUS, slab: int = SLAB) -> Column:
+    """Whether a text holds any item, as a filter on a column of texts: the same search, no shuffle."""
+    small_batches(benchmark.sparkSession)
+
+    def of(items):
+        @F.pandas_udf("boolean")
+        def held(texts: pd.Series) -> pd.Series:
+            texts = texts.tolist()
+            found = {row[0] for row in _in_chunks(items, radius, list(range(len(texts))), texts, least)}
+            return pd.Series([i in found for i in range(len(texts))])
+
+        return held(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary"))
+
+    return reduce(or_, [of(s) for s in _slabs(benchmark, slab)])
 
 
 _built: dict = {}
@@ -186,14 +209,19 @@ def _index(items: list[tuple[int, bytes]], radius: int) -> _Index:
     return _built[key]
 
 
+def _in_chunks(items: list[tuple[int, bytes]], radius: int, ids: list, texts: list[bytes], least: float) -> list[tuple]:
+    index, rows, at, size = _index(items, radius), [], 0, 0
+    for i, text in enumerate(texts):
+        size += len(text)
+        if size >= _CHUNK or i + 1 == len(texts):
+            rows += _search(index, ids[at : i + 1], texts[at : i + 1], least)
+            at, size = i + 1, 0
+    return rows
+
+
 def _leaks(docs: DataFrame, items: list[tuple[int, bytes]], least: float, radius: int) -> DataFrame:
     def each(ids, texts):
-        index, rows, at, size = _index(items, radius), [], 0, 0
-        for i, text in enumerate(texts):
-            size += len(text)
-            if size >= _CHUNK or i + 1 == len(texts):
-                rows += _search(index, ids[at : i + 1], texts[at : i + 1], least)
-                at, size = i + 1, 0
+        rows = _in_chunks(items, radius, ids, texts, least)
         names = ("doc_id", "item_id", "similarity", "first_word", "window_words")
         return {n: [r[k] for r in rows] for k, n in enumerate(names)}
 

@@ -10,9 +10,9 @@ label 0. The prior is estimated first: a model of positives against unlabelled t
 and p is the least ratio of unlabelled to positive texts above a threshold,
 as texts above it that are not positive can only raise that ratio.
 
-Features of every document are computed once in one pass over whole texts. The
-model is fitted on at most ``sample`` positives and ``sample`` unlabelled rows, those with
-the smallest hashes, which the driver holds; everything else is a table.
+The model is fitted on at most ``sample`` positives and ``sample`` unlabelled rows, those with
+the smallest hashes of their ids; the driver holds their features. Then all texts are scored
+whole in one pass without a shuffle.
 
 Nulls and ties: NULL text is empty; empty texts have features and a score too. A NULL
 label is no label; a doc_id with several labels is positive if one of them is. A
@@ -23,14 +23,16 @@ to learn from: every score is 0.5. Empty table: no rows.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterable
+from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.llm.class_lm import remainder
-from headway.llm.common import map_texts, stored
+from headway.llm.common import map_texts
 
 SAMPLE = 20_000
 _SIGNS = b"!*#$%&|.,;:?-_/\\<>=@\"'()[]{}0123456789"
@@ -70,13 +72,6 @@ def features(text: bytes) -> list[float]:
     return [float(x) for x in [*shares, *sizes]] + [float(np.log(0.01 + x)) for x in shares]
 
 
-def feature_table(docs: DataFrame) -> DataFrame:
-    def each(ids, texts):
-        return {"doc_id": ids, "x": [features(t) for t in texts]}
-
-    return map_texts(docs, each, "doc_id bigint, x array<float>")
-
-
 def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -40, 40)))
 
@@ -127,28 +122,68 @@ def fit(pos: np.ndarray, unl: np.ndarray, prior: float, penalty: float = 1e-4, s
     return _adam(pos, unl, gradient, steps)
 
 
+@dataclass
+class QualityModel:
+    mean: np.ndarray
+    std: np.ndarray
+    theta: np.ndarray | None  # None: nothing was learnt
+    prior: float
+
+    def scores(self, texts: Iterable[bytes]) -> np.ndarray:
+        """Probability of label 1 for each text."""
+        x = np.array([features(t) for t in texts], float)
+        if self.theta is None or not len(x):
+            return np.full(len(x), 0.5)
+        return _sigmoid(_ready(x, self.mean, self.std) @ self.theta)
+
+    def accepts(self, text: str = "text") -> Column:
+        """score >= 0.5, as a filter on a column of texts."""
+
+        @F.pandas_udf("boolean")
+        def accepted(texts: pd.Series) -> pd.Series:
+            return pd.Series(self.scores(texts) >= 0.5)
+
+        return accepted(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary"))
+
+
+def _ready(x: np.ndarray, mean: np.ndarray, std: np.ndarray) -> np.ndarray:
+    return np.hstack([np.clip((x - mean) / std, -8, 8), np.ones((len(x), 1))])
+
+
+def _held_out() -> Column:
+    return remainder(3) == 1
+
+
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, seed: int = 5) -> QualityModel:
+    """Learn from the rows of docs that are not held out."""
+    ids = docs.where(~_held_out()).select("doc_id", F.xxhash64(F.lit(seed), "doc_id").alias("h"), F.xxhash64(F.lit(seed + 1), "doc_id").alias("g"))
+    trusted = labels.where("quality = 1").where(~_held_out()).select("doc_id").distinct()
+    # Ids first, texts of the chosen ones only: at most 2 * sample ids are sent to the tasks.
+    chosen = ids.join(trusted, "doc_id", "left_semi").select("doc_id", "h").orderBy("h").limit(sample).select("doc_id", F.lit(1).alias("is_pos"))
+    other = ids.select("doc_id", "g").orderBy("g").limit(sample).select("doc_id", F.lit(0).alias("is_pos"))
+    picked = chosen.unionByName(other).distinct().toDF("picked", "is_pos")
+    rows = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id").eqNullSafe(F.col("picked")))
+
+    def each(keys, texts):
+        return {"is_pos": keys, "x": [features(t) for t in texts]}
+
+    found = map_texts(rows, each, "is_pos int, x array<double>", ["is_pos"]).collect()
+    pos, unl = (np.array([r.x for r in found if r.is_pos == k], float) for k in (1, 0))
+    if not len(pos) or not len(unl):
+        return QualityModel(np.zeros(0), np.zeros(0), None, 0.5)
+    mean, std = unl.mean(axis=0), unl.std(axis=0) + 1e-6
+    pos, unl = _ready(pos, mean, std), _ready(unl, mean, std)
+    prior = estimate_prior(pos, unl)
+    return QualityModel(mean, std, fit(pos, unl, prior), prior)
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, seed: int = 5) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of docs."""
-    held_out = remainder(3) == 1
-    table = stored(feature_table(docs.select("doc_id", "text")), "quality-features")
-    train = table.where(~held_out).withColumn("_h", F.xxhash64(F.lit(seed), "doc_id"))
-    trusted = labels.where("quality = 1").where(~held_out).select("doc_id").distinct()
-    pick = lambda df: np.array([r.x for r in df.orderBy("_h").limit(sample).select("x").collect()], float)
-    pos, unl = pick(train.join(trusted, "doc_id", "left_semi")), pick(train.withColumn("_h", F.xxhash64(F.lit(seed + 1), "doc_id")))
-    if len(pos):
-        mean, std = unl.mean(axis=0), unl.std(axis=0) + 1e-6
-        ready = lambda x: np.hstack([np.clip((x - mean) / std, -8, 8), np.ones((len(x), 1))])
-        prior = estimate_prior(ready(pos), ready(unl))
-        theta = fit(ready(pos), ready(unl), prior)
-    else:
-        ready, theta = (lambda x: np.zeros((len(x), 1))), np.zeros(1)
-
-    def run(batches):
-        for batch in batches:
-            x = np.array(batch.column("x").to_pylist(), float)
-            s = _sigmoid(ready(x) @ theta) if len(x) else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(s, pa.float64())], names=["doc_id", "score"])
-
-    return table.mapInArrow(run, "doc_id bigint, score double").select(
-        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    model = train(docs, labels, sample, seed)
+
+    def each(ids, texts):
+        return {"doc_id": ids, "score": model.scores(texts)}
+
+    return map_texts(docs, each, "doc_id bigint, score double").select(
+        "doc_id", _held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )

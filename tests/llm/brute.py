@@ -45,6 +45,8 @@ def leaks(docs: list[tuple], items: list[tuple], least: float = 0.75) -> dict:
         s = shingles(text)
         for i, item in items:
             want = Counter(shingles(item))
+            if not want.keys() & set(s):
+                continue
             m = min(sum(want.values()), len(s))
             best = 0.0
             for p in range(len(s) - m + 1) if m else ():
