@@ -17,7 +17,7 @@ Nulls and ties: vectors that are NULL or hold a NULL, NaN or infinite component
 take no part, nor do rows with a NULL vec_id. Shorter vectors count as filled up with zeros.
 Equal scores go to the smaller vec_id. A query never meets rows of its own vec_id;
 repeated query rows are one query, repeated candidates count each. Scores outside
-a long are exact for the ranking and clipped for the result. Empty table: no rows.
+a long are clipped to it. Empty table: no rows.
 """
 
 from __future__ import annotations
@@ -100,16 +100,16 @@ class _Search:
 
     def _plain(self, ids: list[int], queries: np.ndarray, columns: np.ndarray) -> None:
         """Sums beyond what a double holds exactly."""
-        queries, columns = queries.astype(object), columns.astype(object)
+        queries, columns, top = queries.astype(object), columns.astype(object), (1 << 63) - 1
         for i, own in enumerate(self.ids):
-            self._merge(i, sorted((-int(s), v) for s, v in zip(queries[:, i] @ columns if len(columns) else [0] * len(ids), ids, strict=True) if v != own)[: self.k])
+            scores = (min(top, max(-top - 1, int(s))) for s in queries[:, i] @ columns)
+            self._merge(i, sorted((-s, v) for s, v in zip(scores, ids, strict=True) if v != own)[: self.k])
 
     def _merge(self, i: int, found: list[tuple[int, int]]) -> None:
         self.best[i] = sorted([*self.best[i], *found])[: self.k]
 
     def rows(self) -> pa.RecordBatch:
-        top = (1 << 63) - 1
-        rows = [(q, v, min(top, max(-top - 1, -s))) for q, best in zip(self.ids, self.best, strict=True) for s, v in best]
+        rows = [(q, v, -s) for q, best in zip(self.ids, self.best, strict=True) for s, v in best]
         return pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], pa.int64()) for j in range(3)], names=["query_id", "vec_id", "score"])
 
 

@@ -62,7 +62,7 @@ def test_top_k_odd_rows(spark):
     assert got == {0: [(7, 131072), (7, 131072), (5, 65536), (6, 0)], 5: [(0, 65536), (6, 0), (7, 0), (7, 0)]}
     large = [(0, [1e12, 1.0]), (1, [1e12, 1.0]), (2, [-1e12, 5.0]), (3, [1e12, 2.0])]
     got = ranked(exact_topk.top_k(vectors(spark, large), F.col("vec_id") == 0))
-    assert [v for v, _ in got[0]] == [3, 1, 2] and got[0][0][1] == (1 << 63) - 1
+    assert got[0] == [(1, (1 << 63) - 1), (3, (1 << 63) - 1), (2, -(1 << 63))]
     assert exact_topk.top_k(vectors(spark, []), F.lit(True)).count() == 0
     assert exact_topk.top_k(vectors(spark, [(1, [1.0])]), F.lit(True)).count() == 0
 
@@ -82,7 +82,7 @@ def grammar(n, seed=0):
 
 
 def test_base_score_and_model(spark):
-    texts = [*grammar(300), (500, None, "s"), (501, "", "s"), (501, "", "s"), (502, "never seen words", "s"), (None, "a1 b2", "s"), (503, "A1\x0bb2 " * 20_000, "s")]
+    texts = [*grammar(300), (500, None, "s"), (501, "", "s"), (501, "", "s"), (502, "never seen words", "s"), (None, "a1 b2", "s"), (504, "A1\x0bb2 " * 20_000, "s")]
     train = [t for t in texts if t[0] is None or crc32(str(t[0]).encode()) % 5 != 1]
     model = class_lm.train(documents(spark, train), clustered=60, classes=3, head=70, rounds=12)
     got = class_lm.scores(documents(spark, texts), model).collect()
@@ -142,7 +142,7 @@ def test_class_model_of_nothing(spark):
     model = class_lm.train(documents(spark, []))
     assert class_lm.scores(documents(spark, []), model).count() == 0
     row = class_lm.scores(documents(spark, [(1, "a b", "s")]), model).first()
-    assert (row.n_tokens, row.n_known, row.base_score) == (3, 0, 0.0) and math.isfinite(row.score)
+    assert (row.n_tokens, row.n_known) == (3, 0) and row.base_score == pytest.approx(0) and math.isfinite(row.score)
 
 
 # --- quality ---
@@ -273,7 +273,7 @@ def mixed_docs(n=900):
 
 def test_schedule(spark):
     texts = mixed_docs()
-    weights = {"big": 1.0, "mid": 2.0, "low": 1.0, None: 0.5}
+    weights = {"big": 1.0, "mid": 2.0, "low": 0.5, None: 0.5}
     rows = mixing.schedule(documents(spark, texts), weights, block=4, period=64).collect()
     assert Counter((r.doc_id, r.source) for r in rows) == Counter((i, s) for i, _, s in texts)
     by = defaultdict(list)
@@ -305,7 +305,7 @@ def test_schedule(spark):
     for t in range(1, min(len(want), 60)):
         seen[want[t - 1][0]] += 1
         if all(seen[k] < blocks[k] for k in blocks):
-            assert all(abs(seen[k] - t * w / total) < 1.2 for k, w in weights.items())
+            assert all(abs(seen[k] - t * w / total) < 1 for k, w in weights.items())
     assert mixing.schedule(documents(spark, [])).count() == 0
 
 
