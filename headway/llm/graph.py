@@ -14,7 +14,7 @@ def components(edges: DataFrame) -> DataFrame:
     Each round takes the least label among the neighbours and then the label
     of that label, so long chains halve. Sums are partial before the shuffle, so
     a centre with very many edges is not one task's work. Nothing is collected
-    but the count of changed labels.
+    but whether a label has changed.
     """
     both = stored(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
     labels = stored(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "id"), "labels")
@@ -25,7 +25,6 @@ def components(edges: DataFrame) -> DataFrame:
         )
         jump = labels.select(F.col("id").alias("next"), F.col("label").alias("far"))
         new = stored(step.join(jump, "next").select("id", "old", F.least("next", "far").alias("label")), "labels")
-        changed = new.where("old <> label").limit(1).count()
         labels = new.select("id", "label")
-        if not changed:
+        if new.where("old <> label").isEmpty():
             return labels.withColumnRenamed("label", "component")

@@ -7,12 +7,14 @@ tables of 2 * width minhashes each cost 2 * keys * width minhashes instead of
 2 * width * keys^2. At the defaults a pair of Jaccard 0.75 misses all 256
 tables with probability 2 * (1 - 0.75^2)^16 < 4e-6.
 
-Sub-keys that no other text has cannot meet anyone and are dropped before pairs
-are formed, which changes no result. In each table every member is compared
+Sub-keys that no other text has cannot meet anyone and are dropped, and so is a text with
+fewer than ``SHARED`` others. In each table every member is compared
 with the smallest and the largest member only; links are confirmed on the full
-sets and joined to components. What a table still holds of several components
-is then compared across these components. So a group of n copies costs about n
-comparisons, and no link between components is lost.
+sets and joined to components. Texts in tables that still hold several components
+are then compared across these components, where they share one of their rarest
+shingles: a set and one of Jaccard 0.75 share one of the rarest quarter of each.
+So a group of n copies costs about n comparisons, a passage that many texts
+share costs none, and no link between components is lost.
 
 Nulls and ties: a NULL text and a text without words have no shingles and link
 with nothing. Rows that share a doc_id are one document. Rows with a NULL doc_id
@@ -95,6 +97,61 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "sa", "sb").mapInArrow(run, "a bigint, b bigint")
 
 
+def _across(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of `rest` (rep, n_shingles, component) in different components that may have the similarity.
+
+    Shingles are ordered by how many texts of `rest` hold them, rarest first. Of a set
+    of n, any set similar enough shares one of the first n - ceil(n * percent / 100) + 1.
+    Shingles of one text only stand first and need not be looked at.
+    """
+
+    def run(batches):
+        for batch in batches:
+            owner, found = batch.column("rep").to_pylist(), [np.frombuffer(x, np.int64) for x in batch.column("shingles").to_pylist()]
+            if owner:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(np.array(owner, np.int64), [len(x) for x in found])), pa.array(np.concatenate(found))], names=["rep", "h"]
+                )
+
+    small_batches(rest.sparkSession)
+    tokens = rest.select("rep").join(sets.toDF("rep", "shingles"), "rep").mapInArrow(run, "rep bigint, h bigint")
+    tokens = stored(tokens, "minhash-tokens")
+    counts = tokens.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Own hashes are drawn once per text, so the list is as long as the text at most.
+    lists = tokens.join(counts, "h").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("n", "h"))).alias("t")).join(rest, "rep")
+    alone = F.col("n_shingles") - F.size("t")
+    first = F.expr(f"n_shingles - (n_shingles * {percent} + 99) div 100 + 1") - alone
+    # left: how many shingles the text has from this one on.
+    prefix = lists.where(first > 0).select(
+        "rep", "n_shingles", "component", alone.alias("alone"), F.posexplode(F.slice("t", F.lit(1), first.cast("int"))).alias("at", "t")
+    )
+    left = (F.col("n_shingles") - F.col("alone") - F.col("at")).alias("left")
+    prefix = stored(prefix.select(F.col("t.h").alias("h"), "component", "rep", "n_shingles", left), "minhash-prefix")
+
+    # By component first: members of one component are never paired. What is left from a
+    # shared shingle on bounds what two texts share; of that they need 3/7 of both sizes (at 75 %).
+    def enough(left_a, left_b, n_a, n_b):
+        return (100 + percent) * F.least(left_a, left_b) >= percent * (F.col(n_a) + F.col(n_b))
+
+    sides = prefix.groupBy("h", "component").agg(
+        F.max("left").alias("left"), F.min("n_shingles").alias("lo"), F.max("n_shingles").alias("hi")
+    )
+    several = sides.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    sides = sides.join(several, "h", "left_semi")
+    x, y = sides.toDF("h", "ca", "la", "xa", "ya"), sides.toDF("h2", "cb", "lb", "xb", "yb")
+    met = x.join(
+        y,
+        (F.col("h") == F.col("h2")) & (F.col("ca") < F.col("cb")) & enough("la", "lb", "xa", "xb")
+        & (100 * F.least("ya", "yb") >= percent * F.greatest("xa", "xb")),
+    ).select("h", "ca", "cb")
+    pairs = (
+        met.join(prefix.toDF("h", "ca", "ra", "na", "la"), ["h", "ca"])
+        .join(prefix.toDF("h", "cb", "rb", "nb", "lb"), ["h", "cb"])
+        .where((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & enough("la", "lb", "na", "nb"))
+    )
+    return pairs.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75, keys: int = KEYS, width: int = WIDTH) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest linked doc_id), kept, set_id."""
     sketch = stored(sketches(docs.select("doc_id", "text"), keys, width), "minhash")
@@ -115,7 +172,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, keys: int = KEYS, width:
         sub.join(met, "key", "left_semi")
         .groupBy("rep")
         .agg(side(True).alias("left"), side(False).alias("right"))
-        .where((F.size("left") > 0) & (F.size("right") > 0))
+        .where((F.size("left") > 0) & (F.size("right") > 0) & (F.size("left") + F.size("right") >= SHARED))
     )
     shared = stored(shared.join(classes.select("rep", "n_shingles"), "rep"), "minhash-shared")
     rows = shared.select("rep", "n_shingles", "right", F.explode("left").alias("l")).select(
@@ -135,24 +192,20 @@ def near_duplicates(docs: DataFrame, percent: int = 75, keys: int = KEYS, width:
     found = components(first)
 
     # What is left: tables with members of several components.
-    own = tables.join(found.toDF("rep", "component"), "rep", "left").select("key", "rep", "n_shingles", F.coalesce("component", "rep").alias("component"))
-    mixed_keys = own.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 < c1").select("key")
-    own = stored(own.join(mixed_keys, "key", "left_semi"), "minhash-mixed")
-    x, y = own.alias("x"), own.alias("y")
-    across = (
-        x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.component") != F.col("y.component"))
-               & (100 * F.least("x.n_shingles", "y.n_shingles") >= percent * F.greatest("x.n_shingles", "y.n_shingles")))
-        .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
-        .distinct()
-        .join(star, ["a", "b"], "left_anti")
-    )
+    own = tables.select("key", "rep", "n_shingles").join(found.toDF("rep", "component"), "rep", "left")
+    own = own.withColumn("component", F.coalesce("component", "rep"))
+    several = own.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 < c1").select("key")
+    rest = stored(own.join(several, "key", "left_semi").drop("key").distinct(), "minhash-rest")
+    across = _across(rest, sets, percent).join(star, ["a", "b"], "left_anti")
     every = shared.select("rep", F.concat("left", "right").alias("keys"))
     likely = (
         across.join(every.toDF("a", "ka"), "a").join(every.toDF("b", "kb"), "b")
         .where(F.size(F.array_intersect("ka", "kb")) >= SHARED)
         .select("a", "b")
     )
-    found = components(stored(first.union(_confirmed(stored(likely, "minhash-likely"), sets, percent)), "minhash-all"))
+    more = stored(_confirmed(stored(likely, "minhash-likely"), sets, percent), "minhash-more")
+    if not more.isEmpty():
+        found = components(first.union(more))
 
     of_class = classes.select("n_shingles", "fp", "rep").join(found.toDF("rep", "component"), "rep", "left").select(
         "n_shingles", "fp", F.col("rep").alias("set_id"), F.coalesce("component", "rep").alias("component")
