@@ -149,5 +149,6 @@ def kept_texts(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches:
             digest.append(hashlib.sha256(whole).hexdigest())
         return {"doc_id": ids, "n_lines": lines_n, "n_dropped": dropped, "text": kept, "kept_sha256": digest}
 
-    met = docs.select("doc_id", "text").join(drop, "doc_id", "left")
+    # What is dropped grows with the documents, so the plan is the one for large tables at any size.
+    met = docs.select("doc_id", "text").join(drop.hint("merge"), "doc_id", "left")
     return map_texts(met, each, "doc_id bigint, n_lines bigint, n_dropped bigint, text string, kept_sha256 string", ("doc_id", "d1", "d2"))
