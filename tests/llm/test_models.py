@@ -353,7 +353,8 @@ def test_pipeline_against_plain_stages(spark):
     docs = {i: t for i, t in docs.items() if scores[i] == 1}
     docs = {i: docs[i] for i, (_, root) in brute.classes(list(docs.items())).items() if root == i}
     items = [(r.item_id, r.text) for r in read("benchmark").collect()]
-    docs = {i: t for i, t in docs.items() if i not in {d for d, _ in brute.leaks(list(docs.items()), items)}}
+    leaked = {d for d, _ in brute.leaks(list(docs.items()), items)}
+    docs = {i: t for i, t in docs.items() if i not in leaked}
     from pyspark.sql import functions as F
 
     place = {r.doc_id: (r.slot, r.in_block) for r in mixing.schedule(read("documents").where(F.col("doc_id").isin(list(docs)))).collect()}
