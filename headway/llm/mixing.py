@@ -5,11 +5,21 @@ from slot floor(i / w) on and must be placed before slot ceil((i + 1) / w). Earl
 first meets all of these when the weights sum to one, so in every prefix of
 t slots each source has more than w * t - 1 and fewer than w * t + 1 blocks.
 
-Weights are rounded to whole parts of ``period``; then the schedule repeats after
-one period, so it is made once for ``period`` slots and block i of a source is
-placed by an equality join on (source, i mod its parts). When a source is used up the
-others go on with their weights scaled up, from a new period: one phase per source at
-most. What the driver holds has a row per source and at most phases * period slots.
+Weights are whole parts of ``PARTS``, so that all bounds are exact integers; over a billion
+slots this is less than a millionth of a block off the given weights. The slots of a phase are dealt
+in periods, each by a task of its own. What a period starts from does not depend on the
+periods before the last one: at any slot the blocks begun by the even flow (floor(w * t) of
+each source, and of the blocks under way those of the earliest deadlines) can be continued
+without a miss, and after one period from there no window is open that such a start could
+have broken, as a period is longer than the longest window. So a task runs one period
+ahead of each of its two edges, then places the blocks between the two edges; a
+perfect placement of these exists (Hall's condition holds at each edge alone), and earliest
+deadline first finds it. When a source is used up the others go on with their weights scaled up,
+from a new period: one phase per source at most. The driver runs only the periods in which a
+phase may end and keeps a row per phase and source; slots are made by tasks.
+
+A period has at least 1 / (least weight) slots, if the phase is that long. With square roots of source
+sizes this is small; a weight below a millionth makes long periods, so few tasks.
 
 Documents of a source come in pseudo-random order (by hash of seed and doc_id); their
 ranks are counts per hash bucket plus ranks inside a bucket, so no source is one
@@ -23,14 +33,19 @@ weight get none of the mix and come after everything else.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Callable
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
+from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from headway.llm.common import stored
 
 BLOCK, PERIOD, BUCKET_ROWS = 16, 1024, 500
+PARTS = 1 << 50
 
 
 def parts_of(weights: dict[str, float], period: int) -> dict[str, int]:
@@ -49,44 +64,100 @@ def parts_of(weights: dict[str, float], period: int) -> dict[str, int]:
     return parts
 
 
-def earliest_deadline_first(parts: dict[str, int]) -> list[tuple[str, int]]:
-    """(source, its block) for each slot of a period of sum(parts) slots."""
-    period, waiting, ready, out = sum(parts.values()), {}, [], []
+def _placed(parts: dict[str, int], slots: range, start: dict[str, int], stop: dict[str, int] | None = None) -> Iterator[tuple[int, str, int]]:
+    """(slot, source, its block) for each slot, from the blocks `start` on and before the blocks `stop`."""
+    total, waiting, ready = sum(parts.values()), {}, []
+
+    def wait(k, i, slot):
+        if stop is None or i < stop[k]:
+            waiting.setdefault(max(slot, i * total // parts[k]), []).append((k, i))
+
     for k in parts:
-        waiting.setdefault(0, []).append((k, 0))
-    for slot in range(period):
+        wait(k, start[k], slots.start)
+    for slot in slots:
         for k, i in waiting.pop(slot, ()):
-            heapq.heappush(ready, (-(-(i + 1) * period // parts[k]), k, i))
+            heapq.heappush(ready, (-(-(i + 1) * total // parts[k]), k, i))
         _, k, i = heapq.heappop(ready)
-        out.append((k, i))
-        if i + 1 < parts[k]:
-            waiting.setdefault(max(slot + 1, (i + 1) * period // parts[k]), []).append((k, i + 1))
-    return out
+        yield slot, k, i
+        wait(k, i + 1, slot + 1)
+
+
+def earliest_deadline_first(parts: dict[str, int]) -> list[tuple[str, int]]:
+    """(source, its block) for each slot of a period of sum(parts) slots."""
+    return [(k, i) for _, k, i in _placed(parts, range(sum(parts.values())), dict.fromkeys(parts, 0))]
+
+
+def period_of(parts: dict[str, int], period: int) -> int:
+    """Slots of a period: at least `period`, four per source, and more than any window has."""
+    return max(period, 4 * len(parts), -(-sum(parts.values()) // min(parts.values())) + 2)
+
+
+def edge(parts: dict[str, int], length: int, p: int) -> dict[str, int]:
+    """Blocks of each source that are placed before period p of `length` slots."""
+    if p == 0:
+        return dict.fromkeys(parts, 0)
+    total, at = sum(parts.values()), (p - 1) * length
+    begun = {k: n * at // total for k, n in parts.items()}
+    under_way = sorted((-(-(i + 1) * total // parts[k]), k) for k, i in begun.items() if parts[k] * at % total)
+    for _, k in under_way[: at - sum(begun.values())]:
+        begun[k] += 1
+    for _, k, i in _placed(parts, range(at, at + length), begun):
+        begun[k] = i + 1
+    return begun
+
+
+def period_slots(parts: dict[str, int], length: int, p: int, start: dict[str, int], stop: dict[str, int] | None) -> Iterator[tuple[int, str, int]]:
+    """(slot, source, its block) for each slot of period p between its two edges; the first needs none."""
+    return _placed(parts, range(p * length, (p + 1) * length), start, stop if p else None)
 
 
 def phases(blocks: dict[str, int], weights: dict[str, float], period: int = PERIOD) -> list[dict]:
-    """Phases with first slot, parts, pattern and the first block of each source in it."""
+    """Phases with first slot, slots, slots of a period, parts, and the first block of each source in it."""
     left, done, first, out = dict(blocks), dict.fromkeys(blocks, 0), 0, []
     while active := {k: weights[k] for k in left if left[k] > 0}:
-        parts = parts_of(active, max(period, 4 * len(active)))
-        pattern = earliest_deadline_first(parts)
-        place = {(k, i): slot for slot, (k, i) in enumerate(pattern)}
-        length = sum(parts.values())
-
-        def slot_of(k, i, parts=parts, place=place, length=length):
-            return i // parts[k] * length + place[k, i % parts[k]]
-
-        slots = min(slot_of(k, left[k] - 1) for k in active) + 1
-        out.append({"first": first, "slots": slots, "length": length, "parts": parts, "place": place, "done": dict(done)})
-        whole, rest = divmod(slots, length)
+        parts = parts_of(active, PARTS)
+        length, total = min(period_of(parts, period), sum(left.values())), sum(parts.values())
+        # No source ends before the least slot from which a last block may be placed.
+        p = min((left[k] - 1) * total // n for k, n in parts.items()) // length
+        start, slots = edge(parts, length, p), None
+        while slots is None:
+            stop = edge(parts, length, p + 1) if p else None
+            n = dict(start)
+            for slot, k, i in period_slots(parts, length, p, start, stop):
+                n[k] = i + 1
+                if n[k] == left[k]:
+                    slots = slot + 1
+                    break
+            start, p = stop or n, p + 1
+        out.append({"first": first, "slots": slots, "length": length, "parts": parts, "done": {k: done[k] for k in parts}})
         for k in active:
-            n = whole * parts[k] + sum(1 for x, _ in pattern[:rest] if x == k)
-            left[k] -= n
-            done[k] += n
+            left[k] -= n[k]
+            done[k] += n[k]
         first += slots
     return out
 
 
+def slots_of(plan: list[dict], numbers: Iterator[int]) -> Iterator[tuple]:
+    """source_key, block, slot, release, deadline, phase of the slots of some periods, which are numbered over all phases."""
+    firsts = [0]
+    for p in plan:
+        firsts.append(firsts[-1] - (-p["slots"] // p["length"]))
+    known = None
+    for number in numbers:
+        i = bisect_right(firsts, number) - 1
+        phase, p = plan[i], number - firsts[i]
+        parts, length, total = phase["parts"], phase["length"], sum(phase["parts"].values())
+        start = known[1] if known and known[0] == (i, p) else edge(parts, length, p)
+        known = (i, p + 1), edge(parts, length, p + 1) if phase["slots"] > length else None
+        for slot, k, b in period_slots(parts, length, p, start, known[1]):
+            if slot == phase["slots"]:
+                break
+            yield (
+                k, phase["done"][k] + b, phase["first"] + slot,
+                phase["first"] + b * total // parts[k], phase["first"] - (-(b + 1) * total // parts[k]), i,
+            )
+
+
 def square_root(counts: dict[str, int]) -> dict[str, float]:
     """Weights between natural shares and equal ones."""
     return {k: n**0.5 for k, n in counts.items()}
@@ -129,35 +200,19 @@ def schedule(docs: DataFrame, weights: Callable[[dict[str, int]], dict[str, floa
     plan = phases(wanted, given, period)
     used = plan[-1]["first"] + plan[-1]["slots"] if plan else 0
     for k in sorted(blocks.keys() - wanted.keys()):
-        plan.append({"first": used, "slots": blocks[k], "length": 1, "parts": {k: 1}, "place": {(k, 0): 0}, "done": {k: 0}})
+        plan.append({"first": used, "slots": blocks[k], "length": period, "parts": {k: 1}, "done": {k: 0}})
         used += blocks[k]
-
-    # Which phase a block is in is a comparison with at most one bound per phase of its source.
-    spans = [
-        (p["first"], p["slots"], p["length"], k, n, p["done"][k], i)
-        for i, p in enumerate(plan)
-        for k, n in p["parts"].items()
-    ]
-    span = spark.createDataFrame(spans, "first bigint, slots bigint, length bigint, source_key string, parts bigint, done bigint, phase int")
-    upto = F.lead("done").over(Window.partitionBy("source_key").orderBy("phase"))
-    span = span.withColumn("upto", F.coalesce(upto, F.lit((1 << 62))))
-    pattern = spark.createDataFrame(
-        [(i, k, n, slot) for i, p in enumerate(plan) for (k, n), slot in p["place"].items()], "phase int, source_key string, turn bigint, place bigint"
-    )
-    per_block = rank.select("source_key", "block").distinct()
-    placed = (
-        per_block.join(span, "source_key").where("block >= done and block < upto")
-        .withColumn("i", F.col("block") - F.col("done"))
-        .withColumn("turn", F.col("i") % F.col("parts"))
-        .join(pattern, ["phase", "source_key", "turn"])
-        .select(
-            "source_key", "block",
-            F.expr("first + (i div parts) * length + place").alias("slot"),
-            F.expr("first + (i * length) div parts").alias("release"),
-            F.expr("first + ((i + 1) * length + parts - 1) div parts").alias("deadline"),
-            "phase",
-        )
-    )
-    return rank.join(placed, ["source_key", "block"]).select(
+    kind = "source_key string, block bigint, slot bigint, release bigint, deadline bigint, phase int"
+    schema = to_arrow_schema(spark.createDataFrame([], kind).schema)
+
+    def run(batches):
+        rows = slots_of(plan, (n for batch in batches for n in batch.column(0).to_pylist()))
+        while part := list(islice(rows, 10_000)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*part, strict=True), schema, strict=True)], schema=schema)
+
+    periods = sum(-(-p["slots"] // p["length"]) for p in plan)
+    placed = spark.range(periods).mapInArrow(run, kind)
+    # The plan knows nothing of the size of `placed`, which grows with the documents.
+    return rank.join(placed.hint("merge"), ["source_key", "block"]).select(
         "doc_id", "source", "source_rank", "block", "in_block", "slot", "release", "deadline", "phase"
     )

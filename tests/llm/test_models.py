@@ -316,6 +316,34 @@ def test_parts_sum_to_the_period(weights):
     assert all(abs(parts[k] - 64 * w / sum(weights.values())) <= 1 for k, w in weights.items())
 
 
+@pytest.mark.parametrize("weights", [{k: 1.0 for k in "abcdefg"}, {"a": 2**0.5, "b": 1.0, "c": 0.004, "d": 0.3}])
+def test_true_weights_hold_over_whole_phases(weights):
+    """No rounding adds up from period to period, and periods are made one by one."""
+    total, size = sum(weights.values()), 6000
+    plan = mixing.phases({k: 1 + round(size * w / total) for k, w in weights.items()}, weights, 64)
+    assert plan[0]["slots"] >= size - 1000 and plan[0]["slots"] > 8 * plan[0]["length"]
+    periods = range(sum(-(-p["slots"] // p["length"]) for p in plan))
+    rows = [x for i in reversed(periods) for x in reversed(list(mixing.slots_of(plan, [i])))][::-1]
+    assert rows == list(mixing.slots_of(plan, periods)) and [x[2] for x in rows] == list(range(len(rows)))
+    seen = Counter()
+    for t, (k, block, slot, release, deadline, phase) in enumerate(rows, 1):
+        assert block == seen[k] and release <= slot < deadline
+        seen[k] += 1
+        if phase == 0:
+            assert all(abs(seen[x] - t * w / total) < 1 for x, w in weights.items())
+    assert seen == {k: 1 + round(size * w / total) for k, w in weights.items()}
+
+
+def test_schedule_keeps_true_weights(spark):
+    """Seven equal sources in periods of 64 slots: each has a seventh of every prefix."""
+    rows = mixing.schedule(documents(spark, [(i, "t", f"s{i % 7}") for i in range(2100)]), dict.fromkeys([f"s{i}" for i in range(7)], 1.0), block=1, period=64).collect()
+    seen = Counter()
+    for t, r in enumerate(sorted(rows, key=lambda r: r.slot), 1):
+        assert r.slot == t - 1
+        seen[r.source] += 1
+        assert r.phase > 0 or all(abs(seen[f"s{i}"] - t / 7) < 1 for i in range(7))
+
+
 # --- pipeline ---
 def stage_docs(spark):
     r = random.Random(9)
