@@ -9,9 +9,14 @@ all windows of a text by one subtraction each.
 Lookup: 64 bits are four blocks of 16. If a window is within ``radius`` of an item,
 one of the blocks is within radius // 4, so a table per block that lists for each of
 the 65,536 block values the items that near guarantees all fingerprints within the
-radius. Those are then compared bit by bit, and the pair is decided by the exact
+radius. Those are then compared bit by bit. Fingerprints alone miss windows near the least
+similarity, where the bits that differ have a wide spread. So windows are also found by anchors: a window
+(or shorter text) of similarity ``least`` holds at least that share of the item's shingles, so
+it holds one of any choice of more shingles than may be lacking; the rarest of the slab are chosen.
+With these no window of that similarity is missed, short of the 64-bit hashes. Pairs are decided by the exact
 weighted similarity (sum of smaller counts over sum of larger counts, shingles
-weighted by how often they occur) of the item with the windows of exactly its size around.
+weighted by how often they occur) of the item with the windows of exactly its size
+that hold an anchor or lie around a near fingerprint, by one pass over them.
 
 Items are taken in slabs of ``SLAB``, the only thing sent to the tasks; documents
 are never shuffled. Windows start every eighth of their size (one shingle for short items).
@@ -24,6 +29,7 @@ that holds it. Other columns are ignored. No benchmark or no documents: no rows.
 
 from __future__ import annotations
 
+import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import reduce
@@ -37,7 +43,7 @@ from pyspark.sql import functions as F
 
 from headway.llm.common import map_texts, shingle_hashes, small_batches, split_runs
 
-RADIUS, SLAB, RATIO = 15, 1024, 1.15
+RADIUS, SLAB, RATIO, LEAST = 15, 1024, 1.15, 0.75
 # Bytes of texts searched at once.
 _CHUNK = 200_000
 _SCHEMA = "doc_id bigint, item_id bigint, similarity double, first_word bigint, window_words bigint"
@@ -75,9 +81,9 @@ def _flips(most: int) -> np.ndarray:
 
 
 class _Index:
-    """The items of a slab by size class, up to 32 in a group."""
+    """The items of a slab by size class, up to 32 in a group, and their anchors."""
 
-    def __init__(self, items: list[tuple[int, bytes]], radius: int):
+    def __init__(self, items: list[tuple[int, bytes]], radius: int, least: float = LEAST):
         self.radius, self.groups = radius, []
         by_size, flips = defaultdict(list), _flips(radius // 4)
         for (item_id, _), s in zip(items, split_runs(*shingle_hashes([t for _, t in items])[:2]), strict=True):
@@ -95,6 +101,29 @@ class _Index:
                         near[b, flips ^ np.uint16((int(fp) >> (16 * b)) & 0xFFFF)] |= np.uint32(1 << i)
                 self.groups.append((size, part, fps, near))
         self.largest = max((g[0] for g in self.groups), default=0)
+        self.members = [m for g in self.groups for m in g[1]]
+        # Shingles of each item that a window or text of similarity `least` has at least.
+        self.needed = [max(1, math.ceil(least * len(s) - 1e-9)) for _, s, _ in self.members]
+        often, of = Counter(x for _, _, counts in self.members for x in counts), defaultdict(list)
+        for number, (_, s, counts) in enumerate(self.members):
+            lacking = len(s) - self.needed[number]
+            for x in sorted(counts, key=lambda x: (often[x], x)):
+                of[x].append(number)
+                lacking -= counts[x]
+                if lacking < 0:
+                    break
+        self.keys = np.array(sorted(of), np.uint64)
+        self.with_key = [of[x] for x in self.keys.tolist()]
+        self.some = np.zeros(1 << 20, bool)
+        self.some[self.keys >> np.uint64(44)] = True
+
+    def anchors(self, s: np.ndarray):
+        """(position, numbers of the items it is an anchor of)"""
+        at = np.flatnonzero(self.some[s >> np.uint64(44)])
+        key = np.searchsorted(self.keys, s[at])
+        hit = self.keys[np.minimum(key, len(self.keys) - 1)] == s[at]
+        for p, k in zip(at[hit].tolist(), key[hit].tolist(), strict=True):
+            yield p, self.with_key[k]
 
     def candidates(self, fps: np.ndarray, near: np.ndarray, prints: np.ndarray):
         """(item, windows) within the radius."""
@@ -109,19 +138,20 @@ class _Index:
             yield i, some[at[np.bitwise_count(prints[at] ^ fp) <= self.radius]]
 
 
-def _best(s: list[int], near: range, item: Counter, size: int) -> tuple[float, int]:
-    """Best similarity and its window among windows of the item's size starting in `near`."""
-    m, best = min(size, len(s)), (0.0, near.start)
-    low = [0]
-    for x in s[near.start : near.stop + m]:
-        low.append(low[-1] + (x in item))
-    for p in near:
-        # At most all of its shingles that the item has at all can be shared.
-        most = low[min(p - near.start + m, len(low) - 1)] - low[p - near.start]
-        if most and most / (m + size - most) > best[0]:
-            both = sum((Counter(s[p : p + m]) & item).values())
-            if both / (m + size - both) > best[0]:
-                best = both / (m + size - both), p
+def _best(s: list[int], item: Counter, size: int) -> tuple[float, int]:
+    """Best similarity and its window among all windows of the item's size (all of `s` if it is shorter)."""
+    m, best, held, both = min(size, len(s)), (0.0, 0), Counter(), 0
+    for end, x in enumerate(s, 1):
+        if x in item:
+            held[x] += 1
+            both += held[x] <= item[x]
+        if end > m:
+            gone = s[end - m - 1]
+            if gone in item:
+                both -= held[gone] <= item[gone]
+                held[gone] -= 1
+        if end >= m and both and both / (m + size - both) > best[0]:
+            best = both / (m + size - both), end - m
     return best
 
 
@@ -134,8 +164,15 @@ def _search(index: _Index, ids: list, texts: list[bytes], least: float) -> list[
     total = _running(s, index.largest)
     end_of = np.repeat(ends, runs)
     full = runs > 0
-    best: dict[tuple[int, int], tuple] = {}
-    for g, (size, members, fps, near) in enumerate(index.groups):
+    # First and last start of the windows to try, by text and item.
+    ranges: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
+    for p, numbers in index.anchors(s):
+        d = int(np.searchsorted(ends, p, side="right"))
+        p -= int(starts[d])
+        for number in numbers:
+            ranges[d, number].append((p - len(index.members[number][1]) + 1, p))
+    first = 0
+    for size, members, fps, near in index.groups:
         step = max(1, size // 8)
         begin = np.arange(0, max(0, len(s) - size + 1), step)
         prints = _majority(total[size::step][: len(begin)] - total[: len(begin) * step : step][: len(begin)], size // 2)
@@ -147,22 +184,36 @@ def _search(index: _Index, ids: list, texts: list[bytes], least: float) -> list[
         begin, prints = np.concatenate([begin, lo]), np.concatenate([prints, edge])
         inside = np.concatenate([inside, np.ones(len(lo), bool)])
         for i, at in index.candidates(fps, near, prints):
-            item_id, item, counts = members[i]
-            found = defaultdict(set)
+            more = max(0, size - len(members[i][1]))
             for p in begin[at[inside[at]]].tolist():
                 d = int(np.searchsorted(ends, p, side="right"))
-                found[d].add(p - int(starts[d]))
-            for d, places in found.items():
-                last = max(0, int(runs[d]) - len(item))
-                for p in sorted(places):
-                    a, b = min(max(0, p - step - 2), last), min(p + step + 2 + max(0, size - len(item)), last)
-                    # Only the part of the text that the windows cover.
-                    own = s[starts[d] + a : min(ends[d], starts[d] + b + len(item))].tolist()
-                    value, where = _best(own, range(0, b - a + 1), counts, len(item))
-                    if value >= least and (-value, where + a) < best.get((d, g, i), ((0.0, 0),))[0]:
-                        n = min(int(words[d]), len(item) + 4)
-                        best[d, g, i] = ((-value, where + a), ids[d], item_id, n)
-    return [(doc, item_id, -v, p, n) for (v, p), doc, item_id, n in best.values()]
+                p -= int(starts[d])
+                ranges[d, first + i].append((p - step - 2, p + step + 2 + more))
+        first += len(members)
+    out = []
+    for (d, number), tried in ranges.items():
+        item_id, item, counts = index.members[number]
+        last, best = max(0, int(runs[d]) - len(item)), (0.0, 0)
+        for a, b in _merged(tried, last):
+            # Only the part of the text that the windows cover.
+            own = s[starts[d] + a : min(ends[d], starts[d] + b + len(item))].tolist()
+            if sum(x in counts for x in own) >= index.needed[number]:
+                value, where = _best(own, counts, len(item))
+                best = min(best, (-value, where + a))
+        if -best[0] >= least:
+            out.append((ids[d], item_id, -best[0], best[1], min(int(words[d]), len(item) + 4)))
+    return out
+
+
+def _merged(ranges: list[tuple[int, int]], last: int) -> list[tuple[int, int]]:
+    """Ranges within 0 and last, those that touch as one."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted((min(max(0, a), last), min(max(0, b), last)) for a, b in ranges):
+        if out and a <= out[-1][1] + 1:
+            out[-1] = out[-1][0], max(b, out[-1][1])
+        else:
+            out.append((a, b))
+    return out
 
 
 def _slabs(benchmark: DataFrame, slab: int) -> Iterator[list[tuple[int, bytes]]]:
@@ -176,12 +227,12 @@ def _slabs(benchmark: DataFrame, slab: int) -> Iterator[list[tuple[int, bytes]]]
     yield part
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, least: float = 0.75, radius: int = RADIUS, slab: int = SLAB) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, radius: int = RADIUS, slab: int = SLAB) -> DataFrame:
     """doc_id, item_id, similarity, first_word, window_words of each document that holds an item."""
     return reduce(DataFrame.unionByName, [_leaks(docs, s, least, radius) for s in _slabs(benchmark, slab)])
 
 
-def holds_leak(benchmark: DataFrame, text: str = "text", least: float = 0.75, radius: int = RADIUS, slab: int = SLAB) -> Column:
+def holds_leak(benchmark: DataFrame, text: str = "text", least: float = LEAST, radius: int = RADIUS, slab: int = SLAB) -> Column:
     """Whether a text holds any item, as a filter on a column of texts: the same search, no shuffle."""
     small_batches(benchmark.sparkSession)
 
@@ -200,17 +251,17 @@ def holds_leak(benchmark: DataFrame, text: str = "text", least: float = 0.75, ra
 _built: dict = {}
 
 
-def _index(items: list[tuple[int, bytes]], radius: int) -> _Index:
+def _index(items: list[tuple[int, bytes]], radius: int, least: float) -> _Index:
     """Built once per Python worker and slab."""
-    key = (radius, hash(tuple(items)))
+    key = (radius, least, hash(tuple(items)))
     if key not in _built:
         _built.clear()
-        _built[key] = _Index(items, radius)
+        _built[key] = _Index(items, radius, least)
     return _built[key]
 
 
 def _in_chunks(items: list[tuple[int, bytes]], radius: int, ids: list, texts: list[bytes], least: float) -> list[tuple]:
-    index, rows, at, size = _index(items, radius), [], 0, 0
+    index, rows, at, size = _index(items, radius, least), [], 0, 0
     for i, text in enumerate(texts):
         size += len(text)
         if size >= _CHUNK or i + 1 == len(texts):

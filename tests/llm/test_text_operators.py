@@ -118,6 +118,23 @@ def test_leaks(spark):
     assert {(r.doc_id, r.item_id) for r in slabs.collect()} == want.keys() | {(300, 4)}
 
 
+@pytest.mark.parametrize(("words", "edits"), [(40, 1), (50, 1), (100, 2), (200, 5)])
+def test_no_leak_near_the_least_similarity_is_missed(words, edits):
+    """Items with changed words, similarity mostly between 0.75 and 0.85, against every window."""
+    items = [(i, " ".join(prose(7000 + i, words))) for i in range(120)]
+    docs = []
+    for i, (_, item) in enumerate(items):
+        w = item.split()
+        for j in range(edits):
+            w[len(w) * (j + 1) // (edits + 1)] = f"x{i}"
+        docs.append((i, " ".join([*prose(9000 + i, 20 + i), *w, *prose(8000 + i, 30)])))
+    docs += [(500 + i, " ".join(item.split()[: words * 4 // 5])) for i, (_, item) in enumerate(items[:40])]
+    want = brute.leaks(docs, items)
+    assert sum(0.75 <= x < 0.85 for x in want.values()) >= 120
+    rows = decontaminate._in_chunks([(i, t.encode()) for i, t in items], decontaminate.RADIUS, [d for d, _ in docs], [t.encode() for _, t in docs], 0.75)
+    assert {(d, i): x for d, i, x, _, _ in rows} == pytest.approx(want) and len(rows) == len(want)
+
+
 def test_leaks_of_nothing(spark):
     none = spark.createDataFrame([], "item_id bigint, text string")
     assert decontaminate.leaks(frame(spark, [(1, "a b c d e f")]), none).count() == 0
