@@ -11,7 +11,7 @@ and p is the least ratio of unlabelled to positive texts above a threshold,
 as texts above it that are not positive can only raise that ratio.
 
 The model is fitted on at most ``sample`` positives and ``sample`` unlabelled rows, those with
-the smallest hashes of their ids; the driver holds their features. Then all texts are scored
+the smallest hashes of id and text; the driver holds their features, those of equal rows once. Then all texts are scored
 whole in one pass without a shuffle.
 
 Nulls and ties: NULL text is empty; empty texts have features and a score too. A NULL
@@ -156,19 +156,25 @@ def _held_out() -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, seed: int = 5) -> QualityModel:
     """Learn from the rows of docs that are not held out."""
-    ids = docs.where(~_held_out()).select("doc_id", F.xxhash64(F.lit(seed), "doc_id").alias("h"), F.xxhash64(F.lit(seed + 1), "doc_id").alias("g"))
+    learnt = docs.where(~_held_out()).select("doc_id", "text", F.xxhash64(F.lit(seed), "doc_id", "text").alias("h"))
+    rows = learnt.select("doc_id", "h", F.xxhash64(F.lit(seed + 1), "h").alias("g"))
     trusted = labels.where("quality = 1").where(~_held_out()).select("doc_id").distinct()
-    # Ids first, texts of the chosen ones only: at most 2 * sample ids are sent to the tasks.
-    chosen = ids.join(trusted, "doc_id", "left_semi").select("doc_id", "h").orderBy("h").limit(sample).select("doc_id", F.lit(1).alias("is_pos"))
-    other = ids.select("doc_id", "g").orderBy("g").limit(sample).select("doc_id", F.lit(0).alias("is_pos"))
-    picked = chosen.unionByName(other).distinct().toDF("picked", "is_pos")
-    rows = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id").eqNullSafe(F.col("picked")))
+    # Rows first, as hashes; then texts of the chosen ones only: at most 2 * sample hashes are sent to the tasks.
+    chosen = rows.join(trusted, "doc_id", "left_semi").select("h").orderBy("h").limit(sample).withColumn("is_pos", F.lit(1))
+    other = rows.select("h", "g").orderBy("g").limit(sample).select("h", F.lit(0).alias("is_pos"))
+    # Rows of one hash are equal: their features come back once, with the number of rows chosen.
+    picked = chosen.unionByName(other).groupBy("h", "is_pos").agg(F.count(F.lit(1)).alias("times"))
+    texts = learnt.select("h", "text").join(F.broadcast(picked), "h")
 
     def each(keys, texts):
-        return {"is_pos": keys, "x": [features(t) for t in texts]}
-
-    found = map_texts(rows, each, "is_pos int, x array<double>", ["is_pos"]).collect()
-    pos, unl = (np.array([r.x for r in found if r.is_pos == k], float) for k in (1, 0))
+        h, is_pos, times = keys
+        return {"h": h, "is_pos": is_pos, "times": times, "x": [features(t) for t in texts]}
+
+    kind = "h bigint, is_pos int, times bigint, x array<double>"
+    found = map_texts(texts, each, kind, ["h", "is_pos", "times"]).dropDuplicates(["h", "is_pos"]).collect()
+    # Folds of the prior are every so many rows, so their order is fixed.
+    found.sort(key=lambda r: (r.is_pos, r.h))
+    pos, unl = (np.array([r.x for r in found if r.is_pos == k for _ in range(r.times)], float) for k in (1, 0))
     if not len(pos) or not len(unl):
         return QualityModel(np.zeros(0), np.zeros(0), None, 0.5)
     mean, std = unl.mean(axis=0), unl.std(axis=0) + 1e-6

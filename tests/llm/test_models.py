@@ -175,6 +175,19 @@ def test_quality_odd_rows(spark):
     assert quality.quality_scores(documents(spark, []), labels).count() == 0
 
 
+def test_quality_learns_from_a_sample_of_rows(spark, monkeypatch):
+    """Ids with more rows than the sample: rows are drawn, not ids, and no more than the sample."""
+    seen, fit = [], quality.fit
+    monkeypatch.setattr(quality, "estimate_prior", lambda pos, unl: seen.append((pos, unl)) or 0.5)
+    monkeypatch.setattr(quality, "fit", lambda pos, unl, prior: fit(pos, unl, prior))
+    ids = [i for i in range(40) if crc32(str(i).encode()) % 3 != 1][:9]
+    texts = [(i, " ".join(["word"] * (10 * j + n + 1)), "s") for j, i in enumerate([*ids, None]) for n in range(200)] + [(ids[0], "same text", "s")] * 300
+    labels = spark.createDataFrame([(i, 1) for i in ids[:3]], "doc_id bigint, quality int")
+    quality.train(documents(spark, texts), labels, sample=50)
+    (pos, unl), = seen
+    assert (len(pos), len(unl)) == (50, 50)
+
+
 def test_prior_and_risk():
     rng = np.random.default_rng(0)
     pos, neg = rng.normal(2, 1, (4000, 3)), rng.normal(-2, 1, (4000, 3))
