@@ -1,7 +1,8 @@
 """License scan: exact set-similarity join of text blocks with license templates.
 
 A text's words are cut into blocks of ``BLOCK`` words, one every ``STRIDE``, so that
-any ``BLOCK - STRIDE`` words in a row lie whole in one block. A block matches a template
+any ``BLOCK - STRIDE`` words in a row lie whole in one block; with longer templates blocks are twice
+as long as the longest, one every length of it. A block matches a template
 if it contains at least ``percent`` of the template's distinct words. Template words are
 ordered by how many documents hold them, rarest first; words of no template cannot
 count and leave the sets. Then
@@ -84,6 +85,9 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, phrases: dict[s
     spark = docs.sparkSession
     sets = {k: sorted(set(_words(t))) for k, t in templates.items()}
     need = {k: -(-percent * len(s) // 100) for k, s in sets.items()}
+    # The longest template lies whole in one block wherever it stands.
+    longest = max((len(_words(t)) for t in templates.values()), default=0)
+    size, stride = (BLOCK, STRIDE) if longest <= BLOCK - STRIDE else (2 * longest, longest)
     vocabulary = sorted({w for s in sets.values() for w in s})
 
     texts = docs.select("doc_id", words_in(F.col("text")).alias("words"))
@@ -100,9 +104,9 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, phrases: dict[s
         p: F.when(F.array_contains("words", first_of[p]), _starts("words", p)).otherwise(F.array().cast("array<int>")) for p in phrases
     }
     # Blocks: word sets as ascending ranks, template words only.
-    at = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size("words") - 1 - (BLOCK - STRIDE)) / F.lit(STRIDE)).cast("int")))
+    at = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size("words") - 1 - (size - stride)) / F.lit(stride)).cast("int")))
     ranks = lambda i: F.array_sort(F.transform(
-        F.array_intersect(F.slice("words", i * STRIDE + 1, BLOCK), _literal(order)), lambda w: F.array_position(_literal(order), w).cast("int") - 1
+        F.array_intersect(F.slice("words", i * stride + 1, size), _literal(order)), lambda w: F.array_position(_literal(order), w).cast("int") - 1
     ))
     blocks = F.when(F.arrays_overlap("words", _literal(prefixes)), F.transform(at, lambda i: F.struct(i.alias("block"), ranks(i).alias("ranks"))))
     found = stored(

@@ -249,6 +249,15 @@ def test_templates_fit_into_a_block():
     assert all(len(licenses._words(t)) <= licenses.BLOCK - licenses.STRIDE for t in licenses.TEMPLATES.values())
 
 
+def test_long_templates_match_anywhere(spark):
+    """A template longer than a block, and one longer than two blocks share."""
+    for n in (45, 200):
+        body = " ".join(f"term{i}" for i in range(n))
+        texts = [(i, " ".join([*prose(i, 7 * i), body, *prose(i + 50, 40)])) for i in range(12)]
+        got = licenses.scan(frame(spark, texts), templates={"body": body}).collect()
+        assert [(r.labels, r.score) for r in got] == [("body", 1.0)] * 12
+
+
 # --- token files ---
 @pytest.mark.parametrize("n", [0, 1, 511, 512, 513, 5000])
 def test_codes(n):
