@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from headway.operators.monitor import MONITOR_COLUMNS
 from headway.session import scratch_path
 from headway.sources.messages import directory_messages
 from headway.streaming import flows
@@ -63,7 +64,7 @@ def _stream_trip_monitor(spark, sf_dir):
             source, index, flows.batch_files(out), scratch_path(spark, "ckpt"), "UTC", trigger=None
         )
     )
-    return live.comparable(spark.read.parquet(out).drop("batch_id"))
+    return live.comparable(spark.read.parquet(out).select(*MONITOR_COLUMNS))
 
 
 @demo(

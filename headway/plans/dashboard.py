@@ -7,6 +7,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from headway.operators import metrics
+from headway.operators.monitor import MONITOR_COLUMNS
 from headway.sinks.tables import VersionedTable
 
 from . import side_by_side
@@ -26,8 +27,9 @@ def dashboard_tables(monitor: DataFrame, alerts: DataFrame | None = None) -> dic
 
 def publish_dashboard(spark: SparkSession, monitor: str, output: str, alerts: str | None = None) -> None:
     """Replace every table below ``output``; readers see the old one or the new one."""
-    rows = spark.read.parquet(monitor)
-    tables = dashboard_tables(rows, spark.read.parquet(alerts) if alerts else None)
+    # A flow's folder also has the columns of its batch folders, which are no part of a row.
+    rows = spark.read.parquet(monitor).select(*MONITOR_COLUMNS)
+    tables = dashboard_tables(rows, spark.read.parquet(alerts).select("id", "routeId") if alerts else None)
 
     def put(name: str) -> None:
         target = VersionedTable(spark, f"{output.rstrip('/')}/{name}")

@@ -24,7 +24,8 @@ def gate_sink(
     The last header time per feed is a table of one row per feed, written per
     batch next to the output. A batch reads the state its predecessor wrote and
     overwrites its own, so doing it again after a failure gives the same result.
-    Older states than the predecessor's are deleted.
+    States are kept as long as Spark keeps the checkpoint of their batch, so a flow
+    whose checkpoint was rolled back finds the state it needs.
     """
     schema = f"{feed} string, {ts} bigint"
 
@@ -32,6 +33,12 @@ def gate_sink(
         spark = df.sparkSession
         prior = None
         if batch_id > 0:
+            fs, before = filesystem(spark, f"{state}/batch-{batch_id - 1}")
+            if not fs.exists(before):
+                raise FileNotFoundError(
+                    f"batch {batch_id} needs the feed state of batch {batch_id - 1} at {before}; it is gone or was "
+                    "never written: does the state folder belong to this checkpoint?"
+                )
             prior = spark.read.schema(schema).parquet(f"{state}/batch-{batch_id - 1}")
         df = df.persist()  # read for the output and for the state
         try:
@@ -44,7 +51,8 @@ def gate_sink(
             if prior is not None:
                 last = last.unionByName(prior.join(last.select(feed), feed, "left_anti"))
             last.write.mode("overwrite").parquet(f"{state}/batch-{batch_id}")
-            fs, old = filesystem(spark, f"{state}/batch-{batch_id - 2}")
+            kept = int(spark.conf.get("spark.sql.streaming.minBatchesToRetain", "100"))
+            fs, old = filesystem(spark, f"{state}/batch-{batch_id - 1 - kept}")
             fs.delete(old, True)
         finally:
             df.unpersist()

@@ -12,6 +12,7 @@ from conftest import plan_of, tuples
 from pyspark.sql import functions as F
 
 from headway import session
+from headway.operators.monitor import MONITOR_COLUMNS
 from headway.jobs import boroughs, dashboard, load, snapshot, streams
 from headway.operators.snapshot import service_snapshot
 from headway.plans.daily_load import needs_load, warehouse_table
@@ -242,6 +243,8 @@ def test_two_days_end_to_end(spark, tmp_path):
     lookup = tables.VersionedTable(spark, f"{t['published']}/stop_boroughs").read()
     assert tuples(lookup) == [("1", "Brooklyn"), ("2", "Unknown")] and lookup.columns == ["stop_id", "borough"]
     dashboard.main(["--monitor", f"{t['out']}/monitor", "--output", f"{t['out']}/dashboard"])
+    live = tables.VersionedTable(spark, f"{t['out']}/dashboard/live_vehicles").read()
+    assert tuple(live.columns) == MONITOR_COLUMNS
     otp = tables.VersionedTable(spark, f"{t['out']}/dashboard/otp_by_route").read()
     assert tuples(otp) == [("R", 1, 1.0)]
     streams.main(["gate", "--directory", t["msgs"], "--output", f"{t['out']}/gate", "--checkpoint", f"{t['ckpt']}/gate", "--trigger", "once"])

@@ -64,6 +64,9 @@ def test_gate_remembers_across_batches_and_restarts(spark, tmp_path):
     write(spark.createDataFrame(days[1], SCHEMA), 1)
     again = spark.read.parquet(out).select("feed", "seq", "header_ts", "previous_ts")
     assert tuples(again) == tuples(want)
+    # A state that is not there is named.
+    with pytest.raises(FileNotFoundError, match="batch 7 needs the feed state of batch 6"):
+        write(spark.createDataFrame(days[1], SCHEMA), 7)
 
 
 def test_static_side_is_refreshed(spark):
@@ -93,7 +96,8 @@ def test_batch_folders_are_folded_and_replays_replace(spark, tmp_path):
     assert spark.read.parquet(out).count() == 200
 
 
-def test_gate_keeps_two_states(spark, tmp_path):
+def test_gate_keeps_states_as_long_as_checkpoints(spark, tmp_path, conf):
+    conf({"spark.sql.streaming.minBatchesToRetain": "1"})
     seen = []
     sink = gate_sink(str(tmp_path / "state"), lambda df, i: seen.extend(r.seq for r in df.collect()))
     for i in range(6):
