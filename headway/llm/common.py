@@ -88,9 +88,9 @@ def _power_tables(n: int) -> list[np.ndarray]:
     return _powers
 
 
-def _piece_hashes(piece: bytes) -> tuple[np.ndarray, np.ndarray]:
+def _piece_hashes(piece: bytes, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Start and 64-bit hash of every word of some bytes: a polynomial over table values, from prefix sums."""
-    b = np.frombuffer(piece.lower(), np.uint8)
+    b = np.frombuffer(piece.lower() if lower else piece, np.uint8)
     gap = np.concatenate([[True], _SPACE[b], [True]])
     edge = np.flatnonzero(gap[1:] != gap[:-1])
     start, end = edge[::2], edge[1::2]
@@ -111,13 +111,16 @@ def _pieces(text: bytes):
     yield text[at:]
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of all texts one after another, and the number of words of each."""
+def word_hashes(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts one after another, and the number of words of each.
+
+    A-Z is lower case unless `lower` is false.
+    """
     hashes, counts = [], np.zeros(len(texts), np.int64)
     run, size = [], 0
 
     def flush():
-        start, h = _piece_hashes(b" ".join(texts[i] for i in run))
+        start, h = _piece_hashes(b" ".join(texts[i] for i in run), lower)
         bounds = np.cumsum([0] + [len(texts[i]) + 1 for i in run])
         counts[run] = np.diff(np.searchsorted(start, bounds))
         hashes.append(h)
@@ -127,7 +130,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             if run:
                 flush()
                 run, size = [], 0
-            parts = [_piece_hashes(x)[1] for x in _pieces(text)]
+            parts = [_piece_hashes(x, lower)[1] for x in _pieces(text)]
             hashes += parts
             counts[i] = sum(map(len, parts))
             continue
@@ -141,6 +144,18 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes) if hashes else np.zeros(0, np.uint64), counts
 
 
+def gram_hashes(w: np.ndarray, k: int) -> np.ndarray:
+    """Hash of the k words that start at each place of a row of word hashes; the last k - 1 places start none."""
+    out, have = w, 1
+    with np.errstate(over="ignore"):
+        # By doubling: the hash of 2 m words from two hashes of m words, and then of any k.
+        while have < k:
+            step = min(have, k - have)
+            out = mixed(out[: len(out) - step] * np.uint64(_FACTOR) + mixed(out[step:]) + np.uint64(step))
+            have += step
+    return out
+
+
 def shingle_hashes(texts: list[bytes], size: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of each run of `size` words of each text (fewer words are one run), runs and words by text.
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from headway.llm import chat, class_lm, decontaminate, exact_topk, licenses, line_runs, mixing, near_dedup, quality, token_files
+from headway.llm import centroids, chat, class_lm, decontaminate, exact_topk, licenses, line_runs, mixing, near_dedup, periodic, quality, substrings, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -113,6 +113,24 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.schedule(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of all vectors after ten rounds from eight starts."""
+    return centroids.k_means(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of periodic words of all documents, a tenth of them rewritten."""
+    return periodic.periodic_runs(table(spark, sf_dir, "documents"), rewrite=periodic.planted).drop("runs", "collapsed")
+
+
+@query
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without passages of fifty words that an earlier document holds."""
+    return substrings.kept_words(table(spark, sf_dir, "documents")).drop("text")
+
+
 ORACLE["op1_exact_topk"] = """
 WITH e AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
@@ -215,3 +233,47 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
   sha256(coalesce(string_agg(CASE WHEN NOT gone THEN line END, chr(10) ORDER BY i), '')) AS kept_sha256
 FROM m GROUP BY r, doc_id
 """
+
+
+def _centroid_sql(k: int = 8, dims: int = 64, factor: int = 1024, rounds: int = 10, seed: int = 3) -> str:
+    """Lloyd's rounds written out; every distance is measured."""
+
+    def assigned(n: int) -> str:
+        return f"""a{n} AS MATERIALIZED (SELECT r, vec_id, min(distance) AS distance, arg_min(cluster, (distance, cluster)) AS cluster FROM (
+    SELECT r, vec_id, cluster, list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS distance FROM e, c{n}) GROUP BY r, vec_id)"""
+
+    steps = []
+    for n in range(rounds):
+        steps.append(assigned(n))
+        steps.append(f"""m{n} AS (SELECT cluster, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c FROM (
+    SELECT cluster, i, sum(x) AS s, count(*) AS n FROM (SELECT a.cluster, unnest(range(1, {dims + 1})) AS i, unnest(v) AS x FROM a{n} a JOIN e USING (r)) GROUP BY cluster, i)
+    GROUP BY cluster)""")
+        steps.append(f"c{n + 1} AS MATERIALIZED (SELECT cluster, coalesce(m.c, o.c) AS c FROM c{n} o LEFT JOIN m{n} m USING (cluster))")
+    return f"""
+WITH e AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor({factor} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY h, v) - 1 AS INTEGER) AS cluster, v AS c FROM (
+  SELECT sha256('{seed}:' || vec_id) AS h, v FROM e WHERE vec_id IS NOT NULL ORDER BY h, v LIMIT {k})),
+{",".join(steps)},
+{assigned(rounds)}
+SELECT vec_id, cluster, CAST(distance AS BIGINT) AS distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (cluster)
+"""
+
+
+ORACLE["op11_centroids"] = _centroid_sql()
+
+ORACLE["op13_substring_dedup"] = r"""
+WITH w AS (SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT r, doc_id, i, sha256(array_to_string(ws[i:i + 49], ' ')) AS h FROM (SELECT r, doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w)),
+f AS (SELECT h, min(doc_id) AS first_doc FROM s GROUP BY h),
+g AS (SELECT r, i FROM s JOIN f USING (h) WHERE first_doc < doc_id),
+d AS (SELECT DISTINCT r, unnest(range(i, i + 50)) AS i FROM g),
+p AS (SELECT r, doc_id, unnest(range(1, len(ws) + 1)) AS i, unnest(ws) AS x FROM w),
+k AS (SELECT p.r, string_agg(x, ' ' ORDER BY p.i) AS kept, count(*) AS n FROM p LEFT JOIN d ON d.r = p.r AND d.i = p.i WHERE d.i IS NULL GROUP BY p.r)
+SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k USING (r)
+"""

@@ -1,0 +1,201 @@
+"""Centroids, periodic runs and shared passages against plain versions."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+
+import numpy as np
+import pytest
+from conftest import tuples
+
+from headway.llm import centroids, periodic, substrings
+
+DOCS = "doc_id bigint, text string, key string, part string, at double, known int"
+
+
+def frame(spark, texts):
+    return spark.createDataFrame([(i, t, "k", "p", 0.5, 3) for i, t in texts], DOCS).repartition(3)
+
+
+# --- centroids ---
+def plain_k_means(rows, k, dims, factor, rounds, seed=3):
+    kept = [(i, [math.floor(factor * float(x)) for x in v]) for i, v in rows
+            if v is not None and len(v) == dims and all(x is not None and math.isfinite(x) for x in v)]
+    key = lambda r: (hashlib.sha256(f"{seed}:{r[0]}".encode()).hexdigest(), r[1])
+    c = [list(v) for _, v in sorted((r for r in kept if r[0] is not None), key=key)[:k]]
+
+    def nearest(v):
+        return min((sum((a - b) ** 2 for a, b in zip(v, x, strict=True)), j) for j, x in enumerate(c))
+
+    for _ in range(rounds):
+        of = [nearest(v)[1] for _, v in kept]
+        for j in range(len(c)):
+            own = [v for (_, v), o in zip(kept, of, strict=True) if o == j]
+            if own:
+                c[j] = [sum(x) // len(own) for x in zip(*own, strict=True)]
+    out = [(i, *nearest(v)) for i, v in kept] if c else []
+    inertia = {j: sum(d for _, d, o in out if o == j) for j in range(len(c))}
+    digest = [hashlib.sha256(",".join(map(str, x)).encode()).hexdigest() for x in c]
+    return sorted(((i, j, d, inertia[j], sum(inertia.values()), digest[j]) for i, d, j in out), key=repr)
+
+
+@pytest.mark.parametrize("k, spread", [(8, 1.0), (5, 0.004), (40, 1.0)])
+def test_k_means(spark, k, spread):
+    r = random.Random(k)
+    # Few different values, so that distances tie; some equal rows and equal starts.
+    rows = [(i, [round(r.choice((-1, 0, 1, 2)) * spread, 3) for _ in range(4)]) for i in range(300)]
+    rows += [(i, list(rows[i][1])) for i in range(20)] + [(1000 + i, [0.0] * 4) for i in range(30)]
+    rows += [(None, [1.0, 2.0, 3.0, 4.0]), (900, None), (901, [1.0]), (902, [None] * 4), (903, [float("nan")] * 4), (904, [float("inf")] * 4), (905, [])]
+    df = spark.createDataFrame([(i, v, 1, "v") for i, v in rows], "vec_id bigint, embedding array<double>, cluster int, v string").repartition(3)
+    got = centroids.k_means(df, k=k, dims=4, factor=1024, rounds=4)
+    assert tuples(got) == plain_k_means(rows, k, 4, 1024, 4)
+
+
+def test_k_means_beyond_doubles(spark):
+    rows = [(i, [float(i * 10**9), -3.0e9 if i % 2 else 5.0e9]) for i in range(9)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    want = plain_k_means(rows, 3, 2, 1024, 3)
+    top = (1 << 63) - 1
+    assert tuples(centroids.k_means(df, k=3, dims=2, rounds=3)) == sorted(((a, b, min(top, c), min(top, d), min(top, e), f) for a, b, c, d, e, f in want), key=repr)
+    assert centroids.k_means(df.limit(0), dims=2).count() == 0
+    assert centroids.k_means(df, k=50, dims=2, rounds=1).where("distance > 0").count() == 0
+
+
+def test_tree_prunes_and_keeps_ties():
+    rng = np.random.default_rng(1)
+    groups = rng.integers(-50_000, 50_000, (40, 6))
+    points = (groups[rng.integers(0, 40, 400)] + rng.integers(-3, 4, (400, 6))).tolist()
+    points += points[:50]
+    tree = centroids.Tree(points)
+    asked = groups[rng.integers(0, 40, 200)] + rng.integers(-3, 4, (200, 6))
+    number, distance, measured = tree.nearest(asked)
+    d = ((asked[:, None, :] - np.array(points)[None]) ** 2).sum(axis=2)
+    assert (d.argmin(axis=1) == number).all() and (d.min(axis=1) == distance).all()
+    assert measured < d.size / 3
+
+
+# --- periodic runs ---
+def plain_runs(w, least=12):
+    out = {}
+    for q in range(1, len(w) // 2 + 1):
+        i = 0
+        while i + q < len(w):
+            s = i
+            while i + q < len(w) and w[i] == w[i + q]:
+                i += 1
+            if i > s and i - s + q >= max(least, 2 * q):
+                out.setdefault((s, i + q), q)
+            i += i == s
+    return sorted((s, e - s, q) for (s, e), q in out.items())
+
+
+def some_words(r):
+    kind = r.randrange(6)
+    if kind == 0:
+        return [str(r.randrange(2)) for _ in range(r.randrange(200))]
+    if kind == 1:
+        return [str(r.randrange(900)) for _ in range(r.randrange(200))]
+    if kind == 2:
+        return ["x"] * r.randrange(90)
+    u = [str(r.randrange(4)) for _ in range(r.randrange(1, 50))]
+    out = [str(r.randrange(3)) for _ in range(r.randrange(9))] + u * r.randrange(1, 8) + u[: r.randrange(9)]
+    if kind == 3:
+        out[r.randrange(len(out))] = "edit"
+    return out * r.randrange(1, 3)
+
+
+def test_runs_of_many_texts_at_once():
+    r = random.Random(4)
+    for _ in range(60):
+        texts = [some_words(r) for _ in range(r.randrange(1, 9))]
+        flat = np.array([hash(x) & 0xFFFFFFFF for t in texts for x in t], np.uint64)
+        owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+        base = np.cumsum([0] + [len(t) for t in texts])
+        got = sorted((s - int(base[owner[s]]), e - s, q, int(owner[s])) for s, e, q in periodic.runs(flat, owner))
+        assert got == sorted((*x, i) for i, t in enumerate(texts) for x in plain_runs(t))
+
+
+def test_periodic_runs(spark):
+    r = random.Random(5)
+    texts = [(i, " ".join(some_words(r))) for i in range(150)]
+    texts += [(200, None), (201, ""), (202, " \n\x0b"), (203, "a b a b"), (None, "x " * 40), (7, "y z " * 30), (204, "w\t" * 30_000)]
+    got = {}
+    for row in periodic.periodic_runs(frame(spark, texts), rewrite=periodic.planted).collect():
+        got.setdefault(row.doc_id, []).append(row)
+    rewritten = 0
+    for i, text in texts:
+        w = (text or "").split(" ") if text and "\t" not in text and "\n" not in text else (text or "").split()
+        w = [x for x in w if x]
+        take = periodic.planted(i, len(w))
+        if take is not None:
+            g = periodic.zlib.crc32(str(i).encode()) // 10
+            a = g % len(w)
+            p = 1 + (len(w) - a) // (3 + g % 8)
+            w = [w[j] if j < a else w[a + (j - a) % p] for j in range(len(w))]
+            rewritten += 1
+        want = [(0, 30_000, 1)] if i == 204 else plain_runs(w)
+        gone = {j for s, n, q in want for j in range(s + q, s + n)}
+        kept = " ".join(x for j, x in enumerate(w) if j not in gone)
+        best = min(want, key=lambda x: (-x[1], x[0], x[2]), default=None)
+        row = next(x for x in got[i] if x.collapsed == kept and [tuple(y) for y in x.runs] == want)
+        assert row.n_runs == len(want) and (row.start, row.length, row.period) == (best or (None,) * 3)
+        assert row.exponent_milli == (1000 * best[1] // best[2] if best else None)
+        assert row.collapsed_sha256 == hashlib.sha256(kept.encode()).hexdigest()
+        assert row.runs_sha256 == hashlib.sha256("".join(f"{s},{n},{q}\n" for s, n, q in want).encode()).hexdigest()
+    assert rewritten > 5 and periodic.periodic_runs(frame(spark, texts).limit(0)).count() == 0
+
+
+# --- shared passages ---
+def plain_kept(docs, window):
+    first = {}
+    split = [(d, (t or "").split()) for d, t in docs]
+    for d, w in split:
+        if d is not None:
+            for i in range(len(w) - window + 1):
+                x = tuple(w[i : i + window])
+                first[x] = min(first.get(x, d), d)
+    out = []
+    for d, w in split:
+        gone = set()
+        if d is not None:
+            for i in range(len(w) - window + 1):
+                if first[tuple(w[i : i + window])] < d:
+                    gone |= set(range(i, i + window))
+        kept = " ".join(x for i, x in enumerate(w) if i not in gone)
+        out.append((d, len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest(), kept))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("window", [50, 8])
+def test_kept_words(spark, window):
+    r = random.Random(window)
+    prose = lambda n, v=10**6: [f"w{r.randrange(v)}" for _ in range(n)]
+    passages = [prose(n) for n in (window - 1, window, window + 1, 3 * window, 10 * window)]
+    texts = []
+    for i in range(120):
+        w = prose(r.randrange(2 * window))
+        for _ in range(r.randrange(4)):
+            p = list(r.choice(passages))
+            if r.randrange(2):  # cut or edited
+                p[r.randrange(len(p))] = f"e{r.randrange(3)}"
+            w += p + prose(r.randrange(window))
+        texts.append((i, " ".join(w)))
+    # Copies of copies with edits, so that the first document differs from seed to seed.
+    chain = prose(12 * window)
+    for i in range(40):
+        texts.append((200 + r.randrange(40), "  ".join(chain)))
+        chain = list(chain)
+        chain[r.randrange(len(chain))] = f"c{i}"
+        if i % 7 == 0:
+            at = r.randrange(len(chain))
+            chain = chain[:at] + prose(3) + chain[at:]
+    few = ["a", "b"]
+    texts += [(300 + i, " ".join(r.choice(few) for _ in range(4 * window))) for i in range(6)]
+    texts += [(310 + i, "same " * (3 * window + i)) for i in range(4)]
+    texts += [(400, None), (401, ""), (402, "\t\n"), (None, texts[0][1]), (None, " ".join(chain)), (5, texts[5][1]), (5, " ".join(chain)), (403, "Case " * window), (404, "case " * window)]
+    got = substrings.kept_words(frame(spark, texts), window).select("doc_id", "n_words", "n_removed", "kept_sha256", "text")
+    want = plain_kept(texts, window)
+    assert tuples(got) == want and sum(x[2] > 0 for x in want) > 60
+    assert substrings.kept_words(frame(spark, texts).limit(0), window).count() == 0
