@@ -4,7 +4,7 @@ The tables hold no transit data, so each demo maps their columns to the roles
 an operator needs. All of them run over whole tables.
 """
 
-from . import batch, live, streams, warehouse  # noqa: F401  (they register themselves)
+from . import batch, live, streams, versions, warehouse  # noqa: F401  (they register themselves)
 from .registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from headway.functions.clock import epoch_to_ts
-from headway.operators import feeds, metrics, nested
+from headway.operators import feeds, metrics, nested, quarantine
 from headway.operators.asof import asof_join
 from headway.operators.monitor import schedule_index, trip_monitor
 from headway.schemas import ALERTS, TRIP_UPDATES, VEHICLE_POSITIONS
@@ -26,10 +26,10 @@ from .registry import (
 )
 
 # --- messages built from table rows; none of it gathers rows into arrays ---
-def vehicle_messages(spark, sf_dir, views=True):
+def vehicle_messages(spark, sf_dir, views=True, where="true", keep=()):
     """One message per event: a vehicle on a trip and one on none. Errors become
     broken text. Where views are the schedule, they are not vehicles as well."""
-    e, k = table(spark, sf_dir, "events"), F.col("event_id")
+    e, k = table(spark, sf_dir, "events").filter(where), F.col("event_id")
     epoch = F.unix_seconds(instant("ts")).cast("string")
 
     def entity(name, trip):
@@ -55,7 +55,7 @@ def vehicle_messages(spark, sf_dir, views=True):
     )
     text = F.when(F.col("event_type") == "error", "bad{").otherwise(F.to_json(message))
     return (e if views else e.filter("event_type <> 'view'")).select(
-        text.alias("value"), F.lit("gtfs-vehicle-positions").alias("topic")
+        text.alias("value"), F.lit("gtfs-vehicle-positions").alias("topic"), *keep
     )
 
 
@@ -472,3 +472,65 @@ def _feed_metrics(spark, sf_dir):
     changed = feeds.changed_messages(feed_messages(spark, sf_dir), bucket_width=1000)
     out = feeds.feed_metrics(changed, F.timestamp_seconds("header_ts"))
     return out.withColumn("timestamp", wall("timestamp"))
+
+
+# --- broken and drifting messages: what is wrong with one follows from the number of its event ---
+SPOILT = "event_id % 11"
+
+
+def doubtful_messages(spark, sf_dir):
+    rows, text, n = vehicle_messages(spark, sf_dir, keep=["event_id"]), F.col("value"), F.expr(SPOILT)
+    spoilt = (
+        F.when(n == 0, F.concat(F.lit("["), text, F.lit("]")))
+        .when(n == 1, F.regexp_replace(text, '"header":', '"headers":'))
+        .when(n == 2, F.regexp_replace(text, '"latitude":', '"latitude":"north","was":'))
+        .when(n == 3, F.regexp_replace(text, "^\\{", '{"feed":{"name":"x","tags":[1]},'))
+        .when(n == 4, F.regexp_replace(text, '"trip":\\{', '"trip":5,"was":{'))
+        .when(n == 5, F.regexp_replace(text, '"entity":', '"entity":7,"entities":'))
+        .otherwise(text)
+    )
+    text = F.when(F.col("value") == "bad{", F.when(n == 6, " ").otherwise(text)).otherwise(spoilt)
+    return rows.select("event_id", "topic", text.alias("json_str"))
+
+
+SQL_DOUBTFUL = f"""
+doubtful AS (
+  SELECT *, CASE WHEN event_type = 'error' THEN CASE WHEN {SPOILT} = 6 THEN 'empty' ELSE 'not_json' END
+            ELSE CASE {SPOILT} WHEN 0 THEN 'not_an_object' WHEN 1 THEN 'missing' WHEN 2 THEN 'bad_fields' WHEN 4 THEN 'bad_fields'
+                      WHEN 5 THEN 'bad_fields' END END AS reason,
+         CASE WHEN event_type <> 'error' THEN CASE {SPOILT} WHEN 1 THEN 'header' WHEN 2 THEN 'entity[].vehicle.position.latitude'
+              WHEN 4 THEN 'entity[].vehicle.trip' WHEN 5 THEN 'entity' END END AS field
+  FROM events)
+"""
+
+
+@demo(
+    "message_quarantine",
+    f"""WITH {SQL_DOUBTFUL} SELECT event_id, reason, coalesce(field, '') AS fields, reason = 'bad_fields' AS usable
+        FROM doubtful WHERE reason IS NOT NULL""",
+)
+def _message_quarantine(spark, sf_dir):
+    judged = quarantine.judge_messages(doubtful_messages(spark, sf_dir), VEHICLE_POSITIONS)
+    return quarantine.quarantined(judged).select("event_id", "reason", F.array_join("fields", ",").alias("fields"), "usable")
+
+
+@demo(
+    "message_drift",
+    f"""WITH {SQL_DOUBTFUL}, topics AS (SELECT 'gtfs-vehicle-positions' AS topic)
+        SELECT topic, 'feed' AS path, 'unknown' AS kind, 'struct<name:string,tags:array<bigint>>' AS seen, CAST(NULL AS BIGINT) AS messages
+        FROM topics WHERE EXISTS (SELECT 1 FROM events WHERE event_type <> 'error' AND {SPOILT} = 3)
+        UNION ALL SELECT topic, field, reason, NULL, count(*) FROM doubtful, topics WHERE field IS NOT NULL GROUP BY ALL""",
+)
+def _message_drift(spark, sf_dir):
+    return quarantine.message_drift(quarantine.judge_messages(doubtful_messages(spark, sf_dir), VEHICLE_POSITIONS), VEHICLE_POSITIONS)
+
+
+@demo(
+    "typed_messages",
+    f"""WITH p AS ({SQL_POSITIONS.replace("SELECT '2.0'", "SELECT event_id, '2.0'")})
+        SELECT * EXCLUDE (event_id) REPLACE (CASE WHEN {SPOILT} <> 2 THEN latitude END AS latitude) FROM p WHERE {SPOILT} NOT IN (0, 1, 4, 5)""",
+)
+def _typed_messages(spark, sf_dir):
+    judged = quarantine.judge_messages(doubtful_messages(spark, sf_dir), VEHICLE_POSITIONS)
+    out = nested.flatten_vehicle_positions(quarantine.typed_messages(judged, VEHICLE_POSITIONS))
+    return out.withColumn("vehicle_timestamp", wall("vehicle_timestamp"))

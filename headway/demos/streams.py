@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from headway.operators.monitor import MONITOR_COLUMNS
 from headway.session import scratch_path
 from headway.sources.messages import directory_messages
-from headway.streaming import flows
+from headway.streaming import flows, windows
 from headway.streaming.gate import gate_sink
 from headway.streaming.static import Refreshed
 
@@ -139,3 +139,54 @@ def _stream_feed_metrics(spark, sf_dir):
     finished(flows.gated_stream(source, state, *sinks, scratch_path(spark, "ckpt"), trigger=None))
     rows = spark.read.parquet(metrics).select("timestamp", "feed", "metric", "value")
     return rows.withColumn("timestamp", wall("timestamp"))
+
+
+# --- windows and late rows: every tenth event of the first half of the month comes last ---
+LANDINGS = ("event_id % 10 > 0 AND day(ts) <= 15", "event_id % 10 > 0 AND day(ts) > 15", "event_id % 10 = 0")
+# The watermark of a landing is the greatest time of those before, less two minutes.
+SQL_LANDED = f"""
+landed AS (SELECT *, CASE WHEN event_id % 10 = 0 THEN 2 WHEN day(vehicle_timestamp) > 15 THEN 1 ELSE 0 END AS landing,
+                  time_bucket(INTERVAL '5 minutes', vehicle_timestamp) AS window_start
+           FROM (SELECT event_id, entity_id, vehicle_timestamp FROM ({live.SQL_POSITIONS.replace("SELECT '2.0'", "SELECT event_id, '2.0'")}))),
+tops AS (SELECT landing + 1 AS landing, max(max(vehicle_timestamp)) OVER (ORDER BY landing) - INTERVAL 2 MINUTE AS watermark
+         FROM landed GROUP BY landing),
+parted AS (SELECT l.*, t.watermark, coalesce(l.window_start + INTERVAL 5 MINUTE <= t.watermark, FALSE) AS late
+           FROM landed l LEFT JOIN tops t USING (landing)),
+last AS (SELECT max(watermark) AS watermark FROM tops)
+"""
+
+
+def windowed(spark, sf_dir):
+    """Three landings, each taken by a restart of both flows: folders of windows and of late rows."""
+    folder, on_time, late, state, out = (scratch_path(spark, n) for n in ("landing", "on-time", "late", "high-water", "windows"))
+    checks = scratch_path(spark, "ckpt"), scratch_path(spark, "ckpt")
+    for where in LANDINGS:
+        live.vehicle_messages(spark, sf_dir, where=where).write.mode("append").partitionBy("topic").text(folder)
+        rows = flows.vehicle_position_stream(directory_messages(spark, folder))
+        split = windows.late_split(state, windows.landed_batches(on_time), flows.batch_files(late), "5 minutes")
+        finished(flows.start_append(rows, split, checks[0], trigger=None))
+        stream = windows.active_vehicles_stream(windows.on_time_stream(spark, on_time, rows.schema))
+        finished(flows.start_append(stream, flows.batch_files(out), checks[1], trigger=None))
+    return out, late
+
+
+@demo(
+    "stream_active_vehicles",
+    f"""WITH {SQL_LANDED} SELECT window_start, count(DISTINCT entity_id) AS active_vehicles, count(*) AS positions
+        FROM parted, last WHERE NOT late AND window_start + INTERVAL 5 MINUTE <= last.watermark GROUP BY window_start""",
+)
+def _stream_active_vehicles(spark, sf_dir):
+    out, _ = windowed(spark, sf_dir)
+    rows = spark.read.parquet(out).select("window_start", "active_vehicles", "positions")
+    return rows.withColumn("window_start", wall("window_start"))
+
+
+@demo(
+    "stream_late_rows",
+    f"""WITH {SQL_LANDED} SELECT entity_id, vehicle_timestamp, watermark,
+        CAST(epoch(watermark) - epoch(window_start + INTERVAL 5 MINUTE) AS DOUBLE) AS late_by FROM parted WHERE late""",
+)
+def _stream_late_rows(spark, sf_dir):
+    _, late = windowed(spark, sf_dir)
+    rows = spark.read.parquet(late).select("entity_id", "vehicle_timestamp", "watermark", "late_by")
+    return rows.withColumns({c: wall(c) for c in ("vehicle_timestamp", "watermark")})

@@ -103,6 +103,11 @@ def asof_join(
     )
 
 
+def _bucket_name(width: int, horizon: int) -> str:
+    """The name says how the buckets were cut, so that a lookup cut otherwise finds none."""
+    return f"__bucket_{width}_{horizon}"
+
+
 def _clamped(value: Column, width: int, horizon: int) -> Column:
     """Bucket of an axis value: -1 below zero, one last bucket past the horizon."""
     last = horizon // width
@@ -143,14 +148,14 @@ def interval_index(
     return (
         best.withColumn("__until", until)
         .withColumn("__bucket", F.explode(F.sequence(first, last)))
-        .select(*by, "__bucket", F.col(at).alias("__from"), "__until", "__p.*")
+        .select(*by, F.col("__bucket").alias(_bucket_name(width, horizon)), F.col(at).alias("__from"), "__until", "__p.*")
     )
 
 
 def lookup_layout(index: DataFrame, by: Sequence[str], num_partitions: int | None = None) -> DataFrame:
     """An index laid out for many lookups: keep it, and only the left side of
     each lookup is shuffled, if it is not broadcast anyway."""
-    keys = ["__bucket", *by]
+    keys = [*(c for c in index.columns if c.startswith("__bucket_")), *by]
     given = [num_partitions] if num_partitions else []
     return index.repartition(*given, *as_columns(keys)).sortWithinPartitions(*keys)
 
@@ -164,21 +169,25 @@ def asof_lookup(
     width: int = 3600,
     horizon: int = 48 * 3600,
 ) -> DataFrame:
-    """Join left rows to an ``interval_index`` built with the same width and horizon.
+    """Join left rows to an ``interval_index``; another width or horizon than the index was
+    built with is an error.
 
     ``by`` pairs left and index key columns; the index keys are dropped. Left
     rows without an earlier right row are dropped. ``right_at`` names the
     output column with the matched axis value.
     """
+    bucket = _bucket_name(width, horizon)
+    if bucket not in index.columns:
+        raise ValueError(f"the index has no buckets of width {width} up to {horizon}: {index.columns}")
     probe = left.withColumn("__probe", _clamped(F.col(at), width, horizon))
     keys = {r: f"__k_{r}" for _, r in by}
     side = index.withColumnsRenamed(keys)
-    on = (F.col("__probe") == F.col("__bucket")) & (F.col("__from") <= F.col(at))
+    on = (F.col("__probe") == F.col(bucket)) & (F.col("__from") <= F.col(at))
     on = on & (F.col("__until").isNull() | (F.col(at) < F.col("__until")))
     for l, r in by:
         on = on & (F.col(l) == F.col(keys[r]))
     return (
         probe.join(side, on, "inner")
         .withColumnRenamed("__from", right_at)
-        .drop("__probe", "__bucket", "__until", *keys.values())
+        .drop("__probe", bucket, "__until", *keys.values())
     )

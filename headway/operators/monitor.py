@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -65,19 +67,21 @@ def trip_monitor(
     anchor: str = "midnight",
     radius: float = ARRIVAL_RADIUS_M,
     one_per_observation: bool = True,
+    by: Sequence[tuple[str, str]] = (("vp_trip_id", "trip_id"),),
 ) -> DataFrame:
     """OP-C6: each position with the stop last due on its trip, distance,
     status, delay and borough.
 
     Positions before the first stop of their trip are dropped. A position that
     repeats (entity, trip, time) is given once; that needs a shuffle of the
-    result and does not run in a streaming plan, hence the flag.
+    result and does not run in a streaming plan, hence the flag. ``by`` pairs
+    columns of positions and index that have to agree.
     """
     midnight = service_midnight(F.try_to_date("vp_start_date", "yyyyMMdd"), tz, anchor)
     timed = pings.withColumn("__midnight", midnight).withColumn(
         "__elapsed", F.unix_seconds("vehicle_timestamp") - F.col("__midnight")
     )
-    due = asof_lookup(timed, index, [("vp_trip_id", "trip_id")], "__elapsed", "__due")
+    due = asof_lookup(timed, index, by, "__elapsed", "__due")
     rows = (
         due.withColumn("scheduled_arrival", F.timestamp_seconds(F.col("__midnight") + F.col("__due")))
         .withColumn("distance", haversine_m("longitude", "latitude", "stop_lon", "stop_lat"))

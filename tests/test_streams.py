@@ -6,11 +6,12 @@ import json
 
 import pytest
 from conftest import tuples
+from pyspark.sql import functions as F
 
 from headway.operators.feeds import changed_messages
 from headway.operators.monitor import schedule_index
 from headway.sources.messages import directory_messages
-from headway.streaming import flows
+from headway.streaming import flows, windows
 from headway.streaming.gate import gate_sink
 from headway.streaming.static import Refreshed
 
@@ -123,3 +124,59 @@ def test_poison_message_does_not_stop_the_monitor(spark, tmp_path):
     )
     query.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+
+
+# --- windows and late rows ---
+POSITION = "entity_id string, vehicle_timestamp timestamp"
+
+
+def position_rows(spark, *pairs):
+    rows = spark.createDataFrame([(v, s) for v, s in pairs], "entity_id string, s bigint")
+    return rows.select("entity_id", F.timestamp_seconds("s").alias("vehicle_timestamp"))
+
+
+def test_windows_and_late_rows_survive_restarts(spark, tmp_path):
+    """Every batch is a restart of both flows; one batch of the first is done twice."""
+    t = {n: str(tmp_path / n) for n in ("in", "on", "late", "state", "out", "ck1", "ck2")}
+    batches = [
+        [("a", 0), ("a", 10), ("b", 299), (None, 20)],
+        [("c", 301), ("a", 700), ("x", None)],
+        [("d", 100), ("d", 299), ("e", 400), ("f", 560), ("a", 710)],  # watermark 580: the first window is over
+        [("g", 5), ("h", 1000), ("h", 1001)],
+        [("i", 599), ("j", 600), ("z", 2000)],  # watermark 881
+    ]
+    split = windows.late_split(t["state"], windows.landed_batches(t["on"]), flows.batch_files(t["late"]), "5 minutes")
+    for rows in batches:
+        position_rows(spark, *rows).write.mode("append").parquet(t["in"])
+        source = spark.readStream.schema(POSITION).parquet(t["in"]).withWatermark("vehicle_timestamp", "2 minutes")
+        drain(source, split, t["ck1"])
+        stream = windows.active_vehicles_stream(windows.on_time_stream(spark, t["on"], source.schema))
+        drain(stream, flows.batch_files(t["out"]), t["ck2"])
+    split(position_rows(spark, *batches[2]), 2)  # done again after a failure
+    seconds = F.unix_seconds("vehicle_timestamp")
+    late = tuples(spark.read.parquet(t["late"]).select("entity_id", seconds, "late_by", F.unix_seconds("watermark")))
+    assert late == [("d", 100, 280.0, 580), ("d", 299, 280.0, 580), ("g", 5, 290.0, 590), ("i", 599, 281.0, 881)]
+    done = tuples(spark.read.parquet(t["out"]).select(F.unix_seconds("window_start"), "active_vehicles", "positions"))
+    # Windows that end at 1880 or before: a, b and one without a name; c, e, f; a, j; h.
+    assert done == [(0, 2, 4), (300, 3, 3), (600, 2, 3), (900, 1, 2)]
+
+
+def test_the_aggregation_drops_nothing_itself(spark, tmp_path):
+    rows = position_rows(spark, *[("v", s) for s in range(0, 5000, 7)])
+    rows.repartition(9).write.parquet(str(tmp_path / "on/batch=0"))
+    query = flows.start_append(
+        windows.active_vehicles_stream(windows.on_time_stream(spark, str(tmp_path / "on"), rows.schema)),
+        flows.batch_files(str(tmp_path / "out")), str(tmp_path / "ck"), trigger=None,
+    )
+    query.awaitTermination()
+    dropped = [op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in json.loads(p.json)["stateOperators"]]
+    assert dropped and not any(dropped)
+
+
+def test_arrival_rate_on_a_stream(spark, tmp_path):
+    rows = spark.createDataFrame([("arrived", 5), ("on_way", 100), ("arrived", 299), ("on_way", 301), ("arrived", 9000)], "status string, s bigint")
+    rows.select("status", F.timestamp_seconds("s").alias("vehicle_timestamp")).write.parquet(str(tmp_path / "in"))
+    source = spark.readStream.schema("status string, vehicle_timestamp timestamp").parquet(str(tmp_path / "in"))
+    drain(windows.arrival_rate_stream(source.withWatermark("vehicle_timestamp", "2 minutes")), flows.batch_files(str(tmp_path / "out")), str(tmp_path / "ck"))
+    got = tuples(spark.read.parquet(str(tmp_path / "out")).select(F.unix_seconds("window_start"), "positions", F.round("arrival_rate", 3)))
+    assert got == [(0, 3, 0.667), (300, 1, 0.0)]
