@@ -10,11 +10,15 @@ tables with probability 2 * (1 - 0.75^2)^16 < 4e-6.
 Sub-keys that no other text has cannot meet anyone and are dropped, and so is a text with
 fewer than ``SHARED`` others. In each table every member is compared
 with the smallest and the largest member only; links are confirmed on the full
-sets and joined to components. Texts in tables that still hold several components
-are then compared across these components, where they share one of their rarest
-shingles: a set and one of Jaccard 0.75 share one of the rarest quarter of each.
-So a group of n copies costs about n comparisons, a passage that many texts
-share costs none, and no link between components is lost.
+sets and joined to components. A text differs in its smallest and largest partner from
+table to table, so it is compared some thirty times, however many copies it has. Texts in tables
+that still hold several components are then compared across these components, where
+they share one of their rarest shingles: a set and one of Jaccard 0.75 share one of the
+rarest quarter of each. No pair of them is a row. Texts that share such shingles are sent
+to one home, in blocks of bounded size, any two blocks in one task; there each text at home is
+compared with all others on full sets, and only links that join two components leave the
+task. So in a group just below the threshold, rows grow with the group until it fills a block of
+``BLOCK_TEXTS``, and then with the number of its blocks. No link between components is lost.
 
 Nulls and ties: a NULL text and a text without words have no shingles and link
 with nothing. Rows that share a doc_id are one document. Rows with a NULL doc_id
@@ -32,11 +36,14 @@ from pyspark.sql import functions as F
 
 from headway.llm.common import map_texts, mixed, shingle_hashes, signed, small_batches, split_runs, stored
 from headway.llm.graph import components
+from headway.operators.skew import one_per_key
 
 KEYS, WIDTH = 16, 2
 # Of 2 * KEYS sub-keys a pair of Jaccard 0.75 shares 18 on average; fewer than
 # this has a chance below 1e-6.
 SHARED = 5
+# Texts, and shingles of all of them, that a block holds.
+BLOCK_TEXTS, BLOCK_SHINGLES = 2048, 2_000_000
 
 
 def sketches(docs: DataFrame, keys: int = KEYS, width: int = WIDTH) -> DataFrame:
@@ -98,7 +105,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _across(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of `rest` (rep, n_shingles, component) in different components that may have the similarity.
+    """Links (a, b) that join components of `rest` (rep, n_shingles, component) with the similarity.
 
     Shingles are ordered by how many texts of `rest` hold them, rarest first. Of a set
     of n, any set similar enough shares one of the first n - ceil(n * percent / 100) + 1.
@@ -121,35 +128,84 @@ def _across(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     lists = tokens.join(counts, "h").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("n", "h"))).alias("t")).join(rest, "rep")
     alone = F.col("n_shingles") - F.size("t")
     first = F.expr(f"n_shingles - (n_shingles * {percent} + 99) div 100 + 1") - alone
-    # left: how many shingles the text has from this one on.
-    prefix = lists.where(first > 0).select(
-        "rep", "n_shingles", "component", alone.alias("alone"), F.posexplode(F.slice("t", F.lit(1), first.cast("int"))).alias("at", "t")
+    prefix = lists.where(first > 0).select("rep", "component", F.explode(F.slice("t", F.lit(1), first.cast("int"))).alias("t"))
+    prefix = stored(prefix.select(F.col("t.h").alias("h"), "component", "rep"), "minhash-prefix")
+
+    several = one_per_key(prefix, ["h"], F.min("rep").alias("lo"), F.min("component").alias("c0"), F.max("component").alias("c1"))
+    met = prefix.select("h", "rep").join(several.where("c0 < c1").select("h", "lo"), "h")
+
+    # A text is at home with the least text it shares a first shingle with, and visits the homes of
+    # all others it shares one with. Near copies share a home, so each is sent there once, not once a shingle.
+    home = met.groupBy("rep").agg(F.min("lo").alias("home"))
+    homes = met.select("h", "rep").join(home, "rep").select("h", "home").distinct()
+    visits = stored(met.select("h", "rep").join(one_per_key(homes, ["h", "home"]), "h").select("rep", "home").distinct(), "minhash-visits")
+    facts = rest.select("rep", "n_shingles", "component").join(home.withColumnRenamed("home", "own"), "rep")
+    guests = visits.join(facts, "rep").withColumn("at_home", F.col("home") == F.col("own"))
+    sizes = one_per_key(guests, ["home"], F.count(F.lit(1)).alias("m"), F.sum("n_shingles").alias("t"))
+    blocks = F.greatest(F.ceil(F.col("m") / BLOCK_TEXTS), F.ceil(F.col("t") / BLOCK_SHINGLES)).cast("int")
+    own_block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    dealt = (
+        guests.join(sizes.select("home", blocks.alias("blocks")), "home")
+        .withColumn("block", own_block)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("home", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "component", "at_home")
     )
-    left = (F.col("n_shingles") - F.col("alone") - F.col("at")).alias("left")
-    prefix = stored(prefix.select(F.col("t.h").alias("h"), "component", "rep", "n_shingles", left), "minhash-prefix")
+    dealt = dealt.join(sets.toDF("rep", "shingles"), "rep").repartition("home", "i", "j").sortWithinPartitions("home", "i", "j")
 
-    # By component first: members of one component are never paired. What is left from a
-    # shared shingle on bounds what two texts share; of that they need 3/7 of both sizes (at 75 %).
-    def enough(left_a, left_b, n_a, n_b):
-        return (100 + percent) * F.least(left_a, left_b) >= percent * (F.col(n_a) + F.col(n_b))
-
-    sides = prefix.groupBy("h", "component").agg(
-        F.max("left").alias("left"), F.min("n_shingles").alias("lo"), F.max("n_shingles").alias("hi")
-    )
-    several = sides.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
-    sides = sides.join(several, "h", "left_semi")
-    x, y = sides.toDF("h", "ca", "la", "xa", "ya"), sides.toDF("h2", "cb", "lb", "xb", "yb")
-    met = x.join(
-        y,
-        (F.col("h") == F.col("h2")) & (F.col("ca") < F.col("cb")) & enough("la", "lb", "xa", "xb")
-        & (100 * F.least("ya", "yb") >= percent * F.greatest("xa", "xb")),
-    ).select("h", "ca", "cb")
-    pairs = (
-        met.join(prefix.toDF("h", "ca", "ra", "na", "la"), ["h", "ca"])
-        .join(prefix.toDF("h", "cb", "rb", "nb", "lb"), ["h", "cb"])
-        .where((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & enough("la", "lb", "na", "nb"))
-    )
-    return pairs.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct()
+    def link(batches):
+        held, at = [], None
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("home", "i", "j", "block", "rep", "component", "at_home", "shingles")), strict=True):
+                if row[:3] != at:
+                    if held:
+                        yield _spanning(held, at[1], at[2], percent)
+                    held, at = [], row[:3]
+                held.append(row[3:])
+        if held:
+            yield _spanning(held, at[1], at[2], percent)
+
+    return dealt.mapInArrow(link, "a bigint, b bigint")
+
+
+def _spanning(rows: list[tuple], i: int, j: int, percent: int) -> pa.RecordBatch:
+    """Links between the components of some texts (block, rep, component, at_home, shingles): those that join what
+    was apart, so fewer than there are texts. Texts of block i meet those of block j."""
+    sets = [np.frombuffer(r[4], np.uint64) for r in rows]
+    words, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    n = np.array([len(x) for x in sets])
+    shared = np.bincount(ids, minlength=len(words)) > 1
+    ids = np.split(ids, np.cumsum(n)[:-1])
+    ids = [x[shared[x]] for x in ids]
+    roots = {r[2]: r[2] for r in rows}
+
+    def root(c: int) -> int:
+        while roots[c] != c:
+            roots[c] = c = roots[roots[c]]
+        return c
+
+    a, b = [], []
+    block = np.array([r[0] for r in rows])
+    held = np.zeros(len(words), bool)
+    for mine, theirs in {(i, j), (j, i)}:
+        others = np.flatnonzero(block == theirs)
+        others = others[[len(ids[k]) > 0 for k in others]] if len(others) else others
+        if not len(others):
+            continue
+        flat = np.concatenate([ids[k] for k in others])
+        starts = np.cumsum([0] + [len(ids[k]) for k in others[:-1]])
+        for x in np.flatnonzero(block == mine).tolist():
+            if not rows[x][3]:
+                continue
+            held[ids[x]] = True
+            both = np.add.reduceat(held[flat].view(np.int8), starts, dtype=np.int64)
+            held[ids[x]] = False
+            for y in others[100 * both >= percent * (n[x] + n[others] - both)].tolist():
+                p, q = root(rows[x][2]), root(rows[y][2])
+                if p != q:
+                    roots[max(p, q)] = min(p, q)
+                    a.append(min(rows[x][1], rows[y][1]))
+                    b.append(max(rows[x][1], rows[y][1]))
+    return pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75, keys: int = KEYS, width: int = WIDTH) -> DataFrame:
@@ -196,14 +252,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, keys: int = KEYS, width:
     own = own.withColumn("component", F.coalesce("component", "rep"))
     several = own.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 < c1").select("key")
     rest = stored(own.join(several, "key", "left_semi").drop("key").distinct(), "minhash-rest")
-    across = _across(rest, sets, percent).join(star, ["a", "b"], "left_anti")
-    every = shared.select("rep", F.concat("left", "right").alias("keys"))
-    likely = (
-        across.join(every.toDF("a", "ka"), "a").join(every.toDF("b", "kb"), "b")
-        .where(F.size(F.array_intersect("ka", "kb")) >= SHARED)
-        .select("a", "b")
-    )
-    more = stored(_confirmed(stored(likely, "minhash-likely"), sets, percent), "minhash-more")
+    more = stored(_across(rest, sets, percent), "minhash-more")
     if not more.isEmpty():
         found = components(first.union(more))
 

@@ -91,6 +91,45 @@ def test_components_of_a_long_chain(spark):
     assert got == {i: 0 for i in range(n + 1)} | {1000: 1000, 1001: 1000}
 
 
+def nearly_near(n, edits, seed=5):
+    """Copies of one text with so many words changed that most pairs are just below the threshold."""
+    r, base, out = random.Random(seed), prose(1, 200, 10**6), []
+    for i in range(n):
+        w = list(base)
+        for p in r.sample(range(200), edits):
+            w[p] = f"x{r.randrange(10**6)}"
+        out.append((i, " ".join(w)))
+    return out
+
+
+@pytest.mark.parametrize("texts, shingles", [(2048, 2_000_000), (9, 2_000_000), (2048, 3000)])
+def test_links_just_above_and_below(spark, monkeypatch, texts, shingles):
+    """In one block and in several; some of the pairs are links."""
+    monkeypatch.setattr(near_dedup, "BLOCK_TEXTS", texts)
+    monkeypatch.setattr(near_dedup, "BLOCK_SHINGLES", shingles)
+    docs = nearly_near(60, 4) + [(100 + i, t) for i, t in nearly_near(40, 5, seed=6)] + [(200 + i, t) for i, t in near_texts() if t]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(frame(spark, docs)).collect()}
+    assert got == brute.classes(docs) and 1 < len({c for i, (_, c) in got.items() if i < 60}) < 60
+
+
+def test_rows_grow_with_a_group_not_its_square(spark, monkeypatch):
+    counts, write = {}, near_dedup.stored
+
+    def counting(df, label):
+        out = write(df, label)
+        counts[label] = out.count()
+        return out
+
+    monkeypatch.setattr(near_dedup, "stored", counting)
+    found = []
+    for n in (600, 1200):
+        near_dedup.near_duplicates(frame(spark, nearly_near(n, 5))).count()
+        found.append(dict(counts))
+    assert found[1]["minhash-visits"] <= 3 * 1200
+    for label, n in found[0].items():
+        assert found[1][label] <= 2.5 * n + 100, label
+
+
 # --- decontamination ---
 def leak_case():
     items = [(i, " ".join(prose(1000 + i, n))) for i, n in enumerate((15, 18, 24, 33, 40, 47, 59, 80, 300))]
