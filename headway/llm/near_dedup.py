@@ -8,10 +8,10 @@ tables of 2 * width minhashes each cost 2 * keys * width minhashes instead of
 tables with probability 2 * (1 - 0.75^2)^16 < 4e-6.
 
 Sub-keys that no other text has cannot meet anyone and are dropped, and so is a text with
-fewer than ``SHARED`` others. In each table every member is compared
-with the smallest and the largest member only; links are confirmed on the full
-sets and joined to components. A text differs in its smallest and largest partner from
-table to table, so it is compared some thirty times, however many copies it has. Texts in tables
+fewer than ``SHARED`` others. In each table every member meets
+the smallest and the largest member only, and is compared with the ``STAR`` of these it meets
+in most tables; links are confirmed on the full
+sets and joined to components. Texts in tables
 that still hold several components are then compared across these components, where
 they share one of their rarest shingles: a set and one of Jaccard 0.75 share one of the
 rarest quarter of each. No pair of them is a row. Texts that share such shingles are sent
@@ -42,6 +42,8 @@ KEYS, WIDTH = 16, 2
 # Of 2 * KEYS sub-keys a pair of Jaccard 0.75 shares 18 on average; fewer than
 # this has a chance below 1e-6.
 SHARED = 5
+# Members of its tables that a text is compared with before texts of several components meet.
+STAR = 4
 # Texts, and shingles of all of them, that a block holds.
 BLOCK_TEXTS, BLOCK_SHINGLES = 2048, 2_000_000
 
@@ -240,10 +242,11 @@ def near_duplicates(docs: DataFrame, percent: int = 75, keys: int = KEYS, width:
     texts = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text")
     sets = stored(_sets(texts.join(tables.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")), "minhash-sets")
 
-    least = F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")
-    star = stored(
-        tables.select("rep", F.explode(F.array("lo", "hi")).alias("other")).where("rep <> other").select(*least).distinct(), "minhash-star"
-    )
+    # Of the ends of its tables a text is compared with those it shares most tables with.
+    met = tables.select("rep", F.explode(F.array("lo", "hi")).alias("other")).where("rep <> other").groupBy("rep", "other").agg(F.count(F.lit(1)).alias("n"))
+    likely = F.slice(F.sort_array(F.collect_list(F.struct("n", "other")), asc=False), 1, STAR)
+    star = met.groupBy("rep").agg(likely.alias("likely")).select("rep", F.explode("likely.other").alias("other"))
+    star = stored(star.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct(), "minhash-star")
     first = stored(_confirmed(star, sets, percent), "minhash-links")
     found = components(first)
 
