@@ -1,14 +1,16 @@
 """Line de-duplication over levelled sorted runs.
 
 A run is a table of line keys (128-bit hashes) sorted by key, with the number of
-documents that hold the line and the largest of their ids. A new batch becomes a
-run of level 0. As soon as a level has ``fanout`` runs, they are merged into one
+documents that hold the line and the largest of their ids. A new batch is anti-joined
+with the runs: keys that an earlier batch held are no longer fresh. The fresh ones become a run
+of level 0. As soon as a level has ``fanout`` runs, they are merged into one
 run of the next level, so a line is rewritten once per level and a lookup reads at
 most fanout - 1 runs a level.
 
-Two uses. ``fresh_lines``: a batch is anti-joined with the runs (lines any earlier batch
-held go), then adds its own. ``kept_texts``: after all batches are in, lines that
-enough documents hold go from all documents but the largest.
+``fresh_lines`` does this for a batch of any kind, day by day. ``kept_texts`` keeps a line that enough
+documents hold in the largest of them: one pass finds the keys of enough documents, then
+batches come by descending ranges of doc_id. A key is fresh in the batch that holds its largest document and in no
+later one, so what the runs say of it after the last batch is where it stays.
 
 Documents pass their lines as hashes; texts are only met by the hashes to drop.
 Runs are written below a folder all executors share. The list of runs is returned
@@ -30,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.llm.common import map_texts, stored
+from headway.operators.skew import one_per_key
 from headway.session import scratch_path
 
 _SPACE = b" \t\n\x0b\x0c\r"
@@ -103,29 +106,37 @@ def _merged(df: DataFrame, several: bool) -> DataFrame:
     return df.groupBy("k1", "k2").agg(F.sum("n_docs").alias("n_docs"), F.max("last_doc").alias("last_doc"))
 
 
+def _fresh(runs: Runs, lines: DataFrame) -> DataFrame:
+    seen = runs.table()
+    return lines if seen is None else lines.join(seen, ["k1", "k2"], "left_anti")
+
+
 def fresh_lines(runs: Runs, batch: DataFrame, min_chars: int = 40) -> tuple[DataFrame, Runs]:
     """The lines (doc_id, k1, k2) of a batch that no earlier batch held, and the runs with the batch added."""
     lines = stored(lines_of(batch, min_chars).distinct(), "lines")
-    seen = runs.table()
-    fresh = lines if seen is None else lines.join(seen, ["k1", "k2"], "left_anti")
-    return fresh, runs.add(lines)
+    return _fresh(runs, lines), runs.add(lines)
 
 
 def kept_texts(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches: int = 4, fanout: int = 4) -> DataFrame:
     """doc_id, n_lines, n_dropped, text (what stays), kept_sha256."""
     spark = docs.sparkSession
-    batch = F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int")
-    path = scratch_path(spark, "lines")
-    lines_of(docs, min_chars).withColumn("batch", batch).write.partitionBy("batch").option("compression", "zstd").parquet(path)
-    lines = spark.read.schema("doc_id bigint, k1 bigint, k2 bigint, batch int").parquet(path)
+    lines = stored(lines_of(docs, min_chars).distinct(), "lines")
+    common = one_per_key(lines, ["k1", "k2"], F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs)
+    shared = stored(lines.join(common.select("k1", "k2"), ["k1", "k2"]), "line-common")
+    # Batches of about as many lines each; later ones have smaller ids.
+    parts = [i / batches for i in range(batches - 1, 0, -1)]
+    bounds = shared.agg(F.percentile_approx("doc_id", parts)).first()[0] if parts else []
+    batch = sum((F.col("doc_id") <= b).cast("int") for b in bounds or []) + F.lit(0)
+    path = scratch_path(spark, "line-batches")
+    shared.withColumn("batch", batch).write.partitionBy("batch").option("compression", "zstd").parquet(path)
+    shared = spark.read.schema("doc_id bigint, k1 bigint, k2 bigint, batch int").parquet(path)
 
-    # Batches come one after another, as they would day by day.
     runs = Runs(spark, fanout)
     for b in range(batches):
-        runs = runs.add(lines.where(F.col("batch") == b).select("doc_id", "k1", "k2").distinct())
-    common = runs.table().where(F.col("n_docs") >= min_docs)
+        runs = runs.add(_fresh(runs, shared.where(F.col("batch") == b).select("doc_id", "k1", "k2")))
+    # A key is in one run only, with the largest document that holds it.
     drop = (
-        lines.join(common, ["k1", "k2"])
+        shared.join(runs.table().select("k1", "k2", "last_doc"), ["k1", "k2"])
         .where("doc_id <> last_doc")
         .groupBy("doc_id")
         .agg(F.collect_set(F.struct("k1", "k2")).alias("drop"))
