@@ -21,7 +21,8 @@ that hold an anchor or lie around a near fingerprint, by one pass over them.
 Items are taken in slabs of ``SLAB``, the only thing sent to the tasks; documents
 are never shuffled. Windows start every eighth of their size (one shingle for short items).
 
-Nulls and ties: NULL or empty items and texts match nothing; shorter texts than 5
+Nulls and ties: items and texts that are NULL or empty match nothing; an item without an item_id is one all the same, with NULL in
+its rows; shorter texts than 5
 words are one shingle. One row per document and item with its best window, the
 earliest of equals. A repeated doc_id or item_id gives rows of its own per row
 that holds it. Other columns are ignored. No benchmark or no documents: no rows.
@@ -44,6 +45,8 @@ from pyspark.sql import functions as F
 from headway.llm.common import map_texts, shingle_hashes, small_batches, split_runs
 
 RADIUS, SLAB, RATIO, LEAST = 15, 1024, 1.15, 0.75
+# Tables of slabs that a worker keeps.
+KEPT_MB = 256
 # Bytes of texts searched at once.
 _CHUNK = 200_000
 _SCHEMA = "doc_id bigint, item_id bigint, similarity double, first_word bigint, window_words bigint"
@@ -217,7 +220,7 @@ def _merged(ranges: list[tuple[int, int]], last: int) -> list[tuple[int, int]]:
 
 
 def _slabs(benchmark: DataFrame, slab: int) -> Iterator[list[tuple[int, bytes]]]:
-    items = benchmark.where("item_id is not null and text is not null").select("item_id", "text")
+    items = benchmark.where("text is not null").select("item_id", "text")
     part = []
     for row in items.toLocalIterator():
         part.append((row.item_id, row.text.encode()))
@@ -252,10 +255,11 @@ _built: dict = {}
 
 
 def _index(items: list[tuple[int, bytes]], radius: int, least: float) -> _Index:
-    """Built once per Python worker and slab."""
+    """Built once per Python worker and slab, as long as the tables of all slabs (a MB per group) are not too large."""
     key = (radius, least, hash(tuple(items)))
     if key not in _built:
-        _built.clear()
+        if sum(len(i.groups) for i in _built.values()) > KEPT_MB:
+            _built.clear()
         _built[key] = _Index(items, radius, least)
     return _built[key]
 

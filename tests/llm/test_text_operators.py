@@ -199,6 +199,18 @@ def test_blocks_find_every_fingerprint_within_the_radius(radius):
         assert got == want and len(want) >= 400
 
 
+def test_items_without_an_id_filter_too_and_slabs_are_kept(spark):
+    item, other = " ".join(prose(1, 40, 10**6)), " ".join(prose(2, 40, 10**6))
+    items = spark.createDataFrame([(None, item), (3, other), (4, None), (None, "")], "item_id bigint, text string")
+    docs = frame(spark, [(1, item), (2, "clean words only"), (3, "x " + other + " y"), (4, None)])
+    assert sorted((r.doc_id, r.item_id) for r in decontaminate.leaks(docs, items).collect()) == [(1, None), (3, 3)]
+    for slab in (1, 1024):
+        assert sorted(r.doc_id for r in docs.where(~decontaminate.holds_leak(items, slab=slab)).collect()) == [2, 4]
+    parts = [[(1, item.encode())], [(2, other.encode())]]
+    first = [decontaminate._index(p, 3, 0.75) for p in parts]
+    assert [decontaminate._index(p, 3, 0.75) for p in parts] == first
+
+
 # --- lines ---
 def line_texts():
     long = "this line is common to very many documents, Indeed"
@@ -209,13 +221,15 @@ def line_texts():
     return texts
 
 
-def test_kept_texts(spark):
+@pytest.mark.parametrize("batches, fanout", [(1, 4), (2, 4), (4, 4), (9, 3)])
+def test_kept_texts(spark, batches, fanout):
     texts = line_texts()
-    got = line_runs.kept_texts(frame(spark, texts), batches=3, fanout=2).collect()
+    got = line_runs.kept_texts(frame(spark, texts), batches=batches, fanout=fanout).collect()
     want = brute.kept_lines(texts)
     assert {r.doc_id: (r.n_lines, r.n_dropped, r.text) for r in got} == want
     assert all(r.kept_sha256 == hashlib.sha256(r.text.encode()).hexdigest() for r in got)
-    assert line_runs.kept_texts(frame(spark, [])).count() == 0
+    if batches == 2:
+        assert line_runs.kept_texts(frame(spark, []), batches=batches).count() == 0
 
 
 def test_repeated_ids_count_once(spark):
