@@ -104,17 +104,85 @@ def test_base_score_and_model(spark):
     assert sum(max(k.values()) for k in kinds.values()) >= 55
 
 
-def test_probabilities_sum_to_one(spark):
+def word_table(model):
+    """word -> (count, class, log10 of its probability in the class), for all words the model knows."""
+    m, is_open = len(model.emit), len(model.share) - 1
+    out = {w: (c, int(model.of[i]) if i < m else is_open) for w, (c, i) in model.head.items()}
+    out |= {bytes(r.word): (r.c, r["class"]) for r in model.tail.collect()}
+    return {w: (c, k, math.log10(c + 0.5) - model.share[k]) for w, (c, k) in out.items()}
+
+
+@pytest.mark.parametrize(("clustered", "head"), [(20, 40), (10, 15), (0, 0)])
+def test_probabilities_sum_to_one(spark, clustered, head):
     texts = grammar(60, 5)
-    model = class_lm.train(documents(spark, texts), clustered=20, classes=4, head=40, rounds=2)
+    model = class_lm.train(documents(spark, texts), clustered=clustered, classes=4, head=head, rounds=2)
     m, total = len(model.emit), 10.0**model.step
     assert total.sum(axis=1) == pytest.approx(np.ones(6))
-    for k in range(4):
-        members = model.of[:m] == k
-        assert not members.any() or (10 ** model.emit[members]).sum() == pytest.approx(1)
-    c = [r.c for r in model.counts.collect()]
-    assert model.open_total == sum(c) - sum(n for n, i in model.head.values() if i < m) - 60
-    assert model.open_distinct == len(c) - m - 1
+    known = word_table(model)
+    counts = {bytes(r.word): r.c for r in model.counts.collect()}
+    assert {w: c for w, (c, _, _) in known.items()} == {w: c for w, c in counts.items() if w} and len(model.head) <= head
+    assert all((k == 4) == (c < class_lm.LEAST) for w, (c, k, _) in known.items() if w not in model.head)
+    for k in range(5):
+        members = [10**p for _, own, p in known.values() if own == k]
+        unseen = 10 ** (math.log10(0.5) - model.share[4]) if k == 4 else 0
+        assert not members or sum(members) + unseen == pytest.approx(1)
+    assert model.emit == pytest.approx(np.array([known[w][2] for w, (_, i) in sorted(model.head.items(), key=lambda x: x[1][1]) if i < m]))
+    assert model.classed == sum(c for c, k, _ in known.values() if k < 4)
+
+
+@pytest.mark.parametrize(("clustered", "head"), [(60, 70), (8, 10), (8, 1000), (0, 0)])
+def test_score_is_the_path_through_the_classes(spark, clustered, head):
+    texts = [*grammar(80), (500, None, "s"), (501, " ", "s"), (502, "never seen a1 words", "s"), (None, "b2 a1", "s")]
+    model = class_lm.train(documents(spark, texts[:60]), clustered=clustered, classes=3, head=head, rounds=3)
+    known, want = word_table(model), []
+    for i, text, _ in texts:
+        path, value = [4], 0.0
+        for w in brute.words(text):
+            c, k, p = known.get(w.encode(), (0, 3, math.log10(0.5) - model.share[3]))
+            path.append(k)
+            value += p
+        path.append(4)
+        want.append((i or -1, round(value + sum(model.step[a, b] for a, b in zip(path, path[1:], strict=False)), 6)))
+    got = [(r.doc_id or -1, round(r.score, 6)) for r in class_lm.scores(documents(spark, texts), model).collect()]
+    got, want = sorted(got), sorted(want)
+    assert [i for i, _ in got] == [i for i, _ in want] and [x for _, x in got] == pytest.approx([x for _, x in want])
+
+
+def test_class_bigrams_are_counts_of_the_corpus(spark):
+    """Where every word that has a class is among the frequent ones, to the last pair; and else but for pairs of two rare words."""
+    texts = grammar(80)
+    for head in (1000, 12):
+        model = class_lm.train(documents(spark, texts), clustered=8, classes=3, head=head, rounds=2)
+        known = word_table(model)
+        table, unclear = np.zeros((5, 5), int), 0
+        for _, text, _ in texts:
+            words = brute.words(text)
+            path = [4, *(known[w.encode()][1] for w in words), 4]
+            for n, (a, b) in enumerate(zip(path, path[1:], strict=False)):
+                rare = 0 < n < len(words) and all(w.encode() not in model.head for w in words[n - 1 : n + 1])
+                table[a, 3 if rare else b] += 1
+                unclear += rare
+        per, margin = table.sum(axis=0), table.sum(axis=1)
+        alone = (per + 0.5) / (per.sum() + 2.5)
+        assert model.step == pytest.approx(np.log10((table + 2.0 * alone) / (margin[:, None] + 2.0)))
+        assert (unclear > 0) == (head == 12)
+
+
+def test_words_join_the_class_of_their_neighbours():
+    """Against the likelihood of the neighbours, one word at a time."""
+    rng = np.random.default_rng(3)
+    classes, k = 4, 6
+    table = rng.integers(0, 50, (k, k))
+    weights = class_lm.fitting(table, classes)
+    t = table + 0.5
+    for _ in range(50):
+        right, left = rng.integers(0, 4, k + 1), rng.integers(0, 4, k + 1)
+        values = []
+        for c in range(classes):
+            after = sum(n * math.log(t[c, j if j < k else classes] / t[c].sum()) for j, n in enumerate(right))
+            before = sum(n * math.log(t[j if j < k else classes, c] / t[:, c].sum()) for j, n in enumerate(left))
+            values.append(after + before)
+        assert np.concatenate([right, left]) @ weights == pytest.approx(np.array(values))
 
 
 def test_best_class_is_the_best(spark):
