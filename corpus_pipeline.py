@@ -48,7 +48,8 @@ def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """doc_id, start, n_tokens, ids_crc32 read back from token files in the order of the mix."""
     try:
         rows = docs.select("doc_id", "text", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-        order = [F.col("_file"), F.col("_row")]
+        # By the number in a file's name: as text, part-100000 would come before part-99999.
+        order = [F.regexp_extract("_file", r"part-(\d+)", 1).try_cast("bigint"), F.col("_file"), F.col("_row")]
     except AnalysisException:  # not read from files: no order to keep
         rows, order = docs.select("doc_id", "text"), None
     path = scratch_path(spark, "tokens")
