@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from headway.operators.monitor import MONITOR_COLUMNS
 from headway.session import scratch_path
 from headway.sources.messages import directory_messages
-from headway.streaming import flows, windows
+from headway.streaming import flows, replay, windows
 from headway.streaming.gate import gate_sink
 from headway.streaming.static import Refreshed
 
 from . import live
-from .registry import demo, table, wall
+from .registry import demo, instant, table, wall
 
 
 def landed(spark, messages) -> str:
@@ -190,3 +190,38 @@ def _stream_late_rows(spark, sf_dir):
     _, late = windowed(spark, sf_dir)
     rows = spark.read.parquet(late).select("entity_id", "vehicle_timestamp", "watermark", "late_by")
     return rows.withColumns({c: wall(c) for c in ("vehicle_timestamp", "watermark")})
+
+
+@demo("stream_trip_monitor_plan", f"WITH {live.SQL_MONITOR} SELECT * FROM monitor")
+def _stream_trip_monitor_plan(spark, sf_dir):
+    """Every message landed twice."""
+    messages = live.vehicle_messages(spark, sf_dir, views=False)
+    source = directory_messages(spark, landed(spark, messages.union(messages)))
+    out = scratch_path(spark, "monitor")
+    index = live.schedule(spark, sf_dir)
+    finished(flows.trip_monitor_files(source, index, out, scratch_path(spark, "ckpt"), "UTC", trigger=None))
+    return live.comparable(spark.read.parquet(out).select(*MONITOR_COLUMNS))
+
+
+@demo("archive_replay", live.SQL_POSITIONS)
+def _archive_replay(spark, sf_dir):
+    """Live up to an offset that differs by partition, then lost; the archive up to the twentieth, then live again from the start."""
+    rows = live.vehicle_messages(spark, sf_dir, keep=["event_id", "ts"])
+    offset = F.floor(F.col("event_id") / 4)
+    messages = rows.select("value", "topic", (F.col("event_id") % 4).cast("int").alias("partition"), offset.alias("offset"), instant("ts").alias("timestamp"))
+    landing, archive, marks, out = (scratch_path(spark, n) for n in ("landing", "archive", "marks", "positions"))
+    cut = F.col("offset") < F.col("partition") * 500
+    messages.filter(cut).write.parquet(f"{landing}/1")
+    messages.filter(~cut).write.parquet(f"{landing}/2")
+    schema = messages.schema
+    read = lambda path: spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+    positions = flows.vehicle_position_stream
+    lost, again = (replay.live_after(marks, positions, flows.batch_files(f"{out}/{n}"), n) for n in ("lost", "live"))
+    finished(flows.start_append(read(f"{landing}/1"), lost, scratch_path(spark, "ckpt"), trigger=None))
+    kept = read(landing).filter(F.day("timestamp") <= 20)
+    finished(flows.archive_raw(kept, archive, scratch_path(spark, "ckpt"), F.to_date("timestamp"), trigger=None))
+    replay.replay(spark, archive, marks, positions, flows.batch_files(f"{out}/replay"), range_size=max(1000, rows.count() // 10))
+    finished(flows.start_append(read(landing), again, scratch_path(spark, "ckpt"), trigger=None))
+    columns = positions(messages.select("value", "topic")).columns
+    parts = [spark.read.parquet(f"{out}/{n}").select(*columns) for n in ("lost", "replay", "live")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).withColumn("vehicle_timestamp", wall("vehicle_timestamp"))

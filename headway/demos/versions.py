@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from headway.functions.depots import depot_borough
 from headway.operators import cover, history, rollup, service_days, versioned
+from headway.plans.dashboard import figures_of_parts, refresh_parts
 from headway.session import scratch_path
+from headway.streaming.flows import batch_files
 
-from .live import SQL_PINGS, SQL_POSITIONS, comparable, positions, stops_of
+from .live import SQL_MONITOR, SQL_OTP, SQL_PINGS, SQL_POSITIONS, comparable, monitor, positions, stops_of
 from .registry import demo, instant, lat, lon, sql_borough, sql_haversine, sql_lat, sql_lon, sql_trip_id, table, trip_id, wall
 
 SCD = ["start_dt_scd", "end_dt_scd"]
@@ -288,3 +290,44 @@ def _spatial_mixed(spark, sf_dir):
     e = F.col("event_id")
     points = table(spark, sf_dir, "events").select(e, lon(e).alias("x"), lat(e).alias("y"))
     return cover.points_in_cover(points, cover.polygon_cover(stars), "x", "y").select("event_id", "name")
+
+
+# --- dashboard figures kept by groups of batches: a batch is done again, another group comes later ---
+def kept_figures(spark, sf_dir):
+    rows = monitor(spark, sf_dir).withColumn("day", F.day("vehicle_timestamp"))
+    rows.write.parquet(whole := scratch_path(spark, "monitor-rows"))
+    rows = spark.read.parquet(whole)
+    out, parts = scratch_path(spark, "monitor"), scratch_path(spark, "parts")
+    sink = batch_files(out, group=10)
+    for number in range(3):  # groups 0 to 2; the second batch lacks what comes late
+        some = rows.filter((F.floor(F.col("day") / 10) == number) & (F.lit(number != 1) | (F.minute("vehicle_timestamp") < 30)))
+        sink(some.drop("day"), number * 10 + 1)
+    refresh_parts(spark, out, parts)
+    sink(rows.filter("floor(day / 10) = 1").drop("day"), 11)  # done again
+    sink(rows.filter("floor(day / 10) = 3").drop("day"), 31)
+    refresh_parts(spark, out, parts)
+    return figures_of_parts(spark, parts)
+
+
+@demo(
+    "dashboard_delta",
+    f"""WITH {SQL_MONITOR}, per_route AS (
+        SELECT borough, route_id, count(*) AS arrivals, avg(delay_seconds) AS d, {SQL_OTP}
+        FROM monitor WHERE status = 'arrived' GROUP BY borough, route_id)
+        SELECT borough, route_id, arrivals, round(d, 6) AS avg_delay, otp,
+               CAST(rank() OVER (PARTITION BY borough ORDER BY d DESC) AS INT) AS worst_rank FROM per_route""",
+)
+def _dashboard_delta(spark, sf_dir):
+    out = kept_figures(spark, sf_dir)["borough_routes"]
+    return out.withColumns({c: F.round(c, 6) for c in ("avg_delay", "otp")})
+
+
+@demo(
+    "dashboard_delta_hours",
+    f"""WITH {SQL_MONITOR} SELECT route_id, date_trunc('hour', vehicle_timestamp) AS window_start,
+        count(*) AS arrivals, round(avg(delay_seconds), 6) AS avg_delay
+        FROM monitor WHERE status = 'arrived' GROUP BY ALL""",
+)
+def _dashboard_delta_hours(spark, sf_dir):
+    out = kept_figures(spark, sf_dir)["avg_delay_by_hour"]
+    return out.withColumns({"avg_delay": F.round("avg_delay", 6), "window_start": wall("window_start")})

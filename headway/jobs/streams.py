@@ -25,11 +25,18 @@ UPDATES, POSITIONS, ALERTS = TOPICS
 def published_index(spark: SparkSession, published: str) -> Refreshed:
     """Schedule of the published tables, loaded anew when one of them is replaced."""
     times, stops = (VersionedTable(spark, f"{published}/{n}") for n in ("stop_times", "stops"))
+    seen: list[int] = []
+
+    def versions() -> tuple[int, ...]:
+        seen[:] = (times.version(), stops.version())
+        return tuple(seen)
+
     def load() -> DataFrame:
-        index = schedule_index(current(times.read()), current(stops.read()))
+        # Those just asked for: a table replaced since then comes with the next batch.
+        index = schedule_index(current(times.read(seen[0])), current(stops.read(seen[1])))
         return lookup_layout(index, ["trip_id"])
 
-    return Refreshed(load, lambda: (times.version(), stops.version()))
+    return Refreshed(load, versions)
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -63,12 +63,6 @@ def sorted_layout(
     return df.repartitionByRange(*as_columns(by)).sortWithinPartitions(*as_columns(by))
 
 
-def append_metrics(df: DataFrame, path: str) -> None:
-    """OP-K10: metric rows, by day."""
-    day = F.to_date("timestamp").alias("day")
-    df.select("*", day).write.mode("append").partitionBy("day").parquet(path)
-
-
 def publish(df: DataFrame, servers: str, topic: str, value: str = "json_str", **options) -> None:
     """OP-K9: one message per row. Needs the Kafka connector on the class path."""
     (
@@ -159,8 +153,9 @@ class VersionedTable(Pointer):
             if not self._delete(self._folder(seq)):
                 break
 
-    def read(self) -> DataFrame:
-        return self.spark.read.parquet(self._folder(self._current()))
+    def read(self, seq: int | None = None) -> DataFrame:
+        """The current version, or the one asked for."""
+        return self.spark.read.parquet(self._folder(self._current() if seq is None else seq))
 
     def replace(self, df: DataFrame, sort_key: Sequence[str] = ()) -> DataFrame:
         """Write ``df``, which may read the current version, then switch to it."""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from headway.operators.feeds import feed_metrics
-from headway.operators.monitor import trip_monitor
+from headway.operators.monitor import OBSERVATION, trip_monitor
 from headway.operators.nested import (
     decode,
     flatten_alerts,
@@ -36,15 +36,13 @@ TRIGGER = "30 seconds"
 def batch_files(path: str, group: int = 1000) -> Sink:
     """OP-K4: a folder per micro-batch, below one per ``group`` batches.
 
-    A batch run again replaces its folder. Once a group is over, its folders are
-    rewritten as one, so that there are few files however long the flow runs.
+    A batch run again replaces its folder. The flow rewrites nothing: folding the folders of
+    a group that is over (``compact_batches``) is up to a job of its own, at a quiet time.
     """
     path = path.rstrip("/")
 
     def write(df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{path}/batches={batch_id // group}/batch_id={batch_id}")
-        if batch_id % group == 0 and batch_id > 0:
-            compact_batches(df.sparkSession, path, batch_id // group - 1)
 
     return write
 
@@ -53,7 +51,8 @@ def compact_batches(spark: SparkSession, path: str, number: int) -> None:
     """Rewrite a finished group of batch folders as one.
 
     The new folder takes the place of the old one by renaming. If that was interrupted,
-    the next call first puts back what is there.
+    the next call first puts back what is there. Not for groups with batches to come, nor while they are read:
+    between two renames a reader finds nothing.
     """
     group, new, old = f"{path}/batches={number}", f"{path}/_new-{number}", f"{path}/_old-{number}"
     fs, there = filesystem(spark, group)
@@ -151,6 +150,35 @@ def trip_monitor_stream(
     )
 
 
+def trip_monitor_files(
+    messages: DataFrame,
+    index: DataFrame,
+    path: str,
+    checkpoint: str,
+    tz: str,
+    trigger: str | None = TRIGGER,
+    **options,
+) -> StreamingQuery:
+    """OP-T7/N2 within the streaming plan: positions meet the index as a stream meets a table, repeated ones
+    are dropped by the state store, and the file sink's log makes the rows exactly once.
+
+    Cheaper than ``trip_monitor_stream`` where the schedule stays the same while the flow runs: it is read
+    when the flow starts. Rows behind the watermark are dropped.
+    """
+    positions = vehicle_position_stream(messages, header_time=True)
+    rows = trip_monitor(positions, index, tz, one_per_observation=False, **options)
+    pace = {"processingTime": trigger} if trigger else {"availableNow": True}
+    return (
+        rows.dropDuplicatesWithinWatermark(list(OBSERVATION))
+        .writeStream.format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .queryName("trip_monitor_files")
+        .trigger(**pace)
+        .start()
+    )
+
+
 def gated_stream(
     messages: DataFrame,
     state: str,
@@ -181,9 +209,11 @@ def archive_raw(
     day: Column | None = None,
     trigger: str | None = TRIGGER,
 ) -> StreamingQuery:
-    """OP-K6/T11: every message unchanged under ``topic=…/day=…``, exactly once."""
+    """OP-K6/T11: every message unchanged under ``topic=…/day=…``, exactly once, with its
+    partition, offset and time if the source gives them (``replay`` needs these)."""
     at = day if day is not None else F.to_date(F.current_timestamp())
-    rows = messages.select(F.col("value").cast("string").alias("value"), "topic", at.alias("day"))
+    origin = [c for c in ("partition", "offset", "timestamp") if c in messages.columns]
+    rows = messages.select(F.col("value").cast("string").alias("value"), "topic", *origin, at.alias("day"))
     pace = {"processingTime": trigger} if trigger else {"availableNow": True}
     return (
         rows.writeStream.format("parquet")

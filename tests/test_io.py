@@ -171,15 +171,12 @@ def test_versioned_table(spark, tmp_path):
         t.replace(spark.range(n))
     t.drop_old()
     assert sorted(p.name for p in (tmp_path / "t").glob("version-*")) == ["version-2", "version-3"]
+    assert t.read(2).count() == 3
     t.drop_old(keep=1)
     assert t.read().count() == 2
 
 
-def test_metrics_and_preview(spark, tmp_path):
-    rows = spark.sql("SELECT timestamp'2024-01-01 10:00:00' AS timestamp, 'f' AS feed, 'm' AS metric, 1L AS value")
-    for _ in range(2):
-        tables.append_metrics(rows, str(tmp_path / "m"))
-    assert spark.read.parquet(str(tmp_path / "m")).count() == 2
+def test_preview(spark):
     assert tables.preview(spark.range(9)).count() == 3
 
 

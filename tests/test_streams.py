@@ -9,9 +9,11 @@ from conftest import tuples
 from pyspark.sql import functions as F
 
 from headway.operators.feeds import changed_messages
-from headway.operators.monitor import schedule_index
+from headway.operators.monitor import MONITOR_COLUMNS, schedule_index
+from headway.plans import dashboard
+from headway.sinks.tables import VersionedTable
 from headway.sources.messages import directory_messages
-from headway.streaming import flows, windows
+from headway.streaming import flows, replay, windows
 from headway.streaming.gate import gate_sink
 from headway.streaming.static import Refreshed
 
@@ -89,6 +91,9 @@ def test_batch_folders_are_folded_and_replays_replace(spark, tmp_path):
             sink(spark.range(batch * 10, batch * 10 + 10), batch)
     rows = spark.read.parquet(out)
     assert rows.count() == 200 and rows.select("id").distinct().count() == 200
+    for number in range(3):  # a job of its own, for groups that are over
+        flows.compact_batches(spark, out, number)
+    assert spark.read.parquet(out).count() == 200
     folders = [p for p in (tmp_path / "out").rglob("batch_id=*")]
     assert len(folders) == 3 + 5
     # Interrupted between the renames: the next call goes on from what is there.
@@ -180,3 +185,117 @@ def test_arrival_rate_on_a_stream(spark, tmp_path):
     drain(windows.arrival_rate_stream(source.withWatermark("vehicle_timestamp", "2 minutes")), flows.batch_files(str(tmp_path / "out")), str(tmp_path / "ck"))
     got = tuples(spark.read.parquet(str(tmp_path / "out")).select(F.unix_seconds("window_start"), "positions", F.round("arrival_rate", 3)))
     assert got == [(0, 3, 0.667), (300, 1, 0.0)]
+
+
+# --- replay from the archive ---
+RAW = "value string, topic string, partition int, offset bigint, timestamp timestamp"
+
+
+def raw_messages(spark):
+    """Three partitions of two topics; offsets have gaps, and some messages were archived twice."""
+    rows = [(f"{t}{p}-{o}", t, p, o) for t, p, n in (("a", 0, 40), ("a", 1, 7), ("b", 0, 25)) for o in range(n) if o % 11]
+    return rows, spark.createDataFrame([(*r, None) for r in rows], RAW)
+
+
+def upper(df):
+    return df.select(F.upper("value").alias("said"))
+
+
+@pytest.mark.parametrize("cut", [(0, 0, 0), (13, 7, 2), (40, 0, 24), (40, 7, 25)])
+def test_replay_and_live_give_everything_once(spark, tmp_path, cut):
+    t = {n: str(tmp_path / n) for n in ("in1", "in2", "archive", "marks", "out", "ck1", "ck2")}
+    rows, df = raw_messages(spark)
+    at = dict(zip((("a", 0), ("a", 1), ("b", 0)), cut, strict=True))
+    before = F.lit(False)
+    for (topic, partition), o in at.items():
+        before = before | ((F.col("topic") == topic) & (F.col("partition") == partition) & (F.col("offset") < o))
+    df.filter(before).write.parquet(f"{t['in1']}/x")
+    df.write.parquet(f"{t['in2']}/x")
+    # The archive has no more than the first 30 offsets, some twice.
+    df.filter("offset < 30").unionByName(df.filter("offset % 5 = 0 AND offset < 30")).write.parquet(t["archive"])
+    read = lambda path: spark.readStream.schema(RAW).option("recursiveFileLookup", "true").parquet(path)
+    drain(read(t["in1"]), replay.live_after(t["marks"], upper, flows.batch_files(f"{t['out']}/first"), "first"), t["ck1"])
+
+    put, calls = flows.batch_files(f"{t['out']}/replay"), []
+
+    def fails_once(rows, number):
+        put(rows, number)
+        calls.append(number)
+        if calls == [0, 1]:
+            raise RuntimeError("lost the driver")
+
+    def run():
+        return replay.replay(spark, t["archive"], t["marks"], upper, fails_once, range_size=9)
+
+    if sum(cut) < 60:
+        with pytest.raises(RuntimeError):
+            run()
+    run()
+    done = len(calls)
+    run()  # nothing is left
+    assert len(calls) == done
+    again = replay.live_after(t["marks"], upper, flows.batch_files(f"{t['out']}/live"), "live")
+    drain(read(t["in2"]), again, t["ck2"])
+    again(spark.read.schema(RAW).parquet(f"{t['in2']}/x"), 0)  # done again after a failure
+    said = []
+    for part in ("first", "replay", "live"):
+        if (tmp_path / "out" / part).exists():
+            said += [r.said for r in spark.read.parquet(f"{t['out']}/{part}").collect()]
+    assert sorted(said) == sorted(r[0].upper() for r in rows)
+    assert json.loads(replay.starting_offsets(spark, t["marks"])) == {"a": {"0": 40, "1": 7}, "b": {"0": 25}}
+
+
+def test_archive_keeps_where_messages_came_from(spark, tmp_path):
+    raw_messages(spark)[1].write.parquet(str(tmp_path / "in"))
+    source = spark.readStream.schema(RAW).parquet(str(tmp_path / "in"))
+    flows.archive_raw(source, str(tmp_path / "archive"), str(tmp_path / "ck"), F.lit("2024-01-01").cast("date"), trigger=None).awaitTermination()
+    kept = spark.read.parquet(str(tmp_path / "archive"))
+    assert set(kept.columns) == {"value", "topic", "partition", "offset", "timestamp", "day"}
+    assert kept.filter("topic = 'a' AND partition = 1").count() == 6
+
+
+def test_monitor_in_the_plan_gives_rows_once(spark, tmp_path):
+    """Polls repeat positions; the flow is stopped and started again."""
+    times = spark.createDataFrame([("EN_1", "08:00:00", 1, 1)], "trip_id string, arrival_time string, stop_sequence int, stop_id int")
+    stops = spark.createDataFrame([(1, "One", 40.0, -74.0)], "stop_id int, stop_name string, stop_lat double, stop_lon double")
+    index = schedule_index(times, stops)
+    start = 1752581580
+    for n, polls in enumerate([[0, 0, 20], [20, 40], [40, 60, 60]]):
+        texts = []
+        for s in polls:
+            vehicle = {"trip": {"tripId": "EN_1", "routeId": "R", "startDate": "20250715"}, "position": {"latitude": 40.0, "longitude": -74.0}, "timestamp": str(start + s)}
+            texts.append(json.dumps({"header": {"timestamp": str(start + s)}, "entity": [{"id": "b", "vehicle": vehicle}]}))
+        folder = tmp_path / "in/topic=gtfs-vehicle-positions"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"{n}.txt").write_text("\n".join(texts))
+        flows.trip_monitor_files(directory_messages(spark, str(tmp_path / "in")), index, str(tmp_path / "out"), str(tmp_path / "ck"), "America/New_York", trigger=None).awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out")).select(F.unix_seconds("vehicle_timestamp") - start, "stop_name", "status")
+    assert tuples(got) == [(0, "One", "arrived"), (20, "One", "arrived"), (40, "One", "arrived"), (60, "One", "arrived")]
+
+
+# --- dashboard sums per group of batches ---
+def monitor_rows(spark, *rows):
+    df = spark.createDataFrame(list(rows), "borough string, route_id string, s bigint, status string, delay_seconds bigint")
+    known = df.withColumn("vehicle_timestamp", F.timestamp_seconds("s"))
+    return known.select(*[F.col(c) if c in known.columns else F.lit("x").alias(c) for c in MONITOR_COLUMNS])
+
+
+def test_only_changed_groups_are_read(spark, tmp_path):
+    out, parts = str(tmp_path / "out"), str(tmp_path / "parts")
+    sink = flows.batch_files(out, group=10)
+    one = monitor_rows(spark, ("A", "r", 0, "arrived", 10), ("A", "r", 400, "arrived", 900), ("A", "q", 0, "on_way", None))
+    two = monitor_rows(spark, ("A", "r", 10, "arrived", None), ("B", "q", 7200, "arrived", 3))
+    sink(one, 1)
+    sink(two, 11)
+    assert dashboard.refresh_parts(spark, out, parts) == [0, 1] and dashboard.refresh_parts(spark, out, parts) == []
+    sink(one.limit(0), 1)  # corrected: nothing of it is left
+    sink(one, 2)
+    sink(two, 21)
+    assert dashboard.refresh_parts(spark, out, parts) == [0, 2]
+    rows = one.unionByName(two).unionByName(two).cache()
+    kept = dashboard.figures_of_parts(spark, parts)
+    want = dashboard.dashboard_tables(rows)
+    for name, table in kept.items():
+        assert tuples(table) == tuples(want[name].select(*table.columns)), name
+    dashboard.publish_dashboard(spark, out, str(tmp_path / "dash"), parts=parts)
+    assert tuples(VersionedTable(spark, str(tmp_path / "dash/otp_by_route")).read()) == tuples(want["otp_by_route"])
