@@ -340,7 +340,8 @@ def joined(profiles: DataFrame, table: np.ndarray, classes: int, least: int) ->
             words, cells = batch.column("word").to_pylist(), batch.column("cells").to_pylist()
             if not words:
                 continue
-            new = np.concatenate([[True], [a != b for a, b in zip(words[1:], words, strict=False)]])
+            new = np.ones(len(words), bool)
+            new[1:] = [a != b for a, b in zip(words[1:], words, strict=False)]
             owner = np.cumsum(new) - 1
             x = np.frombuffer(b"".join(cells), _CELL)
             counts = np.zeros((owner[-1] + 1, width), np.int64)
