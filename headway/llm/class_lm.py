@@ -487,22 +487,31 @@ def scores(docs: DataFrame, model: ClassModel) -> DataFrame:
 
     def finish(batches):
         for batch in batches:
-            cells = batch.to_pydict()
-            known, base, value = [], [], []
-            for i, found in enumerate(cells["met"]):
-                which = np.frombuffer(cells["which"][i], np.int32)
-                c, own = np.zeros(cells["distinct"][i]), np.full(cells["distinct"][i], is_open)
-                for x in found or ():
-                    c[x["at"]], own[x["at"]] = x["c"], x["class"]
-                path = np.frombuffer(cells["path"][i], np.uint8).astype(np.int64)
-                path[path == waits] = own[which]
-                path = np.concatenate([[end], path, [end]])
-                add = float(np.log10(c + 0.5)[which].sum())
-                known.append(cells["n_known"][i] + int((c > 0)[which].sum()))
-                base.append(cells["base"][i] + add)
-                value.append(cells["model"][i] + add - float(share[own[which]].sum()) + float(step[path[:-1], path[1:]].sum()))
+            n = batch.num_rows
+            if not n:
+                continue
+            found, sizes = batch.column("met"), batch.column("distinct").to_numpy()
+            at_row = np.cumsum(sizes) - sizes
+            counts, own = np.zeros(sizes.sum()), np.full(sizes.sum(), is_open)
+            flat = found.flatten()
+            row = np.repeat(np.arange(n), found.value_lengths().fill_null(0).to_numpy())
+            place = at_row[row] + flat.field("at").to_numpy()
+            counts[place], own[place] = flat.field("c").to_numpy(), flat.field("class").to_numpy()
+            # Which of its rare words a row has, one after another; then all paths in a row, an end between any two.
+            which = batch.column("which").to_pylist()
+            row = np.repeat(np.arange(n), [len(w) // 4 for w in which])
+            place = at_row[row] + np.frombuffer(b"".join(which), np.int32)
+            paths = batch.column("path").to_pylist()
+            mark = bytes([end])
+            path = np.frombuffer(mark + mark.join(paths) + mark, np.uint8).astype(np.int64)
+            path[path == waits] = own[place]
+            of_row = lambda values: np.bincount(row, values, n)
+            steps = np.add.reduceat(step[path[:-1], path[1:]], np.cumsum([0] + [len(p) + 1 for p in paths[:-1]]))
+            add = of_row(np.log10(counts + 0.5)[place])
+            known = batch.column("n_known").to_numpy() + of_row(counts[place] > 0).astype(np.int64)
+            value = batch.column("model").to_numpy() + add - of_row(share[own[place]]) + steps
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("n_tokens"), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(value, pa.float64())],
+                [batch.column("doc_id"), batch.column("n_tokens"), pa.array(known), pa.array(batch.column("base").to_numpy() + add), pa.array(value)],
                 names=["doc_id", "n_tokens", "n_known", "base_score", "score"],
             )
 
