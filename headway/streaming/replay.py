@@ -51,13 +51,20 @@ def past(messages: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def replay(
-    spark: SparkSession, archive: str, marks_path: str, flow: Flow, sink: Sink, range_size: int = 1_000_000, writer: str = "replay"
+    spark: SparkSession,
+    archive: str,
+    marks_path: str,
+    flow: Flow,
+    sink: Sink,
+    range_size: int = 1_000_000,
+    writer: str = "replay",
+    base: str | None = None,
 ) -> int:
     """Run what the archive holds behind the marks through ``flow`` into ``sink``; gives the number of batches.
 
     A batch takes the next ``range_size`` offsets of every partition. Its marks are written after its rows, so
     a batch that was cut off is done again under the same number, and ``sink`` replaces it. Messages that
-    were archived twice are taken once.
+    were archived twice are taken once. ``base`` is the archive, where ``archive`` is a topic's folder of it.
     """
     number = 0
     while True:
@@ -65,7 +72,7 @@ def replay(
         if fs.exists(done):
             number += 1
             continue
-        rest = past(spark.read.parquet(archive), marks(spark, marks_path))
+        rest = past(spark.read.option("basePath", base or archive).parquet(archive), marks(spark, marks_path))
         first = rest.groupBy(*PLACE).agg(F.min("offset").alias("__first"))
         batch = rest.join(first, list(PLACE)).filter(F.col("offset") < F.col("__first") + range_size).drop("__first")
         batch = batch.dropDuplicates([*PLACE, "offset"])

@@ -12,8 +12,8 @@ from conftest import plan_of, tuples
 from pyspark.sql import functions as F
 
 from headway import session
+from headway.jobs import boroughs, dashboard, load, replay, snapshot, streams
 from headway.operators.monitor import MONITOR_COLUMNS
-from headway.jobs import boroughs, dashboard, load, snapshot, streams
 from headway.operators.snapshot import service_snapshot
 from headway.plans.daily_load import needs_load, warehouse_table
 from headway.schemas import STOPS, TABLES, VERSIONS
@@ -229,6 +229,9 @@ def test_two_days_end_to_end(spark, tmp_path):
     put(tmp_path / "msgs/topic=gtfs-vehicle-positions/m1.txt", message)
     for flow in ("monitor", "positions", "archive"):
         streams.main([flow, "--directory", t["msgs"], "--output", f"{t['out']}/{flow}", "--checkpoint", f"{t['ckpt']}/{flow}", "--published", t["published"], "--trigger", "once"])
+    more = ["--published", t["published"], "--trigger", "once", "--in-plan"]
+    streams.main(["monitor", "--directory", t["msgs"], "--output", f"{t['out']}/plan", "--checkpoint", f"{t['ckpt']}/plan", *more])
+    assert tuples(spark.read.parquet(f"{t['out']}/plan")) == tuples(spark.read.parquet(f"{t['out']}/monitor").select(*MONITOR_COLUMNS))
     row = spark.read.parquet(f"{t['out']}/monitor").first()
     assert (row.stop_name, row.status, row.delay_seconds, row.borough) == ("Two", "arrived", 180, "Brooklyn")
     assert spark.read.parquet(f"{t['out']}/positions").count() == 1
@@ -239,7 +242,7 @@ def test_two_days_end_to_end(spark, tmp_path):
     boroughs.main(["--polygons", str(tmp_path / "outlines.json"), "--published", t["published"]])
     lookup = tables.VersionedTable(spark, f"{t['published']}/stop_boroughs").read()
     assert tuples(lookup) == [("1", "Brooklyn"), ("2", "Unknown")] and lookup.columns == ["stop_id", "borough"]
-    dashboard.main(["--monitor", f"{t['out']}/monitor", "--output", f"{t['out']}/dashboard"])
+    dashboard.main(["--monitor", f"{t['out']}/monitor", "--output", f"{t['out']}/dashboard", "--parts", f"{t['out']}/parts"])
     live = tables.VersionedTable(spark, f"{t['out']}/dashboard/live_vehicles").read()
     assert tuple(live.columns) == MONITOR_COLUMNS
     otp = tables.VersionedTable(spark, f"{t['out']}/dashboard/otp_by_route").read()
@@ -251,6 +254,30 @@ def test_two_days_end_to_end(spark, tmp_path):
     assert spark.read.parquet(f"{t['out']}/archive").first().value == message
 
 
+def position_message(stamp):
+    entity = {"id": "bus", "vehicle": {"trip": {"tripId": "EN_1", "routeId": "R", "startDate": "20250715"}, "position": {"latitude": 40.0, "longitude": -74.0}, "timestamp": stamp}}
+    return json.dumps({"header": {"gtfsRealtimeVersion": "2.0", "timestamp": stamp}, "entity": [entity]})
+
+
+def test_windows_quarantine_and_replay_by_command_line(spark, tmp_path, capsys):
+    t = {n: str(tmp_path / n) for n in ("msgs", "out", "ckpt", "archive", "marks")}
+    texts = [position_message("1752581580"), "{", position_message("1752589999")]
+    put(tmp_path / "msgs/topic=gtfs-vehicle-positions/m1.txt", "\n".join(texts))
+    for flow, source in (("split", t["msgs"]), ("quarantine", t["msgs"]), ("windows", f"{t['out']}/split/on-time")):
+        streams.main([flow, "--directory", source, "--output", f"{t['out']}/{flow}", "--checkpoint", f"{t['ckpt']}/{flow}", "--trigger", "once"])
+    closed = spark.read.parquet(f"{t['out']}/windows").select(F.unix_seconds("window_start"), "active_vehicles", "positions")
+    assert tuples(closed) == [(1752581400, 1, 1)]
+    wrong = spark.read.parquet(f"{t['out']}/quarantine").select("json_str", "topic", "reason")
+    assert tuples(wrong) == [("{", "gtfs-vehicle-positions", "not_json")]
+
+    rows = spark.createDataFrame([(x, 0, o) for o, x in enumerate(texts)], "value string, partition int, offset bigint")
+    rows.selectExpr("*", "'gtfs-vehicle-positions' AS topic", "date'2025-07-15' AS day").write.partitionBy("topic", "day").parquet(t["archive"])
+    for _ in range(2):
+        replay.main(["positions", "--archive", t["archive"], "--topic", "gtfs-vehicle-positions", "--marks", t["marks"], "--output", f"{t['out']}/replay", "--range", "2"])
+        assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"gtfs-vehicle-positions": {"0": 3}}
+        assert spark.read.parquet(f"{t['out']}/replay").count() == 2
+
+
 # --- OP-K7 ---
 def test_processed_files_are_archived(spark, tmp_path):
     old = tmp_path / "old"
