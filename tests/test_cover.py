@@ -51,6 +51,20 @@ def test_cells_follow_the_outline(spark):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+def test_few_points_meet_edges_and_large_cells_are_sent(spark, conf):
+    rnd = random.Random(5)
+    stars = [(f"s{i}", [star(rnd.random(), rnd.random(), 10 ** rnd.uniform(-2, -1), 24, 0.5, rnd)]) for i in range(40)]
+    cells = polygon_cover(spark.createDataFrame([("all", [star(0.5, 0.5, 9.0, 24, 0.5, rnd)]), *stars], SHAPES)).cache()
+    points = spark.createDataFrame([(i, rnd.random(), rnd.random()) for i in range(3000)], "id int, px double, py double").cache()
+    size = F.pow(F.lit(2.0), -F.col("level"))
+    met = points.join(cells, (F.floor(F.col("px") / size) == F.col("x")) & (F.floor(F.col("py") / size) == F.col("y")))
+    found = points_in_cover(points, cells, "px", "py")
+    assert met.filter("NOT inside").count() < 0.5 * found.filter("name IS NOT NULL").count()
+    conf({"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    found = points_in_cover(points, cells, "px", "py")
+    assert found.filter("name = 'all'").count() == 3000 and "BroadcastHashJoin" in plan_of(found)
+
+
 # --- distinct counts ---
 def test_distinct_counts_merge(spark):
     rnd = random.Random(4)
