@@ -15,9 +15,18 @@ from . import live
 from .registry import demo, instant, table, wall
 
 
+# Messages of a landed file, which is read by one task: compressed text cannot be split.
+PER_FILE = 100_000
+
+
+def land(messages, path: str) -> None:
+    """As compressed texts: messages repeat their field names, and plain they are many times the tables."""
+    messages.write.mode("append").partitionBy("topic").options(compression="snappy", maxRecordsPerFile=PER_FILE).text(path)
+
+
 def landed(spark, messages) -> str:
     path = scratch_path(spark, "landing")
-    messages.write.partitionBy("topic").text(path)
+    land(messages, path)
     return path
 
 
@@ -161,7 +170,7 @@ def windowed(spark, sf_dir):
     folder, on_time, late, state, out = (scratch_path(spark, n) for n in ("landing", "on-time", "late", "high-water", "windows"))
     checks = scratch_path(spark, "ckpt"), scratch_path(spark, "ckpt")
     for where in LANDINGS:
-        live.vehicle_messages(spark, sf_dir, where=where).write.mode("append").partitionBy("topic").text(folder)
+        land(live.vehicle_messages(spark, sf_dir, where=where), folder)
         rows = flows.vehicle_position_stream(directory_messages(spark, folder))
         split = windows.late_split(state, windows.landed_batches(on_time), flows.batch_files(late), "5 minutes")
         finished(flows.start_append(rows, split, checks[0], trigger=None))

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
 
 import pytest
 from conftest import tuples
 from pyspark.sql import functions as F
 
+from headway.demos.streams import landed
 from headway.operators.feeds import changed_messages
 from headway.operators.monitor import MONITOR_COLUMNS, schedule_index
 from headway.plans import dashboard
@@ -33,6 +35,15 @@ def test_nothing_is_processed_twice(spark, tmp_path):
     assert spark.read.parquet(out).count() == 50
 
 
+def test_landed_messages_are_compressed(spark):
+    """Plain, the messages are many times the tables they come from."""
+    texts = spark.range(20_000).select(F.to_json(F.struct("id", F.lit("2.0").alias("gtfsRealtimeVersion"))).alias("value"), F.lit("t").alias("topic"))
+    path = landed(spark, texts)
+    size = sum(f.stat().st_size for f in Path(path).rglob("part-*"))
+    assert 3 * size < sum(len(r.value) for r in texts.collect())
+    assert spark.read.text(path).select("value", "topic").exceptAll(texts).isEmpty() and spark.read.text(path).count() == 20_000
+
+
 def test_a_failed_batch_is_done_again(spark, tmp_path):
     """The write fails after part of the work; the next start repeats the batch."""
     spark.range(10).selectExpr("'m' AS value", "'t' AS topic").write.partitionBy("topic").text(str(tmp_path / "in"))
