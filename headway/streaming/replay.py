@@ -43,10 +43,13 @@ def _put_marks(batch: DataFrame, path: str, writer: str, number: int) -> None:
 
 
 def past(messages: DataFrame, known: DataFrame) -> DataFrame:
-    """Messages behind the marks of their partition; those of a partition without a mark all are."""
+    """Messages behind the marks of their partition; those of a partition without a mark all are.
+
+    Marks are broadcast, a row per partition of a topic: a shuffle by partition would be a task per partition.
+    """
     done = known.select(*[F.col(c).alias(f"__{c}") for c in PLACE], "last")
     same = (F.col("topic").cast("string") == F.col("__topic")) & (F.col("partition") == F.col("__partition"))
-    rows = messages.join(done, same, "left").filter(F.col("offset") > F.coalesce("last", F.lit(-1)))
+    rows = messages.join(F.broadcast(done), same, "left").filter(F.col("offset") > F.coalesce("last", F.lit(-1)))
     return rows.select(*messages.columns)
 
 
@@ -74,7 +77,7 @@ def replay(
             continue
         rest = past(spark.read.option("basePath", base or archive).parquet(archive), marks(spark, marks_path))
         first = rest.groupBy(*PLACE).agg(F.min("offset").alias("__first"))
-        batch = rest.join(first, list(PLACE)).filter(F.col("offset") < F.col("__first") + range_size).drop("__first")
+        batch = rest.join(F.broadcast(first), list(PLACE)).filter(F.col("offset") < F.col("__first") + range_size).drop("__first")
         batch = batch.dropDuplicates([*PLACE, "offset"])
         if batch.isEmpty():
             return number

@@ -6,7 +6,7 @@ import json
 from pathlib import Path
 
 import pytest
-from conftest import tuples
+from conftest import plan_of, tuples
 from pyspark.sql import functions as F
 
 from headway.demos.streams import landed
@@ -256,6 +256,21 @@ def test_replay_and_live_give_everything_once(spark, tmp_path, cut):
     assert json.loads(replay.starting_offsets(spark, t["marks"])) == {"a": {"0": 40, "1": 7}, "b": {"0": 25}}
 
 
+def test_no_task_of_a_replay_reads_a_partition(spark, tmp_path, conf):
+    conf({"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    rows, df = raw_messages(spark)
+    df.write.parquet(str(tmp_path / "archive"))
+    plans = []
+
+    def put(batch, number):
+        plans.append(plan_of(batch))
+        flows.batch_files(str(tmp_path / "out"))(batch, number)
+
+    assert replay.replay(spark, str(tmp_path / "archive"), str(tmp_path / "marks"), upper, put, range_size=30) == 2
+    assert "BroadcastHashJoin" in plans[1] and not any("SortMergeJoin" in p for p in plans)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == len(rows)
+
+
 def test_archive_keeps_where_messages_came_from(spark, tmp_path):
     raw_messages(spark)[1].write.parquet(str(tmp_path / "in"))
     source = spark.readStream.schema(RAW).parquet(str(tmp_path / "in"))
