@@ -216,8 +216,13 @@ def _trips_per_day(spark, sf_dir):
 
 # --- distinct vehicles of hours, days and boroughs from cells of five minutes ---
 def vehicle_cells(spark, sf_dir):
-    """The vehicles of the first half of the month get their numbers first, the others later; so do their cells."""
-    rows = positions(spark, sf_dir).withColumn("borough", depot_borough("vp_trip_id"))
+    """The vehicles of the first half of the month get their numbers first, the others later; so do their cells.
+
+    Positions are written first: every step would build and parse all messages anew.
+    """
+    rows = positions(spark, sf_dir).select("entity_id", "vehicle_timestamp", depot_borough("vp_trip_id").alias("borough"))
+    rows.write.parquet(whole := scratch_path(spark, "positions"))
+    rows = spark.read.parquet(whole)
     early, late = rows.filter(F.day("vehicle_timestamp") <= 15), rows.filter(F.day("vehicle_timestamp") > 15)
     ids, cells = scratch_path(spark, "ids"), scratch_path(spark, "cells")
     rollup.id_dictionary(early, "entity_id").write.parquet(f"{ids}/1")

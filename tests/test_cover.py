@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import math
 import random
@@ -9,6 +10,7 @@ import random
 from conftest import plan_of, tuples
 from pyspark.sql import functions as F
 
+from headway.demos import versions
 from headway.operators import metrics, nested, quarantine, rollup
 from headway.operators.cover import points_in_cover, polygon_cover
 from headway.operators.spatial import point_in_polygon
@@ -140,3 +142,16 @@ def test_drift_names_unknown_fields_once(spark):
         ("topic", "header", "missing", None, 1),
     ], key=repr)
     assert quarantine.message_drift(judged(spark, ALERTS, "{"), ALERTS).count() == 0
+
+
+# --- vehicles of cells ---
+def test_cells_parse_messages_once(spark, tmp_path, monkeypatch):
+    rows = [(i, dt.datetime(2024, 1, 1 + i % 30, i % 24), i % 7, "error" if i % 9 == 0 else "click", 1.0, "{}") for i in range(200)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").write.parquet(str(tmp_path / "events.parquet"))
+    plans = []
+    for name in ("id_dictionary", "distinct_cells"):
+        real = getattr(rollup, name)
+        monkeypatch.setattr(rollup, name, lambda part, *more, real=real: plans.append(plan_of(part)) or real(part, *more))
+    cells = versions.vehicle_cells(spark, str(tmp_path))
+    assert len(plans) == 4 and not any("from_json" in p for p in plans)
+    assert rollup.distinct_counts(rollup.merged_cells(cells)).collect()[0][0] == 7
