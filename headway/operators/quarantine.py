@@ -31,26 +31,19 @@ def _there(v: Column) -> Column:
     return v.isNotNull() & ~F.is_variant_null(v)
 
 
-def _object(v: Column) -> Column:
-    return F.startswith(F.schema_of_variant(v), F.lit("OBJECT"))
-
-
-def _bad(v: Column, kind: T.DataType, path: str) -> Column:
-    """Paths below ``v`` (a VARIANT that is there) whose value the type cannot hold."""
+def _bad(v: Column, at: str, typed: Column, kind: T.DataType, path: str) -> Column:
+    """Paths of values the type cannot hold, at and below ``at`` in the VARIANT ``v``. ``typed`` is the same place after the
+    cast: only where it is NULL the VARIANT is asked whether something is there."""
     if isinstance(kind, T.StructType):
-        below = []
-        for f in kind.fields:
-            if isinstance(f.dataType, T.StringType):  # any value has a text
-                continue
-            child = _get(v, f"$.{f.name}")
-            below.append(F.when(_there(child), _bad(child, f.dataType, f"{path}.{f.name}".lstrip("."))).otherwise(_none()))
+        parts = [f for f in kind.fields if not isinstance(f.dataType, T.StringType)]  # any value has a text
+        below = [_bad(v, f"{at}.{f.name}", typed[f.name], f.dataType, f"{path}.{f.name}".lstrip(".")) for f in parts]
         found = F.concat(*below) if below else _none()
-        return F.when(_object(v), found).otherwise(F.array(F.lit(path)))
-    if isinstance(kind, T.ArrayType):
-        each = lambda x: F.when(_there(x), _bad(x, kind.elementType, f"{path}[]")).otherwise(_none())
-        items = _get(v, "$", "array<variant>")
-        return F.when(items.isNull(), F.array(F.lit(path))).otherwise(F.flatten(F.transform(items, each)))
-    return F.when(_get(v, "$", kind.simpleString()).isNull(), F.array(F.lit(path))).otherwise(_none())
+    elif isinstance(kind, T.ArrayType):
+        each = lambda x, i: _bad(x, "$", F.get(typed, i), kind.elementType, f"{path}[]")
+        found = F.flatten(F.transform(_get(v, at, "array<variant>"), each))
+    else:
+        found = _none()
+    return F.when(typed.isNotNull(), found).when(_there(_get(v, at)), F.array(F.lit(path))).otherwise(_none())
 
 
 def _once(df: DataFrame, *columns: Column) -> DataFrame:
@@ -65,33 +58,37 @@ def judge_messages(
     """Messages with ``message`` (VARIANT), ``reason`` (NULL if nothing is wrong), ``fields`` (what is missing
     or has a value its type cannot hold) and ``usable``."""
     kind = T.StructType.fromDDL(schema)
-    v = F.col("message")
+    v, typed = F.col("message"), F.col("__typed")
+    there = [typed[c].isNotNull() if c in kind.names else F.lit(False) for c in required]
     missing = F.filter(
-        F.array(*[F.when(~F.coalesce(_there(_get(v, f"$.{c}")), F.lit(False)), c) for c in required]), lambda c: c.isNotNull()
+        F.array(*[F.when(~(seen | F.coalesce(_there(_get(v, f"$.{c}")), F.lit(False))), c) for c, seen in zip(required, there, strict=True)]),
+        lambda c: c.isNotNull(),
     )
     blank = F.col(text).isNull() | (F.trim(text) == "")
     rows = _once(messages, F.try_parse_json(text).alias("message"))
-    rows = _once(rows, _object(v).alias("__object"))
+    # NULL for anything but an object.
+    rows = _once(rows, _get(v, "$", kind.simpleString()).alias("__typed"))
+    bad = F.array_distinct(_bad(v, "$", typed, kind, ""))
     rows = _once(
         rows,
-        F.when(F.col("__object"), missing).otherwise(_none()).alias("__missing"),
-        F.when(F.col("__object"), F.array_distinct(_bad(v, kind, ""))).otherwise(_none()).alias("__bad"),
+        F.when(typed.isNotNull(), missing).otherwise(_none()).alias("__missing"),
+        F.when(typed.isNotNull(), bad).otherwise(_none()).alias("__bad"),
     )
     reason = (
         F.when(blank, EMPTY)
         .when(v.isNull(), NOT_JSON)
-        .when(~F.col("__object"), NOT_OBJECT)
+        .when(typed.isNull(), NOT_OBJECT)
         .when(F.size("__missing") > 0, MISSING)
         .when(F.size("__bad") > 0, BAD_FIELDS)
     )
     rows = rows.withColumns({"reason": reason, "fields": F.when(F.size("__missing") > 0, F.col("__missing")).otherwise(F.col("__bad"))})
-    return rows.withColumn("usable", F.coalesce(F.col("reason") == BAD_FIELDS, F.lit(True))).drop("__missing", "__bad", "__object")
+    return rows.withColumn("usable", F.coalesce(F.col("reason") == BAD_FIELDS, F.lit(True))).drop("__missing", "__bad", "__typed")
 
 
 def typed_messages(judged: DataFrame, schema: str, keep: Sequence[str] = ()) -> DataFrame:
     """OP-J1: the typed columns of usable messages, for the flatteners. Nothing is parsed again."""
     kind = T.StructType.fromDDL(schema).simpleString()
-    return judged.filter("usable").select(_get(F.col("message"), "$", kind).alias("m"), *as_columns(keep)).select("m.*", *as_columns(keep))
+    return _once(judged.filter("usable"), _get(F.col("message"), "$", kind).alias("m")).select("m.*", *as_columns(keep))
 
 
 def quarantined(judged: DataFrame, text: str = "json_str") -> DataFrame:
@@ -117,23 +114,27 @@ def message_drift(judged: DataFrame, schema: str, by: str = "topic") -> DataFram
 
     Kind ``unknown`` is a field the schema does not have, with the type seen in messages that are right otherwise
     (VARIANT where they differ); kinds ``missing`` and ``bad_fields`` are fields that are not there or hold
-    a value of another type, with the number of such messages. The schema of a topic is put together by
-    partial sums in Spark; the driver compares one per topic.
+    a value of another type, with the number of such messages. Messages are judged once: schemas and numbers come from
+    the same partial sums in Spark. The driver gets a schema per topic and a row per topic and field of the schema.
     """
     known = dict(_paths(T.StructType.fromDDL(schema)))
-    found = judged.filter("reason IS NULL").groupBy(by).agg(F.schema_of_variant_agg("message").alias("schema")).collect()
-    unknown = []
-    for topic, text in found:
+    right = F.col("reason").isNull()
+    paths = F.when(right, F.array(F.lit(None).cast("string"))).otherwise(F.col("fields"))
+    found = (
+        judged.filter(right | F.col("reason").isin(MISSING, BAD_FIELDS))
+        .select(F.col(by).cast("string").alias(by), F.col("reason").alias("kind"), F.when(right, F.col("message")).alias("m"), F.explode(paths).alias("path"))
+        .groupBy(by, "path", "kind")
+        .agg(F.schema_of_variant_agg("m").alias("schema"), F.count(F.lit(1)).alias("messages"))
+        .collect()
+    )
+    out = []
+    for topic, path, kind, text, messages in found:
+        if kind is not None:
+            out.append((topic, path, kind, None, messages))
+            continue
         under: tuple[str, ...] = ()  # below an unknown field all is unknown
         for path, kind in _paths(T.StructType.fromDDL("m " + text.replace("OBJECT<", "STRUCT<"))["m"].dataType):
             if path not in known and not path.startswith(under or "\0"):
-                unknown.append((topic, path, "unknown", kind.simpleString(), None))
+                out.append((topic, path, "unknown", kind.simpleString(), None))
                 under += (f"{path}.", f"{path}[")
-    rows = judged.sparkSession.createDataFrame(unknown, f"{by} string, path string, kind string, seen string, messages bigint")
-    wrong = (
-        judged.filter(F.col("reason").isin(MISSING, BAD_FIELDS))
-        .select(F.col(by).cast("string").alias(by), F.explode("fields").alias("path"), F.col("reason").alias("kind"))
-        .groupBy(by, "path", "kind")
-        .agg(F.count(F.lit(1)).alias("messages"))
-    )
-    return rows.unionByName(wrong.withColumn("seen", F.lit(None).cast("string")))
+    return judged.sparkSession.createDataFrame(out, f"{by} string, path string, kind string, seen string, messages bigint")

@@ -144,6 +144,16 @@ def test_drift_names_unknown_fields_once(spark):
     assert quarantine.message_drift(judged(spark, ALERTS, "{"), ALERTS).count() == 0
 
 
+def test_messages_are_judged_once(spark):
+    """What is right is not asked for again, path by path, and drift is one pass."""
+    head = {"gtfsRealtimeVersion": "2.0", "timestamp": 5}
+    out = judged(spark, VEHICLE_POSITIONS, {"header": head, "entity": []}, {"header": head, "entity": [{"vehicle": 3}]}, {"header": 1, "entity": []})
+    assert "schema_of_variant(" not in plan_of(out)
+    got = quarantine.message_drift(out, VEHICLE_POSITIONS)
+    assert "parse_json" not in plan_of(got)
+    assert tuples(got) == [("topic", "entity[].vehicle", "bad_fields", None, 1), ("topic", "header", "bad_fields", None, 1)]
+
+
 # --- vehicles of cells ---
 def test_cells_parse_messages_once(spark, tmp_path, monkeypatch):
     rows = [(i, dt.datetime(2024, 1, 1 + i % 30, i % 24), i % 7, "error" if i % 9 == 0 else "click", 1.0, "{}") for i in range(200)]
