@@ -148,9 +148,9 @@ def test_messages_are_judged_once(spark):
     """What is right is not asked for again, path by path, and drift is one pass."""
     head = {"gtfsRealtimeVersion": "2.0", "timestamp": 5}
     out = judged(spark, VEHICLE_POSITIONS, {"header": head, "entity": []}, {"header": head, "entity": [{"vehicle": 3}]}, {"header": 1, "entity": []})
-    assert "schema_of_variant(" not in plan_of(out)
+    assert "schemaofvariant" not in plan_of(out).lower().replace("_", "")
     got = quarantine.message_drift(out, VEHICLE_POSITIONS)
-    assert "parse_json" not in plan_of(got)
+    assert "parsejson" not in plan_of(got).lower().replace("_", "")
     assert tuples(got) == [("topic", "entity[].vehicle", "bad_fields", None, 1), ("topic", "header", "bad_fields", None, 1)]
 
 
