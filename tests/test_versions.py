@@ -90,6 +90,22 @@ def test_a_thousand_versions_of_one_trip_make_no_pairs(spark):
     assert all(x.stop_name == (f"s{3 + int(x.entity_id[1:]) % hours % 5}" if x.vehicle_timestamp.hour < 20 else "s2") for x in known)
 
 
+def test_change_points_of_many_keys_are_not_sent(spark, tmp_path):
+    """The files are a fraction of what the rows take, so Spark would collect and send a row per key."""
+    rows = spark.range(200_000).select(
+        F.col("id").alias("k"), F.timestamp_seconds(F.lit(0)).alias("start_dt_scd"),
+        F.when(F.col("id") % 2 == 0, F.timestamp_seconds(F.lit(86400))).alias("end_dt_scd"),
+    )
+    rows.write.parquet(str(tmp_path / "dim"))
+    dim = spark.read.parquet(str(tmp_path / "dim"))
+    points = versioned.change_points(dim, ["k"])
+    cut = versioned.cut(dim, ["k"], points)
+    assert "Broadcast" not in plan_of(cut)
+    cut = cut.cache()
+    assert cut.count() == 200_000 and cut.filter("segment = start_dt_scd").count() == 200_000
+    assert tuples(cut.filter("k < 2").select("k", "end_dt_scd")) == [(0, at(24 - 24 * 19723)), (1, None)]
+
+
 def test_index_and_lookup_agree_on_buckets(spark):
     right = spark.createDataFrame([("a", 5, "x")], "k string, at int, v string")
     left = spark.createDataFrame([("a", 9)], "j string, t int")
