@@ -67,6 +67,34 @@ def test_few_points_meet_edges_and_large_cells_are_sent(spark, conf):
     assert found.filter("name = 'all'").count() == 3000 and "BroadcastHashJoin" in plan_of(found)
 
 
+def test_hits_are_not_moved_once_found(spark, conf):
+    """Rows of the result stay where a point met a cell, and most cells at an outline need no list of edges."""
+    rnd = random.Random(6)
+    stars = [(f"s{i}", [star(rnd.random(), rnd.random(), 10 ** rnd.uniform(-2, -1), 24, 0.5, rnd)]) for i in range(40)]
+    stars.append(("all", [star(0.5, 0.5, 9.0, 24, 0.5, rnd), star(0.5, 0.5, 0.2, 9, 0.5, rnd)]))
+    known = spark.createDataFrame(stars, SHAPES)
+    cells = polygon_cover(known).cache()
+    assert cells.filter("odd IS NOT NULL").count() > 0.5 * cells.filter("NOT inside").count()
+    places = [(i, rnd.uniform(-0.2, 1.2), rnd.uniform(-0.2, 1.2)) for i in range(2000)] + [(i, 0.3, 0.4) for i in range(2000, 2100)]
+    places += [(3000 + i, p["x"], p["y"]) for i, p in enumerate(q for r in known.collect() for ring in r.rings for q in ring)]
+    places += [(9000, None, 0.5), (9001, 0.5, float("nan")), (9002, float("inf"), 0.5), (9003, 50.0, 50.0)]
+    points = spark.createDataFrame(places, "id int, px double, py double")
+    conf({"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    found = points_in_cover(points, cells, "px", "py")
+    above, joins = [], 0
+    for line in plan_of(found).splitlines():
+        depth = len(line) - len(line.lstrip(" :+-*"))
+        above = [(d, n) for d, n in above if d < depth]
+        if "Join [__level" in line and "Inner" in line:
+            joins += 1
+            assert not any("Exchange" in n for _, n in above)
+        above.append((depth, line))
+    assert joins
+    want = point_in_polygon(points.filter("id < 9000"), known, "px", "py", cell=0.3).select("id", "name")
+    odd = [(i, None) for i in range(9000, 9004)]
+    assert tuples(found.select("id", "name")) == sorted(tuples(want) + odd, key=repr)
+
+
 # --- distinct counts ---
 def test_distinct_counts_merge(spark):
     rnd = random.Random(4)
